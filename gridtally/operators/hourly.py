@@ -55,12 +55,14 @@ def hourly_mean_wide(
 ) -> DataFrame:
     """Hourly mean of every column of a wide feed.
 
-    Unpivot the result, not the feed: that is a twelfth of the rows.
+    Unpivot the result, not the feed: that is a twelfth of the rows. ``fill_zero`` counts a
+    missing reading as 0 in hours that have another one.
     """
     means = []
     for name in columns:
         cell = F.col(f"`{name}`")
-        mean = F.avg(zero_if_null(cell)) if fill_zero else strict_avg(cell)
+        filled = F.when(F.count(cell) > 0, F.avg(zero_if_null(cell)))
+        mean = filled if fill_zero else strict_avg(cell)
         means.append(mean.alias(name))
     return feed.groupBy(_hour(ts, end_of_interval_minutes), *keys).agg(*means)
 
