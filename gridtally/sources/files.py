@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +36,11 @@ def only_file(spark: SparkSession, folder: str, pattern: str) -> str:
     return found[0]
 
 
-def _csv(spark: SparkSession, paths: Sequence[str], header: bool = True) -> DataFrame:
-    # enforceSchema off: a file with other column names is an error, not misread columns
-    reader = spark.read.option("header", header).option("enforceSchema", "false")
+def _csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    # enforceSchema off: a file with other column names is an error, not misread columns.
+    # Spark cannot compare headers with unnamed columns, which it calls _c0, _c1, ...
+    named = not any(re.fullmatch(r"_c\d+", c) for c in columns)
+    reader = spark.read.option("header", "true").option("enforceSchema", str(not named).lower())
     return reader.csv(list(paths))
 
 
@@ -71,8 +74,9 @@ def read_any(
         return labelled(spark.read.option("mergeSchema", "true").parquet(*paths))
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        by_header.setdefault(tuple(_csv(spark, [path]).columns), []).append(path)
-    return stack(labelled(_csv(spark, same)) for same in by_header.values())
+        header = spark.read.option("header", "true").csv(path).columns
+        by_header.setdefault(tuple(header), []).append(path)
+    return stack(labelled(_csv(spark, same, names)) for names, same in by_header.items())
 
 
 def typed(df: DataFrame, types: dict[str, str], default: str | None = "double") -> DataFrame:

@@ -36,7 +36,10 @@ def _indexed(df: DataFrame) -> DataFrame:
 
 
 def read_model_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Dispatch, price, charge, discharge or storage level: ``horizon, period`` and values."""
+    """Dispatch, price, charge, discharge or storage level: ``horizon, period`` and values.
+
+    One file: where the index columns have no name, files cannot be told apart by header.
+    """
     return _indexed(read_any(spark, path, fmt))
 
 
