@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.queries import (
     LINKS,
+    N_HORIZONS,
     PAD_DAYS,
     PART_TYPES,
     PLANT_YEAR,
@@ -54,6 +55,32 @@ technologies AS (
     {cells(TECHNOLOGIES, 'coalesce(max(CASE WHEN Tech = ' "'{n}'" ' THEN output END), 0) AS {n}')}
   FROM totals GROUP BY date_time)"""
 
+# padded year per region of the hours in the feed, and its rolling horizons
+ZONAL = f"""{FEED},
+demand AS (SELECT date_time, REGION, avg(value) AS Demand FROM feed GROUP BY ALL),
+means AS (SELECT date_time, REGION, station, avg(value) AS output FROM feed GROUP BY ALL),
+totals AS (
+  SELECT date_time, REGION, {case('station', STATION_TECHNOLOGY)} AS Tech,
+    round(sum(output), 3) AS output
+  FROM means GROUP BY ALL),
+technologies AS (
+  SELECT date_time, REGION,
+    coalesce(max(CASE WHEN Tech = 'Wind' THEN output END), 0) AS Wind,
+    coalesce(max(CASE WHEN Tech = 'Solar' THEN output END), 0) AS Solar,
+    coalesce(max(CASE WHEN Tech = 'Hydro' THEN output END), 0) AS Hydro
+  FROM totals GROUP BY ALL),
+hours AS (
+  SELECT REGION, year(date_time) AS year,
+    datediff('hour', TIMESTAMP '2024-01-01', date_time) + 1 AS h, Demand, Wind, Solar, Hydro,
+    Demand - Wind - Solar - Hydro AS Residual_demand,
+    CAST(NULL AS DOUBLE) AS OPERATING_RESERVE_UP,
+    CAST(NULL AS DOUBLE) AS OPERATING_RESERVE_DOWN
+  FROM demand JOIN technologies USING (date_time, REGION)),
+entry AS (
+  SELECT * EXCLUDE (h), h AS t FROM hours WHERE h <= 24
+  UNION ALL SELECT * EXCLUDE (h), h + 24 AS t FROM hours
+  UNION ALL SELECT * EXCLUDE (h), h + 48 AS t FROM hours WHERE h > 8784 - 24)"""
+
 PRICE_FEED = f"""{FEED},
 hours AS (
   SELECT date_time, {cells(REGIONS, "avg(CASE WHEN REGION = '{n}' THEN value END) AS {n}")}
@@ -280,6 +307,14 @@ ORACLE_SQL: dict[str, str] = {
     "hourly_demand": f"""WITH {FEED}
         SELECT date_time, REGION, avg(value) AS hourly_demand FROM feed GROUP BY ALL""",
     "hourly_generation": f"WITH {GENERATION_FEED} SELECT * FROM technologies",
+    "hourly_generation_wide_feed": f"""WITH {FEED},
+        readings AS (SELECT date_time, count(*) AS n FROM feed GROUP BY ALL),
+        means AS (
+          SELECT date_time, station, sum(value) / n AS output
+          FROM feed JOIN readings USING (date_time) GROUP BY date_time, station, n)
+        SELECT date_time, coalesce({case('station', STATION_TECHNOLOGY)}, 'UNKNOWN') AS Tech,
+          round(sum(output), 3) AS output
+        FROM means GROUP BY ALL""",
     "hourly_price": f"WITH {PRICE_FEED} SELECT * FROM hours",
     "hourly_flow": f"""WITH {FEED}, hours AS (
           SELECT date_time, link, avg(value) AS flow FROM feed GROUP BY ALL),
@@ -294,6 +329,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT date_time, Demand, Wind, Solar, CAST(0 AS DOUBLE) AS Hydro,
           Demand - Wind - Solar - CAST(0 AS DOUBLE) AS Residual
         FROM demand FULL JOIN technologies USING (date_time)""",
+    "zonal_inputs": f"WITH {ZONAL} SELECT * FROM entry",
+    "demand_horizons": f"""WITH {ZONAL}, spans AS (
+          SELECT k, 70 * (k - 1) AS start FROM range(1, 128) r(k))
+        SELECT REGION, year, k AS horizon, t - start AS period, Residual_demand AS value
+        FROM entry JOIN spans ON t BETWEEN start + 1 AND start + 100""",
     "missing_hours": f"""WITH {FEED},
         spine AS (
           SELECT station, unnest(generate_series(TIMESTAMP '2024-01-01',
@@ -322,6 +362,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT year, k AS horizon, t - start AS period, quantity AS DEMAND,
           n_items AS OPERATING_RESERVE_UP, returned AS OPERATING_RESERVE_DOWN
         FROM padded JOIN spans ON t BETWEEN start + 1 AND start + 100""",
+    "horizon_columns": f"""WITH {DAYS}, spans AS (
+          SELECT k, 70 * (k - 1) AS start FROM range(1, {N_HORIZONS + 1}) r(k)),
+        placed AS (
+          SELECT year, k, t - start AS period, quantity
+          FROM padded JOIN spans ON t BETWEEN start + 1 AND start + 100)
+        SELECT 'ALL' AS REGION, year, period,
+          {cells(range(1, N_HORIZONS + 1), 'max(CASE WHEN k = {n} THEN quantity END) AS "{n}"')}
+        FROM placed GROUP BY year, period""",
     "plant_table": PLANTS,
     "unit_metadata": f"WITH {UNITS} SELECT * FROM units",
     "region_key": f"WITH {UNITS} SELECT DISTINCT REGION, REGION_KEY FROM units",
@@ -347,6 +395,17 @@ ORACLE_SQL: dict[str, str] = {
         known AS (SELECT date_time, REGION, spot_price FROM price WHERE side = 'Model')
         SELECT {MODEL_STAMP} AS date_time, REGION, spot_price
         FROM days LEFT JOIN known USING (date_time, REGION) WHERE h >= 1""",
+    "model_flow": f"""WITH {NODES}, sums AS (
+          SELECT l_shipdate, s.REGION || '_' || d.REGION AS link, sum(l_quantity) AS flow
+          FROM lineitem JOIN supply s ON l_suppkey = s_suppkey
+          JOIN delivery d ON l_orderkey = o_orderkey
+          WHERE l_linestatus = 'O' GROUP BY ALL),
+        grid AS (
+          SELECT l_shipdate, {MODEL_HOUR.format(d='l_shipdate')} AS h,
+            unnest([{', '.join(f"'{n}'" for n in LINKS)}]) AS link
+          FROM (SELECT DISTINCT l_shipdate FROM sums))
+        SELECT {MODEL_STAMP} AS date_time, link, coalesce(flow, 0) AS flow
+        FROM grid LEFT JOIN sums USING (l_shipdate, link) WHERE h >= 1""",
     "exogenous_series": f"""WITH {NODES}, series AS (
           {' UNION ALL '.join(
               f"SELECT o_orderdate, REGION, '{k}' AS FUEL_TYPE_TEXT, CAST({v} AS DOUBLE) AS output "

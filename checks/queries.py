@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,8 @@ from gridtally.operators import (
 )
 from gridtally.operators.network import REGIONS, VIRTUAL
 from gridtally.operators.reshape import to_long
-from gridtally.plans.results import Comparison
+from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
+from gridtally.plans.results import Comparison, Facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +37,7 @@ PLANT_YEARS = range(1995, 2002)
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 PAD_DAYS = 30
 TEMPLATE_DAYS = 400
+N_HORIZONS = 6
 
 
 def rounded(df: DataFrame, digits: int, columns: Sequence[str]) -> DataFrame:
@@ -53,7 +56,7 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     """Readings in whole cents, labelled as station, region and link."""
     return views.events_feed(spark, sf).select(
         "date_time",
-        F.round(F.col("value") * 100).alias("value"),
+        F.rint(F.col("value") * 100).alias("value"),
         views.mapped("event_type", views.STATIONS).alias("station"),
         views.mapped("event_type", views.FEED_REGION).alias("REGION"),
         views.mapped("event_type", views.FEED_LINK).alias("link"),
@@ -68,6 +71,18 @@ def station_technology(spark: SparkSession) -> DataFrame:
     return inline(spark, "station, Tech", views.STATION_TECHNOLOGY)
 
 
+def wide_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed with one column per station, a row per reading."""
+    labels = sorted(views.STATIONS.values())
+    cells = [F.when(F.col("station") == s, F.col("value")).alias(s) for s in labels]
+    return feed(spark, sf).select("date_time", *cells)
+
+
+def hourly_generation_wide_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing readings are 0, so that a station's mean is over all rows of the hour."""
+    return hourly_technology_wide_feed(wide_feed(spark, sf), station_technology(spark), [])
+
+
 def hourly_generation(spark: SparkSession, sf: str) -> DataFrame:
     return hourly.technology_wide(
         hourly.hourly_technology(feed(spark, sf), station_technology(spark), value="value"),
@@ -100,6 +115,25 @@ def missing_hours(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def regional_demand_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    readings = feed(spark, sf)
+    demand = readings.select("date_time", "REGION", F.col("value").alias("Demand"))
+    return demand, hourly.hourly_technology(
+        readings, station_technology(spark), ["REGION"], value="value"
+    )
+
+
+def zonal_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Padded year per region, with a day of padding and the template of a leap year."""
+    demand, technologies = regional_demand_inputs(spark, sf)
+    return demand_tables(demand, technologies, pad=24, template=8832)["DataEntry_1"]
+
+
+def demand_horizons(spark: SparkSession, sf: str) -> DataFrame:
+    demand, technologies = regional_demand_inputs(spark, sf)
+    return demand_tables(demand, technologies, pad=24, template=8832)["DEMAND"]
+
+
 # --- calendar
 
 
@@ -133,6 +167,15 @@ def rolling_horizons(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def horizon_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Rolling horizons as a matrix: a row per period, a column per horizon."""
+    placed = rolling_horizons(spark, sf).select(
+        F.lit("ALL").alias("REGION"), "year", "horizon", "period",
+        F.col("DEMAND").alias("value"),
+    )
+    return horizon_matrix(placed, N_HORIZONS)
+
+
 # --- plant and model tables
 
 
@@ -240,6 +283,29 @@ def model_price(spark: SparkSession, sf: str) -> DataFrame:
     return model.model_price(wide, region_key(spark, sf), MODEL_YEAR)
 
 
+def model_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows of the model side, wide by link position, made long and named."""
+    n = len(REGIONS)
+    pairs = [(a, b) for a in range(1, n + 1) for b in range(1, n + 1)]
+    cells = [
+        F.sum(F.when((F.col("from_node") == a) & (F.col("to_node") == b), F.col("flow")))
+        .alias(str(i))
+        for i, (a, b) in enumerate(pairs, 1)
+    ]
+    by_day = (
+        views.region_flows(spark, sf)
+        .where(F.col("side") == "Model")
+        .groupBy("date_time")
+        .agg(*cells)
+    )
+    wide = by_day.select(
+        *views.model_index("date_time"), *[F.col(str(i)) for i in range(1, len(pairs) + 1)]
+    )
+    rows = ", ".join(f"('{i}', {a}, {b})" for i, (a, b) in enumerate(pairs, 1))
+    links = spark.sql(f"SELECT * FROM VALUES {rows} AS t(position, from_node, to_node)")
+    return network.name_links(model.model_flow(wide, links, MODEL_YEAR))
+
+
 def zonal(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per day and customer region as zonal inputs, a day per hour number."""
     orders = views.delivered_orders(spark, sf, "o_orderdate", "o_orderpriority")
@@ -320,6 +386,9 @@ class DriverFacts:
     def exogenous(self) -> DataFrame:
         return exogenous(self.spark, self.sf)
 
+    def staged(self) -> Facts:
+        return Facts(self.prices, self.flows, self.output, self.exogenous).staged()
+
 
 def comparison(spark: SparkSession, sf: str, **options) -> Comparison:
     return Comparison(
@@ -400,27 +469,35 @@ def dispatch_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def results_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(comparison(spark, sf, skip_nulls=True).summary(), 0, ["value"])
+    """All whole-period tables; the facts are written once, as many tables use each."""
+    live = comparison(spark, sf, skip_nulls=True)
+    facts = DriverFacts(spark, sf).staged()
+    return rounded(replace(live, facts=facts).summary(), 0, ["value"])
 
 
 QUERIES: dict[str, Query] = {
     "hourly_demand": hourly_demand,
     "hourly_generation": hourly_generation,
+    "hourly_generation_wide_feed": hourly_generation_wide_feed,
     "hourly_price": hourly_price,
     "hourly_flow": hourly_flow,
     "daily_price_from_feed": daily_price_from_feed,
     "residual_demand": residual_demand,
+    "zonal_inputs": zonal_inputs,
+    "demand_horizons": demand_horizons,
     "missing_hours": missing_hours,
     "time_map": time_map,
     "hour_spine": hour_spine,
     "readings_by_horizon": readings_by_horizon,
     "padded_year": padded_year,
     "rolling_horizons": rolling_horizons,
+    "horizon_columns": horizon_columns,
     "plant_table": plant_table,
     "unit_metadata": unit_metadata,
     "region_key": region_key,
     "model_dispatch": model_dispatch,
     "model_price": model_price,
+    "model_flow": model_flow,
     "exogenous_series": exogenous_series,
     "storage_net_output": storage_net_output,
     "price_hourly_wide": price_hourly_wide,

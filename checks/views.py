@@ -74,7 +74,7 @@ def _region(node: Column) -> Column:
 
 
 def _cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("long")
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def events_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,13 +93,21 @@ def nations(spark: SparkSession, sf: str, key: str, node: str) -> DataFrame:
     )
 
 
-def suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    """``l_suppkey, from_node, REGION``."""
+def supplied(spark: SparkSession, sf: str, items: DataFrame) -> DataFrame:
+    """Line items (with ``l_suppkey``) and ``from_node, REGION`` of their supplier.
+
+    The items are joined to one table after the other: Spark takes the size of a join to be
+    the product of its inputs, so supplier with nation would seem larger than it is.
+    """
     supplier = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
     nation = nations(spark, sf, "s_nationkey", "from_node")
-    return supplier.join(nation, "s_nationkey").drop("s_nationkey")
+    return (
+        items.join(supplier, "l_suppkey")
+        .join(nation, "s_nationkey")
+        .drop("l_suppkey", "s_nationkey")
+    )
 
 
 def delivered_orders(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
@@ -109,9 +117,11 @@ def delivered_orders(spark: SparkSession, sf: str, *columns: Column | str) -> Da
     )
     nation = nations(spark, sf, "c_nationkey", "to_node")
     orders = table(spark, sf, "orders").select("o_custkey", *columns)
-    return orders.join(
-        customer.join(nation, "c_nationkey").drop("c_nationkey"), "o_custkey"
-    ).drop("o_custkey")
+    return (
+        orders.join(customer, "o_custkey")
+        .join(nation, "c_nationkey")
+        .drop("o_custkey", "c_nationkey")
+    )
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +132,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
     )
     mean = F.sum("cents").cast("double") / (F.count(F.lit(1)) * 100)
     return (
-        items.join(suppliers(spark, sf), "l_suppkey")
+        supplied(spark, sf, items)
         .groupBy("side", "date_time", "REGION")
         .agg(mean.alias("spot_price"))
     )
@@ -138,10 +148,8 @@ def dispatch(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"),
         mapped("p_type", TECHNOLOGY).alias("FUEL_TYPE_TEXT"),
     )
-    return (
-        items.join(parts, "l_partkey")
-        .join(suppliers(spark, sf), "l_suppkey")
-        .select("side", "date_time", "REGION", "FUEL_TYPE_TEXT", "output")
+    return supplied(spark, sf, items.join(parts, "l_partkey")).select(
+        "side", "date_time", "REGION", "FUEL_TYPE_TEXT", "output"
     )
 
 
@@ -156,7 +164,8 @@ def region_flows(spark: SparkSession, sf: str) -> DataFrame:
     )
     orders = delivered_orders(spark, sf, F.col("o_orderkey").alias("l_orderkey")).drop("REGION")
     return (
-        items.join(suppliers(spark, sf).drop("REGION"), "l_suppkey")
+        supplied(spark, sf, items)
+        .drop("REGION")
         .join(orders, "l_orderkey")
         .groupBy("side", "date_time", "from_node", "to_node")
         .agg(F.sum("l_quantity").alias("flow"))

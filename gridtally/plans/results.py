@@ -37,18 +37,17 @@ class Facts:
     output: DataFrame
     exogenous: DataFrame | None = None
 
-    def staged(self) -> Facts:
-        """Write each fact once; the tables are then read from there, not recomputed."""
+    def staged(self, keys: Sequence[str] = ("side",)) -> Facts:
+        """Write each fact once; the tables are then read from there, not recomputed.
+
+        Output is summed per fuel before it is written.
+        """
+        output = energy.output_by_fuel(self.output, keys)
         return Facts(
-            *[
-                None if frame is None else stage(frame, name)
-                for name, frame in (
-                    ("prices", self.prices),
-                    ("flows", self.flows),
-                    ("output", self.output),
-                    ("exogenous", self.exogenous),
-                )
-            ]
+            prices=stage(self.prices, "prices"),
+            flows=stage(self.flows, "flows"),
+            output=stage(output, "output"),
+            exogenous=None if self.exogenous is None else stage(self.exogenous, "exogenous"),
         )
 
 
