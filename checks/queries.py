@@ -23,7 +23,7 @@ from gridtally.operators import (
     windows,
 )
 from gridtally.operators.network import REGIONS, VIRTUAL
-from gridtally.operators.reshape import to_long
+from gridtally.operators.reshape import to_long, to_wide
 from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
 from gridtally.plans.results import Comparison, Facts
 
@@ -229,7 +229,7 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(
         F.col("p_name").alias("STATION"),
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("DUID"),
-        F.element_at(F.array(*[F.lit(r) for r in REGIONS]), node).alias("REGION"),
+        views.region_of("p_size % 5 + 1").alias("REGION"),
         node.alias("REGION_KEY"),
         size.cast("double").alias("CAPACITY"),
         views.mapped("p_type", views.TECHNOLOGY).alias("FUEL_TYPE_TEXT"),
@@ -250,17 +250,14 @@ def region_key(spark: SparkSession, sf: str) -> DataFrame:
 def model_dispatch(spark: SparkSession, sf: str) -> DataFrame:
     """One unit per part type, wide; STANDARD has no metadata."""
     parts = table(spark, sf, "part")
-    items = table(spark, sf, "lineitem").join(
-        parts.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey"
-    )
-    wide = (
-        items.groupBy("l_shipdate")
-        .agg(*[
-            F.sum(F.when(F.col("p_type") == t, F.col("l_quantity"))).alias(t)
-            for t in PART_TYPES
-        ])
-        .select(*views.model_index("l_shipdate"), *PART_TYPES)
+    items = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
+    sums = (
+        items.join(parts.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
+        .groupBy("l_shipdate", "p_type")
+        .agg(F.sum("l_quantity").alias("output"))
     )
+    by_day = to_wide(sums, ["l_shipdate"], "p_type", "output", PART_TYPES)
+    wide = by_day.select(*views.model_index("l_shipdate"), *PART_TYPES)
     metadata = (
         parts.where(F.col("p_type") != "STANDARD")
         .groupBy(F.col("p_type").alias("unit"))
@@ -285,23 +282,13 @@ def model_price(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_flow(spark: SparkSession, sf: str) -> DataFrame:
     """Flows of the model side, wide by link position, made long and named."""
-    n = len(REGIONS)
-    pairs = [(a, b) for a in range(1, n + 1) for b in range(1, n + 1)]
-    cells = [
-        F.sum(F.when((F.col("from_node") == a) & (F.col("to_node") == b), F.col("flow")))
-        .alias(str(i))
-        for i, (a, b) in enumerate(pairs, 1)
-    ]
-    by_day = (
-        views.region_flows(spark, sf)
-        .where(F.col("side") == "Model")
-        .groupBy("date_time")
-        .agg(*cells)
-    )
-    wide = by_day.select(
-        *views.model_index("date_time"), *[F.col(str(i)) for i in range(1, len(pairs) + 1)]
-    )
-    rows = ", ".join(f"('{i}', {a}, {b})" for i, (a, b) in enumerate(pairs, 1))
+    nodes = range(1, len(REGIONS) + 1)
+    pairs = {f"{a}_{b}": (a, b) for a in nodes for b in nodes}
+    flows = views.region_flows(spark, sf).where(F.col("side") == "Model")
+    named = flows.withColumn("pair", F.concat_ws("_", "from_node", "to_node"))
+    by_day = to_wide(named, ["date_time"], "pair", "flow", list(pairs))
+    wide = by_day.select(*views.model_index("date_time"), *[F.col(p) for p in pairs])
+    rows = ", ".join(f"('{p}', {a}, {b})" for p, (a, b) in pairs.items())
     links = spark.sql(f"SELECT * FROM VALUES {rows} AS t(position, from_node, to_node)")
     return network.name_links(model.model_flow(wide, links, MODEL_YEAR))
 

@@ -60,17 +60,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def mapped(column: str, pairs: dict[str, str]) -> Column:
     """Fixed label lookup; labels not listed are null."""
-    return F.try_element_at(
-        F.create_map(*[F.lit(t) for pair in pairs.items() for t in pair]), F.col(column)
-    )
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs.items())
+    return F.expr(f"CASE {column} {cases} END")
 
 
 def _side() -> Column:
     return F.when(F.col("l_linestatus") == "O", "Model").otherwise("Actual").alias("side")
 
 
-def _region(node: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(r) for r in REGIONS]), node)
+def region_of(node: str) -> Column:
+    """Region name of a node number from 1 to 5, an SQL expression."""
+    names = ", ".join(f"'{r}'" for r in REGIONS)
+    return F.expr(f"element_at(array({names}), {node})")
 
 
 def _cents(column: str) -> Column:
@@ -89,7 +90,7 @@ def nations(spark: SparkSession, sf: str, key: str, node: str) -> DataFrame:
     return table(spark, sf, "nation").select(
         F.col("n_nationkey").alias(key),
         (F.col("n_regionkey") + 1).alias(node),
-        _region(F.col("n_regionkey") + 1).alias("REGION"),
+        region_of("n_regionkey + 1").alias("REGION"),
     )
 
 
@@ -178,10 +179,10 @@ def node_flows(spark: SparkSession, sf: str) -> DataFrame:
     NSW-QLD flows pass QNI, SA-VIC flows ML, TAS-VIC flows M1 or (even days) M2; each then
     is two rows, one per half. Other flows are one row.
     """
-    ends = F.array_sort(F.array("from_node", "to_node"))
 
     def between(a: int, b: int) -> Column:
-        return ends == F.array(F.lit(a), F.lit(b))
+        low, high = F.least("from_node", "to_node"), F.greatest("from_node", "to_node")
+        return (low == a) & (high == b)
 
     even = F.dayofmonth("date_time") % 2 == 0
     via = (
@@ -189,15 +190,17 @@ def node_flows(spark: SparkSession, sf: str) -> DataFrame:
         .when(between(3, 5), F.lit(7))
         .when(between(4, 5), F.when(even, F.lit(9)).otherwise(F.lit(8)))
     )
-    start, end = F.col("from_node"), F.col("to_node")
+    start, end, middle = F.col("from_node"), F.col("to_node"), F.col("via")
     halves = F.when(
-        via.isNull(), F.array(F.struct(start.alias("a"), end.alias("b")))
+        middle.isNull(), F.array(F.struct(start.alias("a"), end.alias("b")))
     ).otherwise(
         F.array(
-            F.struct(start.alias("a"), via.alias("b")), F.struct(via.alias("a"), end.alias("b"))
+            F.struct(start.alias("a"), middle.alias("b")),
+            F.struct(middle.alias("a"), end.alias("b")),
         )
     )
-    rows = region_flows(spark, sf).withColumn("half", F.explode(halves))
+    flows = region_flows(spark, sf).withColumn("via", via)
+    rows = flows.withColumn("half", F.explode(halves))
     return rows.select(
         "side", "date_time", F.col("half.a").alias("from_node"),
         F.col("half.b").alias("to_node"), "flow",

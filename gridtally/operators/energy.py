@@ -30,16 +30,6 @@ def output_by_fuel(output: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _fuel_cell(fuel: str, strict: bool) -> Column:
-    here = F.col("FUEL_TYPE_TEXT") == fuel
-    total = strict_sum("output", here)
-    if strict:
-        several = F.raise_error(F.lit(f"{fuel!r} is both dispatched and exogenous"))
-        sources = F.size(F.collect_set(F.when(here, F.col("_source"))))
-        total = F.when(sources > 1, several.cast("double")).otherwise(total)
-    return F.round(deadband(zero_if_null(total)), 3).alias(fuel)
-
-
 def generation_table(
     output: DataFrame,
     fuels: Sequence[str],
@@ -51,10 +41,11 @@ def generation_table(
     """Hourly table per region: one column per fuel, and net ``Imports``.
 
     ``output`` holds unit or fuel rows; dispatch, exogenous series and imports are stacked
-    and summed in one aggregation instead of joined. Fuels that are null or not listed are
-    counted under ``UNKNOWN``. Missing values are 0, values within the deadband are 0, all
-    are rounded to 3 decimals. A fuel that is both dispatched and exogenous in an hour is
-    summed, or an error with ``strict``.
+    instead of joined, summed per fuel, and made wide last, so that the many unit rows meet
+    one sum each and not one per column. Fuels that are null or not listed are counted under
+    ``UNKNOWN``. Missing values are 0, values within the deadband are 0, all are rounded to
+    3 decimals. A fuel that is both dispatched and exogenous in an hour is summed, or an
+    error with ``strict``.
     """
     ids = [*keys, "date_time", "REGION"]
 
@@ -65,7 +56,7 @@ def generation_table(
             named_or_unknown("REGION").alias("REGION"),
             fuel.alias("FUEL_TYPE_TEXT"),
             F.col(value).cast("double").alias("output"),
-            F.lit(source).alias("_source"),
+            F.lit(source).alias("source"),
         )
 
     fuel = F.col("FUEL_TYPE_TEXT")
@@ -77,7 +68,16 @@ def generation_table(
     if balance is not None:
         parts.append(rows(balance, "imports", F.lit(IMPORTS), "Net"))
         columns.append(IMPORTS)
-    return stack(parts).groupBy(*ids).agg(*[_fuel_cell(c, strict) for c in columns])
+    total = strict_sum("output")
+    if strict:
+        problem = F.concat("FUEL_TYPE_TEXT", F.lit(" is both dispatched and exogenous"))
+        several = F.min("source") != F.max("source")
+        total = F.when(several, F.raise_error(problem).cast("double")).otherwise(total)
+    fuel_rows = stack(parts).groupBy(*ids, "FUEL_TYPE_TEXT").agg(total.alias("output"))
+    wide = to_wide(fuel_rows, ids, "FUEL_TYPE_TEXT", "output", columns)
+    return wide.withColumns(
+        {c: F.round(deadband(zero_if_null(c)), 3) for c in columns}
+    )
 
 
 def _value_columns(table: DataFrame, keys: Sequence[str]) -> list[str]:

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.functions import (
-    after_last,
-    before_first,
     gigawatt_hours,
     lenient_sum,
     strict_sum,
@@ -51,6 +49,11 @@ LINK_RECODE = {
 }
 
 
+LINK_ENDS = ["from_virtual", "to_virtual", "from_to", "from", "to"]
+# beyond this many nodes the pairs are not listed, and link names are taken apart instead
+MAX_LISTED_NODES = 100
+
+
 @dataclass(frozen=True)
 class Network:
     """Nodes, the virtual ones among them, and the physical link of each virtual link."""
@@ -68,6 +71,20 @@ class Network:
         rows = ", ".join(f"({int(k)}, '{v}')" for k, v in self.nodes.items())
         return spark.sql(f"SELECT node, name FROM VALUES {rows} AS nodes(node, name)")
 
+    def link_table(self, spark: SparkSession) -> DataFrame:
+        """Both ends of every link of the network, all nodes and physical regions only.
+
+        One row per ordered pair of nodes, so its size is known from the network.
+        """
+        rows = []
+        for a in self.nodes.values():
+            for b in self.nodes.values():
+                physical = self.recode.get(f"{a}_{b}", f"{a}_{b}")
+                start, end = physical.split("_")[0], physical.split("_")[-1]
+                rows.append(f"('{a}_{b}', '{a}', '{b}', '{physical}', '{start}', '{end}')")
+        columns = ", ".join(f"`{c}`" for c in ("link", *LINK_ENDS))
+        return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS links({columns})")
+
 
 def name_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
     """Node numbers ``from_node`` and ``to_node`` become the ``link`` name ``FROM_TO``.
@@ -83,32 +100,33 @@ def name_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
     )
 
 
-def _recoded(link: Column, recode: Mapping[str, str]) -> Column:
-    if not recode:
-        return link
-    pairs = [F.lit(text) for pair in recode.items() for text in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), link), link)
+def _ends_of(network: Network) -> dict[str, Column]:
+    """The ends of a link from its name."""
+    pairs = ", ".join(f"'{link}', '{physical}'" for link, physical in network.recode.items())
+    physical = f"coalesce(try_element_at(map({pairs}), link), link)" if pairs else "link"
+    return {
+        "from_virtual": F.expr("split_part(link, '_', 1)"),
+        "to_virtual": F.expr("split_part(link, '_', -1)"),
+        "from_to": F.expr(physical),
+        "from": F.expr(f"split_part({physical}, '_', 1)"),
+        "to": F.expr(f"split_part({physical}, '_', -1)"),
+    }
 
 
 def resolve_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
     """Add the ends of each link: all nodes, and physical regions only.
 
     ``from_virtual, to_virtual`` are the link's own ends; ``from_to, from, to`` its physical
-    ones. Links that are not recoded keep their name.
+    ones. Links that are not recoded keep their name. Links between the network's nodes are
+    looked up in a literal table; the names of others are taken apart.
     """
-    link = F.col("link")
-    out = flows.withColumns(
-        {
-            "from_virtual": before_first(link, "_"),
-            "to_virtual": after_last(link, "_"),
-            "from_to": _recoded(link, network.recode),
-        }
-    )
-    return out.withColumns(
-        {
-            "from": before_first(F.col("from_to"), "_"),
-            "to": after_last(F.col("from_to"), "_"),
-        }
+    ends = _ends_of(network)
+    if len(network.nodes) > MAX_LISTED_NODES:
+        return flows.withColumns(ends)
+    listed = F.broadcast(network.link_table(flows.sparkSession))
+    joined = flows.join(listed.withColumnsRenamed({c: f"_{c}" for c in LINK_ENDS}), "link", "left")
+    return joined.select(
+        *flows.columns, *[F.coalesce(f"_{c}", ends[c]).alias(c) for c in LINK_ENDS]
     )
 
 
@@ -124,8 +142,9 @@ def arriving(flows: DataFrame, network: Network = Network()) -> DataFrame:
     return flows.where(end.isNull() | ~end.isin(list(network.virtual)))
 
 
-def _price_at(region: Column, regions: Sequence[str]) -> Column:
-    return F.coalesce(*[F.when(region == r, F.col(f"_at_{r}")) for r in regions])
+def _price_at(end: str, regions: Sequence[str]) -> Column:
+    cases = " ".join(f"WHEN '{r}' THEN `_at_{r}`" for r in regions)
+    return F.expr(f"CASE `{end}` {cases} END")
 
 
 def attach_prices(
@@ -144,8 +163,8 @@ def attach_prices(
     wide = wide.select(*ids, *[F.col(r).alias(f"_at_{r}") for r in regions])
     return flows.join(wide, ids, "left").select(
         *flows.columns,
-        _price_at(F.col("from"), regions).alias("price_from"),
-        _price_at(F.col("to"), regions).alias("price_to"),
+        _price_at("from", regions).alias("price_from"),
+        _price_at("to", regions).alias("price_to"),
     )
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # plans have many columns; do not look up the Python call site of each expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
