@@ -250,7 +250,7 @@ def strict(expression: str, *needed: str) -> str:
 
 
 KNOWN_RATIO = (
-    "round(sum({n} * {n}_W) / nullif(sum(CASE WHEN {n} IS NOT NULL THEN {n}_W END), 0), 4) AS {n}"
+    "round(sum({n} * {n}_W) / nullif(sum(CASE WHEN {n} IS NOT NULL THEN {n}_W END), 0), 6) AS {n}"
 )
 STRICT_RATIO = "round(sum({n} * {n}_W) / nullif(sum({n}_W), 0), %d)"
 
@@ -429,13 +429,13 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN units ON unit = 'P' || l_partkey
         WHERE charge > 0.0001 OR discharge > 0.0001""",
     "price_hourly_wide": f"{PRICES_ONLY} SELECT * FROM price_wide",
-    "mean_price_period": mean_price("", "round(avg({n}), 4) AS {n}"),
+    "mean_price_period": mean_price("", "round(avg({n}), 6) AS {n}"),
     "mean_price_daily": mean_price(
         f", {DAY} AS day", strict("round(avg({n}), 6)", "{n}")
     ),
-    "mean_price_monthly": mean_price(f", {MONTH} AS month", "round(avg({n}), 4) AS {n}"),
+    "mean_price_monthly": mean_price(f", {MONTH} AS month", "round(avg({n}), 6) AS {n}"),
     "mean_price_monthly_strict": mean_price(
-        f", year(date_time) AS year, {MONTH} AS month", strict("round(avg({n}), 4)", "{n}")
+        f", year(date_time) AS year, {MONTH} AS month", strict("round(avg({n}), 6)", "{n}")
     ),
     "network_flows": f"{FLOWS_ONLY} SELECT * FROM flows",
     "priced_flows": f"{FLOWS_ONLY}, {PRICE}, {PRICED} SELECT * FROM priced",
@@ -471,7 +471,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "load_weighted_price_monthly": load_weighted(f", {MONTH} AS month", KNOWN_RATIO),
     "load_weighted_price_monthly_strict": load_weighted(
-        f", year(date_time) AS year, {MONTH} AS month", strict(STRICT_RATIO % 4, "{n}", "{n}_W")
+        f", year(date_time) AS year, {MONTH} AS month", strict(STRICT_RATIO % 6, "{n}", "{n}_W")
     ),
     "results_summary": f"""{WEIGHTED}, {PRICE_WIDE}, {PRICED}, summary AS (
           {' UNION ALL '.join(SUMMARY_PARTS)})

@@ -383,14 +383,13 @@ def comparison(spark: SparkSession, sf: str, **options) -> Comparison:
     )
 
 
-def _price_digits(grain: str) -> int:
-    return 6 if grain == "day" else 4
+PRICE_DIGITS = 6
 
 
 def mean_price(grain: str, **options) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         frame = comparison(spark, sf, **options).mean_price(grain)
-        return rounded(frame, _price_digits(grain), REGIONS)
+        return rounded(frame, PRICE_DIGITS, REGIONS)
 
     return query
 
@@ -398,7 +397,7 @@ def mean_price(grain: str, **options) -> Query:
 def load_weighted_price(grain: str, **options) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         frame = comparison(spark, sf, **options).load_weighted_price(grain)
-        return rounded(frame, _price_digits(grain), REGIONS)
+        return rounded(frame, PRICE_DIGITS, REGIONS)
 
     return query
 
