@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,7 +35,14 @@ def model_facts(
     grid: Network = Network(),
     pad_hours: int = PAD_HOURS,
 ) -> Facts:
-    """Model outputs (wide, keyed by horizon and period) as facts."""
+    """Model outputs (wide, keyed by horizon and period) as facts.
+
+    Warns if hour 1 of the year in the outputs is not the hour that follows the padding of
+    the zonal inputs, as the two then are shifted against each other.
+    """
+    if not horizons.check_padding(pad_hours):
+        shift = horizons.warm_up_hours - pad_hours
+        warnings.warn(f"model outputs start {shift} hours after the padding", stacklevel=2)
     regions = model.region_key(units)
     flow = model.model_flow(flows, link_columns, year, horizons)
     output = model.model_dispatch(dispatch, units, year, horizons)

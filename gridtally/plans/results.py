@@ -197,8 +197,22 @@ def _summary_rows(frame: DataFrame, name: str, keys: Sequence[str]) -> DataFrame
     )
 
 
-def write_results(tree: dict[str, DataFrame], path: str) -> None:
-    """Write each table of a result tree below ``path``, as ``<side>/<group>/<table>``."""
-    for name, frame in tree.items():
-        target = PurePosixPath(*name.split("."))
-        frame.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{target}")
+SORT_COLUMNS = ["year", "date_time", "day", "month", "REGION", "link"]
+
+
+def ordered(frame: DataFrame) -> DataFrame:
+    """Sort a result table by time, then region; for the output only."""
+    present = [c for c in SORT_COLUMNS if c in frame.columns]
+    return frame.orderBy(*present) if present else frame
+
+
+def write_results(tables: dict[str, DataFrame], path: str) -> None:
+    """Write each result table once, below ``path`` as ``<group>/<table>/side=<side>``.
+
+    Tables of one side, from :meth:`Comparison.tree`, go to ``<side>/<group>/<table>``.
+    """
+    for name, frame in tables.items():
+        writer = ordered(frame).write.mode("overwrite")
+        if "side" in frame.columns:
+            writer = writer.partitionBy("side")
+        writer.parquet(f"{path.rstrip('/')}/{PurePosixPath(*name.split('.'))}")

@@ -222,13 +222,14 @@ def test_demand_workflow(spark, rows, feed_files, tmp_path):
 def backtest(spark, feed_files, model_folder):
     folder = model_folder
     units = model_files.read_unit_metadata(spark, str(folder / "INPUT_DATA_GENERATION.csv"))
-    modelled = model_facts(
-        model_files.read_model_table(spark, str(folder / "dispatch_Outputs.csv")),
-        model_files.read_model_table(spark, str(folder / "price.csv")),
-        *model_files.read_model_flows(spark, str(folder / "flow.csv")),
-        model_files.read_zonal(spark, str(folder)),
-        units, 2021, HorizonMap(),
-    )
+    with pytest.warns(UserWarning, match="24 hours after the padding"):
+        modelled = model_facts(
+            model_files.read_model_table(spark, str(folder / "dispatch_Outputs.csv")),
+            model_files.read_model_table(spark, str(folder / "price.csv")),
+            *model_files.read_model_flows(spark, str(folder / "flow.csv")),
+            model_files.read_zonal(spark, str(folder)),
+            units, 2021, HorizonMap(),
+        )
     stations = feeds.read_station_metadata(spark, feed_files["meta"])
     actual = actual_facts(
         hourly_technology_wide_feed(feeds.read_generation_feed(spark, feed_files["generation"]), stations),
@@ -269,3 +270,24 @@ def test_backtest_from_staged_facts(spark, rows, backtest, tmp_path):
     write_results({k: v for k, v in staged.tree().items() if "Annual" in k}, str(tmp_path))
     back = spark.read.parquet(str(tmp_path / "Actual/Gen_Dis/AnnualGen"))
     assert back.count() == staged.tree()["Actual.Gen_Dis.AnnualGen"].count()
+    balance = staged.balance
+    write_results({"IC_Flows.FlowInOut": balance}, str(tmp_path))
+    back = spark.read.parquet(str(tmp_path / "IC_Flows/FlowInOut"))
+    assert rows(back, *balance.columns) == rows(balance)
+
+
+def test_scenarios_ride_along(spark, rows, backtest):
+    """A further key gives each scenario the tables it would have on its own."""
+    from dataclasses import fields, replace
+
+    facts = backtest.facts
+    twice = {
+        f.name: getattr(facts, f.name).withColumn("scenario", F.explode(F.array(F.lit("a"), F.lit("b"))))
+        for f in fields(facts)
+    }
+    both = replace(backtest, facts=type(facts)(**twice), keys=("side", "scenario"))
+    alone = rows(backtest.summary())
+    found = both.summary()
+    for scenario in ("a", "b"):
+        one = found.where(F.col("scenario") == scenario).drop("scenario")
+        assert rows(one) == alone
