@@ -26,6 +26,7 @@ from gridtally.operators.network import REGIONS, VIRTUAL
 from gridtally.operators.reshape import to_long, to_wide
 from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
 from gridtally.plans.results import Comparison, Facts
+from gridtally.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -363,7 +364,9 @@ class DriverFacts:
 
     @cached_property
     def flows(self) -> DataFrame:
-        return network.name_links(views.node_flows(self.spark, self.sf))
+        return network.name_links(
+            views.node_flows(views.region_flows(self.spark, self.sf))
+        )
 
     @cached_property
     def output(self) -> DataFrame:
@@ -374,7 +377,13 @@ class DriverFacts:
         return exogenous(self.spark, self.sf)
 
     def staged(self) -> Facts:
-        return Facts(self.prices, self.flows, self.output, self.exogenous).staged()
+        """The same facts from one pass over the line items, written once."""
+        shipped = stage(views.shipments(self.spark, self.sf), "shipments")
+        flows = views.node_flows(views.region_flows_of(shipped))
+        return Facts(
+            views.prices_of(shipped), network.name_links(flows), views.dispatch_of(shipped),
+            self.exogenous,
+        ).staged()
 
 
 def comparison(spark: SparkSession, sf: str, **options) -> Comparison:

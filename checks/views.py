@@ -139,17 +139,22 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fuels(spark: SparkSession, sf: str) -> DataFrame:
+    """``l_partkey, is_dispatch, FUEL_TYPE_TEXT``."""
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.lit(True).alias("is_dispatch"),
+        mapped("p_type", TECHNOLOGY).alias("FUEL_TYPE_TEXT"),
+    )
+
+
 def dispatch(spark: SparkSession, sf: str) -> DataFrame:
     """``side, date_time, REGION, FUEL_TYPE_TEXT, output``: quantity per region and fuel."""
     items = table(spark, sf, "lineitem").select(
         _side(), F.col("l_shipdate").alias("date_time"), "l_suppkey", "l_partkey",
         F.col("l_quantity").alias("output"),
     )
-    parts = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        mapped("p_type", TECHNOLOGY).alias("FUEL_TYPE_TEXT"),
-    )
-    return supplied(spark, sf, items.join(parts, "l_partkey")).select(
+    return supplied(spark, sf, items.join(fuels(spark, sf), "l_partkey")).select(
         "side", "date_time", "REGION", "FUEL_TYPE_TEXT", "output"
     )
 
@@ -173,7 +178,7 @@ def region_flows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def node_flows(spark: SparkSession, sf: str) -> DataFrame:
+def node_flows(flows: DataFrame) -> DataFrame:
     """Region flows as the model reports them: through a virtual node where there is one.
 
     NSW-QLD flows pass QNI, SA-VIC flows ML, TAS-VIC flows M1 or (even days) M2; each then
@@ -199,14 +204,61 @@ def node_flows(spark: SparkSession, sf: str) -> DataFrame:
             F.struct(middle.alias("a"), end.alias("b")),
         )
     )
-    flows = region_flows(spark, sf).withColumn("via", via)
-    rows = flows.withColumn("half", F.explode(halves))
+    rows = flows.withColumn("via", via).withColumn("half", F.explode(halves))
     return rows.select(
         "side", "date_time", F.col("half.a").alias("from_node"),
         F.col("half.b").alias("to_node"), "flow",
     )
 
 
+def shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """All that prices, dispatch and flows need of the line items, from one pass over them.
+
+    ``side, date_time, from_node, REGION, to_node, is_dispatch, FUEL_TYPE_TEXT`` and ``cents,
+    n, quantity``: a few hundred rows per day. Items without an order have no ``to_node``,
+    items without a part are no dispatch.
+    """
+    items = table(spark, sf, "lineitem").select(
+        _side(), F.col("l_shipdate").alias("date_time"), "l_suppkey", "l_partkey", "l_orderkey",
+        _cents("l_extendedprice").alias("cents"), "l_quantity",
+    )
+    orders = delivered_orders(spark, sf, F.col("o_orderkey").alias("l_orderkey")).drop("REGION")
+    joined = (
+        supplied(spark, sf, items.join(fuels(spark, sf), "l_partkey", "left"))
+        .drop("REGION")  # named after the shuffles, from its node
+        .join(orders, "l_orderkey", "left")
+    )
+    return joined.groupBy(
+        "side", "date_time", "from_node", "to_node",
+        F.coalesce("is_dispatch", F.lit(False)).alias("is_dispatch"), "FUEL_TYPE_TEXT",
+    ).agg(
+        F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"),
+        F.sum("l_quantity").alias("quantity"),
+    ).withColumn("REGION", region_of("from_node"))
+
+
+def prices_of(shipped: DataFrame) -> DataFrame:
+    """:func:`prices` from shipments."""
+    mean = F.sum("cents").cast("double") / (F.sum("n") * 100)
+    return shipped.groupBy("side", "date_time", "REGION").agg(mean.alias("spot_price"))
+
+
+def dispatch_of(shipped: DataFrame) -> DataFrame:
+    """:func:`dispatch` from shipments."""
+    return shipped.where("is_dispatch").select(
+        "side", "date_time", "REGION", "FUEL_TYPE_TEXT", F.col("quantity").alias("output")
+    )
+
+
+def region_flows_of(shipped: DataFrame) -> DataFrame:
+    """:func:`region_flows` from shipments."""
+    return (
+        shipped.where(F.col("to_node").isNotNull())
+        .groupBy("side", "date_time", "from_node", "to_node")
+        .agg(F.sum("quantity").alias("flow"))
+    )
+
+
 def daily_series(spark: SparkSession, sf: str) -> DataFrame:
     """``year, t, date_time, n_items, quantity``: shipped per day, ``t`` the day of the year."""
     days = (
