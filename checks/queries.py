@@ -118,7 +118,7 @@ def missing_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 def regional_demand_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     readings = feed(spark, sf)
-    demand = readings.select("date_time", "REGION", F.col("value").alias("Demand"))
+    demand = hourly.hourly_demand(readings, ["REGION"], value="value")
     return demand, hourly.hourly_technology(
         readings, station_technology(spark), ["REGION"], value="value"
     )

@@ -116,6 +116,14 @@ def hourly_price(
     return hourly_mean(feed, [*keys, "REGION"], value, ts, alias="spot_price")
 
 
+def hourly_price_wide(
+    feed: DataFrame, regions: Sequence[str], keys: Sequence[str] = (), ts: str = "date_time"
+) -> DataFrame:
+    """Hourly mean price of a wide feed, one column per region, as long rows."""
+    hours = hourly_mean_wide(feed, regions, keys, ts)
+    return to_long(hours, ["date_time", *keys], "REGION", "spot_price")
+
+
 def split_link(flows: DataFrame, link: str = "link") -> DataFrame:
     """Link label of the feed to ``from_to``, ``from`` and ``to``.
 

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.operators import model, network
 from gridtally.operators.calendar import HorizonMap
-from gridtally.operators.hourly import hourly_flow_wide, hourly_mean_wide
-from gridtally.operators.network import REGIONS, Network
-from gridtally.operators.reshape import stack, to_long
+from gridtally.operators.network import Network
+from gridtally.operators.reshape import stack
 from gridtally.operators.windows import PAD_HOURS
 from gridtally.plans.results import SIDES, Facts
 
@@ -56,23 +54,15 @@ def model_facts(
     )
 
 
-def actual_facts(
-    technologies: DataFrame,
-    price_feed: DataFrame,
-    flow_feed: DataFrame,
-    regions: Sequence[str] = tuple(REGIONS),
-) -> Facts:
-    """Market feeds as facts: hourly output by technology, and wide 5-minute feeds."""
-    hours = hourly_mean_wide(price_feed, regions)
-    flows = hourly_flow_wide(flow_feed).select(
-        "date_time", F.col("from_to").alias("link"), "flow"
-    )
+def actual_facts(technologies: DataFrame, prices: DataFrame, flows: DataFrame) -> Facts:
+    """Hourly tables of the market as facts: by technology, by region and by link."""
     output = technologies.select(
         "date_time", "REGION", F.col("Tech").alias("FUEL_TYPE_TEXT"), "output"
     )
+    links = flows.select("date_time", F.col("from_to").alias("link"), "flow")
     return Facts(
-        prices=_side(to_long(hours, ["date_time"], "REGION", "spot_price"), ACTUAL),
-        flows=_side(flows, ACTUAL),
+        prices=_side(prices.select("date_time", "REGION", "spot_price"), ACTUAL),
+        flows=_side(links, ACTUAL),
         output=_side(output, ACTUAL),
     )
 

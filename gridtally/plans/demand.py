@@ -9,12 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtally.functions import hour_of_year, hours_in_year
 from gridtally.operators.energy import EXOGENOUS, residual_demand
-from gridtally.operators.hourly import (
-    hourly_demand,
-    hourly_mean_wide,
-    technology_totals,
-    technology_wide,
-)
+from gridtally.operators.hourly import hourly_mean_wide, technology_totals, technology_wide
 from gridtally.operators.reshape import to_long, to_wide
 from gridtally.operators.windows import (
     CUTOFF,
@@ -76,7 +71,7 @@ def zonal_inputs(
 
 
 def demand_tables(
-    demand_feed: DataFrame,
+    demand: DataFrame,
     technologies: DataFrame,
     reserves: DataFrame | None = None,
     hydro: bool = True,
@@ -88,9 +83,10 @@ def demand_tables(
 ) -> dict[str, DataFrame]:
     """The zonal input tables: the padded year and one rolling-horizon table per series.
 
+    ``demand`` and ``technologies`` are hourly tables per region.
+
     Horizon tables are long: ``REGION, year, horizon, period, value``.
     """
-    demand = hourly_demand(demand_feed, ["REGION"])
     entry = zonal_inputs(demand, technologies, reserves, pad, template, hydro)
     placed = rolling_horizons(entry, horizon, cutoff, horizons)
     tables = {"DataEntry_1": entry}

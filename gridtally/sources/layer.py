@@ -46,16 +46,22 @@ def read_hourly(
 
 
 def hourly_or_build(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame]
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], year: int | None = None
 ) -> DataFrame:
-    """The hourly table at ``path``; if there is none it is built and written first."""
+    """The hourly table at ``path``, of one year if given.
+
+    If there is none, or none of that year, it is built and written first.
+    """
+    years = None if year is None else [year]
     try:
-        return read_hourly(spark, path)
+        found = read_hourly(spark, path, years)
+        if year is None or not found.isEmpty():
+            return found
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     write_hourly(build(), path)
-    return read_hourly(spark, path)
+    return read_hourly(spark, path, years)
 
 
 def write_zonal(tables: dict[str, DataFrame], path: str) -> None:

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from gridtally.operators import model
 from gridtally.operators.calendar import HorizonMap
+from gridtally.operators.hourly import hourly_demand, hourly_flow_wide, hourly_price_wide
+from gridtally.operators.network import REGIONS
 from gridtally.plans.backtest import actual_facts, both_sides, model_facts
 from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
 from gridtally.plans.results import Comparison, write_results
+from gridtally.plans.workflows import MarketYear, compare, prepare_demand, prepare_plants
 from gridtally.sources import feeds, files, layer, model_files
 from gridtally.sources.staging import SETTING, stage, staging_folder
 
@@ -32,6 +35,7 @@ def feed_files(tmp_path_factory):
     root = tmp_path_factory.mktemp("feeds")
     t = stamps(24)
     return {
+        "root": str(root),
         "meta": write_csv(root / "Metadata_2021.csv",
                           [["x", " CO2E_ENERGY_SOURCE"], ["A", "Wind"], ["B", "Coal"], ["C", ""]]),
         "demand": [
@@ -39,9 +43,9 @@ def feed_files(tmp_path_factory):
             for r, v in (("NSW", 100), ("SA", 50))
         ],
         "generation": [
-            write_csv(root / "Generation_NSW1_Q1.csv",
+            write_csv(root / "Generation_NSW1_2021_Q1.csv",
                       [["DateTime", "A.MW", "C.MW"], *[[s, 12, ""] for s in t[:12]]]),
-            write_csv(root / "Generation_NSW1_Q2.csv",
+            write_csv(root / "Generation_NSW1_2021_Q2.csv",
                       [["DateTime", "B.MW", "A.MW"], *[[s, 24, 12 if i % 2 else ""]
                                                        for i, s in enumerate(t[12:])]]),
         ],
@@ -69,9 +73,9 @@ def model_folder(tmp_path_factory):
         write_csv(root / f"INPUT_DATA_ZONAL_{key}.csv",
                   [["Time", "Demand", "Wind", "Solar", "Hydro"],
                    *[[t, demand, 1, 0, 0] for t in (720, 721, 722)]])
-    write_csv(root / "dispatch_Outputs.csv", [["", "", "U1", "U2"], *[[*i, 60, 20] for i in index]])
-    write_csv(root / "price.csv", [["", "", "1", "2", "9"], *[[*i, 11, 22, 0] for i in index]])
-    write_csv(root / "flow.csv", [["", "", 1, 6], ["", "", 6, 2], *[[*i, 8, ""] for i in index[:2]],
+    write_csv(root / "Outputs_Electricity_dispatch.csv", [["", "", "U1", "U2"], *[[*i, 60, 20] for i in index]])
+    write_csv(root / "SystemMarginalPrice.csv", [["", "", "1", "2", "9"], *[[*i, 11, 22, 0] for i in index]])
+    write_csv(root / "IC_Flows_Hourly.csv", [["", "", 1, 6], ["", "", 6, 2], *[[*i, 8, ""] for i in index[:2]],
                                   [*index[2], 8, 8]])
     return root
 
@@ -126,7 +130,7 @@ def test_price_and_flow_feeds(spark, feed_files):
 def test_finding_files(spark, model_folder):
     found = files.matching_files(spark, str(model_folder), files.ZONAL_FILES)
     assert found.count() == 2
-    assert files.only_file(spark, str(model_folder), files.RESULT_FILES).endswith("dispatch_Outputs.csv")
+    assert files.only_file(spark, str(model_folder), files.RESULT_FILES).endswith("Outputs_Electricity_dispatch.csv")
     with pytest.raises(ValueError, match="several"):
         files.only_file(spark, str(model_folder), files.ZONAL_FILES)
     with pytest.raises(ValueError, match="no file"):
@@ -134,7 +138,7 @@ def test_finding_files(spark, model_folder):
 
 
 def test_model_files(spark, rows, model_folder):
-    body, links = model_files.read_model_flows(spark, str(model_folder / "flow.csv"))
+    body, links = model_files.read_model_flows(spark, str(model_folder / "IC_Flows_Hourly.csv"))
     assert rows(links) == [("1", 1, 6), ("2", 6, 2)]
     found = model.model_flow(body, links, 2021)
     assert rows(found, "from_node", "to_node", "flow") == [(1, 6, 8.0), (1, 6, 8.0), (6, 2, 0.0), (6, 2, 8.0)]
@@ -192,7 +196,7 @@ def test_staging(spark, rows):
 
 
 def test_demand_workflow(spark, rows, feed_files, tmp_path):
-    demand = feeds.read_demand_feed(spark, feed_files["demand"])
+    demand = hourly_demand(feeds.read_demand_feed(spark, feed_files["demand"]), ["REGION"])
     feed = feeds.read_generation_feed(spark, feed_files["generation"])
     stations = feeds.read_station_metadata(spark, feed_files["meta"])
     technologies = hourly_technology_wide_feed(feed, stations)
@@ -224,17 +228,17 @@ def backtest(spark, feed_files, model_folder):
     units = model_files.read_unit_metadata(spark, str(folder / "INPUT_DATA_GENERATION.csv"))
     with pytest.warns(UserWarning, match="24 hours after the padding"):
         modelled = model_facts(
-            model_files.read_model_table(spark, str(folder / "dispatch_Outputs.csv")),
-            model_files.read_model_table(spark, str(folder / "price.csv")),
-            *model_files.read_model_flows(spark, str(folder / "flow.csv")),
+            model_files.read_model_table(spark, str(folder / "Outputs_Electricity_dispatch.csv")),
+            model_files.read_model_table(spark, str(folder / "SystemMarginalPrice.csv")),
+            *model_files.read_model_flows(spark, str(folder / "IC_Flows_Hourly.csv")),
             model_files.read_zonal(spark, str(folder)),
             units, 2021, HorizonMap(),
         )
     stations = feeds.read_station_metadata(spark, feed_files["meta"])
     actual = actual_facts(
         hourly_technology_wide_feed(feeds.read_generation_feed(spark, feed_files["generation"]), stations),
-        feeds.read_price_feed(spark, feed_files["price"]),
-        feeds.read_flow_feed(spark, feed_files["flow"]),
+        hourly_price_wide(feeds.read_price_feed(spark, feed_files["price"]), REGIONS),
+        hourly_flow_wide(feeds.read_flow_feed(spark, feed_files["flow"])),
     )
     facts = both_sides(modelled, actual)
     links = ["NSW_QLD", "TAS_VIC", "VIC_SA", "VIC_NSW"]
@@ -291,3 +295,35 @@ def test_scenarios_ride_along(spark, rows, backtest):
     for scenario in ("a", "b"):
         one = found.where(F.col("scenario") == scenario).drop("scenario")
         assert rows(one) == alone
+
+
+def test_workflows(spark, rows, feed_files, model_folder, backtest, tmp_path):
+    market = MarketYear(spark, feed_files["root"], str(tmp_path / "hourly"), 2021)
+    tables = prepare_demand(market, str(tmp_path / "zonal"), ["NSW"])
+    assert rows(tables["DataEntry_1"].select("REGION").distinct()) == [("NSW",)]
+    assert spark.read.parquet(str(tmp_path / "zonal/DEMAND")).count() == 6
+    with pytest.warns(UserWarning, match="padding"):
+        found = compare(market, str(model_folder), backtest.fuels, backtest.links)
+    assert rows(found.summary()) == rows(backtest.summary())
+    # the second time raw files are not needed
+    again = MarketYear(spark, "/nowhere", str(tmp_path / "hourly"), 2021)
+    assert rows(again.prices()) == rows(market.prices())
+    with pytest.raises(Exception, match="Price|nowhere"):
+        MarketYear(spark, feed_files["root"], str(tmp_path / "hourly"), 1999).prices()
+
+
+def test_prepare_plants(spark, tmp_path):
+    from gridtally.operators.plants import PLANT_COLUMNS, PLANT_KEYS
+
+    others = [c for c in PLANT_COLUMNS if c not in (*PLANT_KEYS, "CAPACITY", "VARCOST")]
+    ids = ["S", "A", "NSW", 1]
+    specs = write_csv(
+        tmp_path / "specs.csv",
+        [[*PLANT_KEYS, "AvaliableDate", "ExpectedRetirementYear", *others],
+         [*ids, 2000, 2030, *range(len(others))], ["S", "B", "NSW", 1, 2025, 2030, *others]])
+    cap = write_csv(tmp_path / "cap.csv", [[*PLANT_KEYS, "Cap 2021", "Cap 2022"], [*ids, 10, 11]])
+    cost = write_csv(tmp_path / "cost.csv", [[*PLANT_KEYS, "SRMC_2021"], [*ids, 3]])
+    prepare_plants(spark, specs, cap, cost, 2021, str(tmp_path / "plants"))
+    back = spark.read.parquet(str(tmp_path / "plants"))
+    assert back.columns == PLANT_COLUMNS
+    assert [(r.DUID, r.CAPACITY, r.VARCOST) for r in back.collect()] == [("A", 10.0, 3.0)]
