@@ -262,7 +262,8 @@ SELECT s_name AS STATION, 'D' || s_suppkey AS DUID, {REGION_OF} AS REGION,
   n_regionkey + 1 AS REGION_KEY, CAPACITY, VARCOST,
   {', '.join(f's_suppkey + {i} AS "{c}"' for i, c in enumerate(SPEC_COLUMNS))}
 FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN yearly ON s_suppkey = l_suppkey
-WHERE 1995 + s_suppkey % 5 <= {PLANT_YEAR} AND 1997 + s_suppkey % 4 >= {PLANT_YEAR}"""
+WHERE 1990 + floor(s_acctbal / 1000) <= {PLANT_YEAR}
+  AND 2005 - floor(s_acctbal / 800) >= {PLANT_YEAR}"""
 
 UNITS = f"""units AS (
   SELECT p_name AS STATION, 'P' || p_partkey AS unit,

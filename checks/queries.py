@@ -199,8 +199,9 @@ def plant_inputs(
     ]
     specs = stations.select(
         *ids,
-        (F.lit(1995) + key % 5).cast("int").alias("AvaliableDate"),
-        (F.lit(1997) + key % 4).cast("int").alias("ExpectedRetirementYear"),
+        (F.lit(1990) + F.floor(F.col("s_acctbal") / 1000)).cast("int").alias("AvaliableDate"),
+        (F.lit(2005) - F.floor(F.col("s_acctbal") / 800)).cast("int")
+        .alias("ExpectedRetirementYear"),
         *[(key + i).alias(c) for i, c in enumerate(others)],
     )
     items = table(spark, sf, "lineitem").select(

@@ -19,7 +19,7 @@ from gridtally.functions import (
     zero_if_null,
 )
 from gridtally.operators.grains import aggregate_by
-from gridtally.operators.reshape import to_wide
+from gridtally.operators.reshape import literal, to_wide
 
 # The model's nodes; the first five are physical regions.
 NODES = {
@@ -68,7 +68,7 @@ class Network:
 
     def node_table(self, spark: SparkSession) -> DataFrame:
         """``node, name``: as many rows as the network has nodes."""
-        rows = ", ".join(f"({int(k)}, '{v}')" for k, v in self.nodes.items())
+        rows = ", ".join(f"({int(k)}, {literal(v)})" for k, v in self.nodes.items())
         return spark.sql(f"SELECT node, name FROM VALUES {rows} AS nodes(node, name)")
 
     def link_table(self, spark: SparkSession) -> DataFrame:
@@ -81,7 +81,8 @@ class Network:
             for b in self.nodes.values():
                 physical = self.recode.get(f"{a}_{b}", f"{a}_{b}")
                 start, end = physical.split("_")[0], physical.split("_")[-1]
-                rows.append(f"('{a}_{b}', '{a}', '{b}', '{physical}', '{start}', '{end}')")
+                cells = (f"{a}_{b}", a, b, physical, start, end)
+                rows.append(f"({', '.join(map(literal, cells))})")
         columns = ", ".join(f"`{c}`" for c in ("link", *LINK_ENDS))
         return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS links({columns})")
 
@@ -102,7 +103,7 @@ def name_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
 
 def _ends_of(network: Network) -> dict[str, Column]:
     """The ends of a link from its name."""
-    pairs = ", ".join(f"'{link}', '{physical}'" for link, physical in network.recode.items())
+    pairs = ", ".join(literal(text) for pair in network.recode.items() for text in pair)
     physical = f"coalesce(try_element_at(map({pairs}), link), link)" if pairs else "link"
     return {
         "from_virtual": F.expr("split_part(link, '_', 1)"),
@@ -143,7 +144,7 @@ def arriving(flows: DataFrame, network: Network = Network()) -> DataFrame:
 
 
 def _price_at(end: str, regions: Sequence[str]) -> Column:
-    cases = " ".join(f"WHEN '{r}' THEN `_at_{r}`" for r in regions)
+    cases = " ".join(f"WHEN {literal(r)} THEN `_at_{r}`" for r in regions)
     return F.expr(f"CASE `{end}` {cases} END")
 
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridtally.functions import first_number
+
 
 def to_long(
     df: DataFrame, ids: Sequence[str], name: str, value: str, columns: Sequence[str] | None = None
@@ -43,19 +45,25 @@ def yearly_to_long(
             {"year": F.lit(None).cast("int"), value: F.lit(None).cast("double")}
         )
     long = to_long(df.select(*ids, *[F.col(f"`{c}`") for c in chosen]), ids, "_name", value)
-    years = F.regexp_extract("_name", r"(\d+)", 1).cast("int")
+    years = first_number(F.col("_name")).cast("int")
     return long.select(*ids, years.alias("year"), value)
 
 
+def literal(text: str) -> str:
+    """Text as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def only_value(name: str, wanted: str, value: str, alias: str) -> Column:
     """Aggregate: the value of the one row named ``wanted``; an error if there are several.
 
     Written as one SQL expression per cell, so that wide tables are quick to plan.
     """
-    here = f"`{name}` = '{wanted}'"
-    problem = f"more than one row for {name} {wanted} in a group"
+    here = f"`{name}` = {literal(wanted)}"
+    problem = literal(f"more than one row for {name} {wanted} in a group")
     return F.expr(
-        f"CASE WHEN count_if({here}) > 1 THEN cast(raise_error('{problem}') AS DOUBLE) "
+        f"CASE WHEN count_if({here}) > 1 THEN cast(raise_error({problem}) AS DOUBLE) "
         f"ELSE max(CASE WHEN {here} THEN `{value}` END) END AS `{alias}`"
     )
 

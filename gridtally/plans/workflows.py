@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridtally.operators.calendar import HorizonMap
 from gridtally.operators.hourly import hourly_demand, hourly_flow_wide, hourly_price_wide
+from gridtally.operators.model import stamped_long, storage_net_output
 from gridtally.operators.network import REGIONS, Network
 from gridtally.operators.plants import plant_table
 from gridtally.plans.backtest import actual_facts, both_sides, model_facts
@@ -92,6 +93,30 @@ def prepare_plants(
     return plants
 
 
+def storage_tables(
+    spark: SparkSession, model: str, year: int, horizons: HorizonMap = HorizonMap()
+) -> dict[str, DataFrame]:
+    """Net output and level of storage units, from the outputs of one run.
+
+    The files are ``…Charge_Units``, ``…Discharge_Units`` and ``…Storage_Level``; hours come
+    from the horizons, as in every other output.
+    """
+
+    def long(name: str, value: str) -> DataFrame:
+        path = files.only_file(spark, model, f"*{name}*")
+        wide = model_files.read_model_table(spark, path)
+        return stamped_long(wide, year, "unit", value, horizons)
+
+    units = model_files.read_unit_metadata(
+        spark, files.only_file(spark, model, files.UNIT_FILES)
+    )
+    charge, discharge = long("Charge_Units", "charge"), long("Discharge_Units", "discharge")
+    return {
+        "Charge_Discharge": storage_net_output(charge, discharge, units),
+        "Storage_Level": long("Storage_Level", "level"),
+    }
+
+
 def compare(
     market: MarketYear,
     model: str,

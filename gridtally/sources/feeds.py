@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.functions import drop_suffix
 from gridtally.operators.hourly import FLOW_FEED_LINKS
 from gridtally.sources.files import read_any, typed
 
@@ -85,8 +84,3 @@ def read_flow_feed(
     """``date_time`` and one column per link; the feed's columns are known by order."""
     raw = read_any(spark, paths, fmt).toDF(STAMP, *links)
     return _stamped(typed(raw, {STAMP: "timestamp_ntz"}))
-
-
-def region_of_feed(df: DataFrame, column: str = "REGION") -> DataFrame:
-    """Region names of feeds carry a trailing ``1`` that those of the model lack."""
-    return df.withColumn(column, drop_suffix(F.col(column), "1"))

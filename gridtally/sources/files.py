@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from gridtally.operators.reshape import stack
 
-# File name patterns of model inputs and outputs.
+# File name patterns of model inputs.
 UNIT_FILES = "INPUT*GENERATION*"
 ZONAL_FILES = "INPUT*_ZONAL_*"
-RESULT_FILES = "*Outputs*"
 
 
 def matching_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:

@@ -13,7 +13,13 @@ from gridtally.operators.network import REGIONS
 from gridtally.plans.backtest import actual_facts, both_sides, model_facts
 from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
 from gridtally.plans.results import Comparison, write_results
-from gridtally.plans.workflows import MarketYear, compare, prepare_demand, prepare_plants
+from gridtally.plans.workflows import (
+    MarketYear,
+    compare,
+    prepare_demand,
+    prepare_plants,
+    storage_tables,
+)
 from gridtally.sources import feeds, files, layer, model_files
 from gridtally.sources.staging import SETTING, stage, staging_folder
 
@@ -77,9 +83,20 @@ def model_folder(tmp_path_factory):
     write_csv(root / "SystemMarginalPrice.csv", [["", "", "1", "2", "9"], *[[*i, 11, 22, 0] for i in index]])
     write_csv(root / "IC_Flows_Hourly.csv", [["", "", 1, 6], ["", "", 6, 2], *[[*i, 8, ""] for i in index[:2]],
                                   [*index[2], 8, 8]])
+    write_csv(root / "Outputs_Charge_Units.csv", [["", "", "U1", "U2"], *[[*i, 3, 0] for i in index]])
+    write_csv(root / "Outputs_Discharge_Units.csv", [["", "", "U1", "U2"], *[[*i, 1, 0] for i in index]])
+    write_csv(root / "Outputs_Storage_Level.csv", [["", "", "U1", "U2"], *[[*i, 9, 8] for i in index]])
     return root
 
 
+def test_storage_tables(spark, rows, model_folder):
+    tables = storage_tables(spark, str(model_folder), 2021)
+    h0, h1 = datetime(2021, 1, 1), datetime(2021, 1, 1, 1)
+    assert rows(tables["Charge_Discharge"], "date_time", "unit", "output", "REGION") == [
+        (h0, "U1", -2.0, "NSW"), (h1, "U1", -2.0, "NSW")]
+    assert tables["Storage_Level"].count() == 4
+
+
 def test_station_metadata(spark, rows, feed_files):
     found = feeds.read_station_metadata(spark, feed_files["meta"])
     assert rows(found, "station", "Tech") == [("A", "Wind"), ("B", "Coal"), ("C", None)]
@@ -130,7 +147,7 @@ def test_price_and_flow_feeds(spark, feed_files):
 def test_finding_files(spark, model_folder):
     found = files.matching_files(spark, str(model_folder), files.ZONAL_FILES)
     assert found.count() == 2
-    assert files.only_file(spark, str(model_folder), files.RESULT_FILES).endswith("Outputs_Electricity_dispatch.csv")
+    assert files.only_file(spark, str(model_folder), "*Electricity_dispatch*").endswith("Outputs_Electricity_dispatch.csv")
     with pytest.raises(ValueError, match="several"):
         files.only_file(spark, str(model_folder), files.ZONAL_FILES)
     with pytest.raises(ValueError, match="no file"):

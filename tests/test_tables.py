@@ -27,6 +27,13 @@ def test_to_wide(spark, rows):
     assert rows(wide) == [(1, 2.0, None), (2, None, 3.0)]
 
 
+def test_to_wide_takes_any_name(spark, rows):
+    names = ["O'Brien \\ Co", "MIDDLE EAST", "a.b"]
+    df = spark.createDataFrame([(1, n, float(i)) for i, n in enumerate(names)], "id int, k string, v double")
+    wide = reshape.to_wide(df, ["id"], "k", "v", names)
+    assert wide.columns == ["id", *names] and rows(wide) == [(1, 0.0, 1.0, 2.0)]
+
+
 def test_to_wide_refuses_duplicates(spark):
     df = spark.createDataFrame([(1, "a", 2.0), (1, "a", None)], "id int, k string, v double")
     with pytest.raises(Exception, match="more than one row for k a"):
