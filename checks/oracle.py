@@ -237,7 +237,8 @@ def generation_totals(label: str) -> str:
 
 
 def mean_price(label: str, template: str) -> str:
-    return f"{PRICES_ONLY} SELECT side{label}, {cells(REGIONS, template)} FROM price_wide GROUP BY ALL"
+    means = cells(REGIONS, template)
+    return f"{PRICES_ONLY} SELECT side{label}, {means} FROM price_wide GROUP BY ALL"
 
 
 def load_weighted(label: str, template: str) -> str:

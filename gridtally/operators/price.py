@@ -47,7 +47,9 @@ def price_and_weight_wide(
     weight_name = F.concat("REGION", F.lit("_W")).alias("column")
     rows = stack(
         [
-            prices.select(*ids, F.col("REGION").alias("column"), F.col("spot_price").alias("value")),
+            prices.select(
+                *ids, F.col("REGION").alias("column"), F.col("spot_price").alias("value")
+            ),
             weights.select(*ids, weight_name, F.col("weight").alias("value")),
         ]
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridtally.operators.model import EXOGENOUS_SERIES, unit_metadata
 from gridtally.operators.plants import PLANT_KEYS
