@@ -16,10 +16,15 @@ SETTING = "spark.checkpoint.dir"
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder; a temporary one only where Spark runs in a single process."""
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    context = spark.sparkContext
+    folder = (
+        spark.conf.get(SETTING, None)
+        or context.getConf().get(SETTING)
+        or context.getCheckpointDir()
+    )
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="gridtally-")
     spark.conf.set(SETTING, folder)

@@ -209,6 +209,7 @@ def test_staging(spark, rows):
     staged = stage(df, "numbers")
     assert rows(staged) == rows(df)
     assert spark.conf.get(SETTING) == staging_folder(spark)
+    assert (staging_folder(spark) + "/numbers-") in staged.inputFiles()[0]
     assert "Range" not in staged._jdf.queryExecution().executedPlan().toString()
 
 
