@@ -1,3 +1,28 @@
 """DuckDB statements for the queries of this package that SQL can express on whole tables."""
 
-ORACLE_SQL: dict[str, str] = {}
+_GAPS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH lines AS (
+    SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS place,
+           unnest(string_split(text, chr(10))) AS line
+    FROM documents
+), bare AS (
+    SELECT *, trim(line, {_GAPS}) AS bare FROM lines
+), often AS (
+    SELECT source, bare FROM (
+        SELECT source, bare, count(DISTINCT doc_id) AS pages FROM bare WHERE bare <> '' GROUP BY source, bare
+    ) JOIN (SELECT source, count(*) AS total FROM documents GROUP BY source) USING (source)
+    WHERE pages >= 5 AND pages > 0.07 * total
+), marked AS (
+    SELECT b.*, o.bare IS NOT NULL AS dropped
+    FROM bare b LEFT JOIN often o ON b.source = o.source AND b.bare = o.bare
+), kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE bare <> '') AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+           string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped) AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(text, '')) AS kept_sha256 FROM kept
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": LINE_DEDUP}

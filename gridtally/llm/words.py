@@ -19,6 +19,9 @@ SLICE_BYTES = 2 << 20
 
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII but letters and digits, for comparisons that ignore punctuation.
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[[b for b in range(128) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -68,6 +71,7 @@ class Words:
     ends: np.ndarray
     counts: np.ndarray
     values: np.ndarray
+    offsets: np.ndarray
 
     def begins(self) -> np.ndarray:
         """Index of each row's first word, and the number of words at the end."""
@@ -87,12 +91,6 @@ class Words:
         inverse = _powers(base, len(self.values) + 1)[1]
         return mixed((sums[at + length] - sums[at]) * inverse[at] + np.asarray(length, dtype=np.uint64))
 
-    def text(self, row_begin: int, row_end: int) -> list[str]:
-        """Words as strings, from one word index to another."""
-        raw = self.bytes
-        pairs = zip(self.starts[row_begin:row_end].tolist(), self.ends[row_begin:row_end].tolist(), strict=True)
-        return [raw[s:e].tobytes().decode("utf-8") for s, e in pairs]
-
 
 def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after the other, and each text's offset; null is empty."""
@@ -109,20 +107,21 @@ def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[Words]:
-    """The words of a column, some rows at a time. lower: A-Z count as a-z."""
+def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, marks: bool = False) -> Iterator[Words]:
+    """The words of a column, some rows at a time. lower: A-Z count as a-z. marks: ASCII punctuation
+    is between words, too."""
     raw, offsets = flat(texts)
     n, row = len(offsets) - 1, 0
     while row < n:
         end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
         end = min(max(end, row + 1), n)
         part = raw[offsets[row] : offsets[end]]
-        yield _words(_LOWER[part] if lower else part, offsets[row : end + 1] - offsets[row], row)
+        yield _words(_LOWER[part] if lower else part, offsets[row : end + 1] - offsets[row], row, _MARKS if marks else _GAP)
         row = end
 
 
-def _words(raw: np.ndarray, offsets: np.ndarray, first: int) -> Words:
-    inside = ~_GAP[raw]
+def _words(raw: np.ndarray, offsets: np.ndarray, first: int, gaps: np.ndarray) -> Words:
+    inside = ~gaps[raw]
     before = np.zeros(len(raw), dtype=bool)
     before[1:] = inside[:-1]
     after = np.zeros(len(raw), dtype=bool)
@@ -136,4 +135,4 @@ def _words(raw: np.ndarray, offsets: np.ndarray, first: int) -> Words:
     sums = _sums(raw.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
     values = (sums[ends] - sums[starts]) * _powers(_BYTE_BASE, len(raw) + 1)[1][starts]
     values = mixed(values + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    return Words(first, raw, starts, ends, counts, values)
+    return Words(first, raw, starts, ends, counts, values, offsets)
