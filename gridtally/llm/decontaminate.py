@@ -21,19 +21,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import ship
 from gridtally.llm.words import Words, mixed, slices
 
-WINDOW, STRIDE, BITS, RANK, SEED = 32, 16, 18, 256, 5
+WINDOW, STRIDE, BITS, RANK, SEED = 32, 16, 18, 512, 5
 #: Items compared at once; a larger benchmark is worked on in blocks of so many.
 ITEM_BLOCK = 20_000
 _ANSWER = r"[.!?:]\s+"
 
 
+def _words(column: pa.Array) -> Iterator[Words]:
+    return slices(pc.utf8_lower(column), marks=True)
+
+
 def _features(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -48,7 +52,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     total = np.zeros(1 << BITS, dtype=np.int64)
     n = 0
     for batch in batches:
-        for words in slices(batch.column("text"), lower=True, marks=True):
+        for words in _words(batch.column("text")):
             rows = np.repeat(np.arange(len(words.counts)), words.counts)
             pairs = np.unique((rows << BITS) | _features(words.values))
             total += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
@@ -89,7 +93,7 @@ def inverse_frequencies(texts: DataFrame) -> np.ndarray:
 
 def _passages(column: pa.Array, weights: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Row, features and normed TF-IDF of each passage of a few texts."""
-    for words in slices(column, lower=True, marks=True):
+    for words in _words(column):
         begins = words.begins()
         for row, count in enumerate(words.counts):
             for start in _starts(int(count)):
@@ -172,7 +176,7 @@ def latent_space(benchmark: DataFrame, weights, rank: int = RANK) -> Latent:
     square, left = np.linalg.eigh(table.T @ table) if table.size else (np.zeros(0), np.zeros((0, 0)))
     keep = square > (square[-1] if len(square) else 0) * 1e-9
     vectors = table @ (left[:, keep] / np.sqrt(square[keep])) if table.size else table
-    return Latent(place, np.vstack([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32))
+    return Latent(place, vectors.astype(np.float32))
 
 
 @dataclass
@@ -189,7 +193,7 @@ class Items:
 def _items(rows: list, weights: np.ndarray, space: Latent) -> Items:
     def words_of(texts: list[str]) -> list[np.ndarray]:
         out = []
-        for words in slices(pa.array(texts, pa.string()), lower=True, marks=True):
+        for words in _words(pa.array(texts, pa.string())):
             begins = words.begins()
             out.extend(words.values[b:e] for b, e in zip(begins[:-1], begins[1:], strict=True))
         return out
@@ -239,16 +243,23 @@ def _candidates(words: Words, items: Items, weights: np.ndarray, space: Latent,
     inside = np.concatenate(([0.0], np.cumsum(np.where(place >= 0, weight**2, 0))))
     full = square[end] - square[first]
     # the part of a passage in the space is no longer than the part in its words
-    maybe = np.flatnonzero(inside[end] - inside[first] >= (floor * floor) * full)
-    padded_place = np.concatenate((place, np.full(WINDOW, -1, dtype=place.dtype)))
-    padded_weight = np.concatenate((weight, np.zeros(WINDOW))).astype(np.float32)
-    windows, scales = sliding_window_view(padded_place, WINDOW), sliding_window_view(padded_weight, WINDOW)
+    part = inside[end] - inside[first]
+    maybe = np.flatnonzero((part > 0) & (part >= (floor * floor) * full))
+    # only words of the space add to a passage's place in it
+    held = np.flatnonzero(place >= 0)
+    before = np.searchsorted(held, first[maybe]), np.searchsorted(held, end[maybe])
     out = []
-    for begin in range(0, len(maybe), 512):
-        some = maybe[begin : begin + 512]
-        valid = np.arange(WINDOW) < (end[some] - first[some])[:, None]
-        at = np.where(valid, windows[first[some]], -1)
-        x = np.einsum("nwr,nw->nr", space.vectors[at], np.where(valid, scales[first[some]], 0), optimize=True)
+    for begin in range(0, len(maybe), 1024):
+        some = maybe[begin : begin + 1024]
+        low, high = (b[begin : begin + 1024] for b in before)
+        sizes = high - low
+        each = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+        at = held[each]
+        # a dense table of passages and the words they hold
+        names, column = np.unique(place[at], return_inverse=True)
+        cell = np.repeat(np.arange(len(some)), sizes) * len(names) + column
+        table = np.bincount(cell, weight[at], minlength=len(some) * len(names)).reshape(len(some), len(names))
+        x = table.astype(np.float32) @ space.vectors[names]
         near = (x @ items.latent.T) >= floor * np.sqrt(full[some])[:, None]
         passage, which = np.nonzero(near)
         out.append(np.column_stack((rows[some][passage], start[some][passage], items.owners[which])))
@@ -263,7 +274,7 @@ def _search(items, weights, space, floor: float, copy_share: float, answer_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in slices(batch.column("text"), lower=True, marks=True):
+            for words in _words(batch.column("text")):
                 n, begins = len(words.counts), words.begins()
                 given = batch.slice(words.first, n)
                 leaked = given.column("contaminated").to_numpy(zero_copy_only=False).copy()
@@ -276,8 +287,12 @@ def _search(items, weights, space, floor: float, copy_share: float, answer_share
                     low = begins[row] + max(start - len(own) // 2, 0)
                     high = min(begins[row] + start + WINDOW + len(own), begins[row + 1])
                     text = words.values[low:high]
-                    found = round(common_share(own, text, weights.value[_features(own)]), 6)
-                    if found < answer_share and found <= share[row]:
+                    weight = weights.value[_features(own)]
+                    # no subsequence weighs more than the item's words that occur at all
+                    if weight[np.isin(own, text)].sum() < answer_share * weight.sum():
+                        continue
+                    found = round(common_share(own, text, weight), 6)
+                    if found < answer_share:
                         continue
                     answer = items.value.answers[which]
                     with_answer = common_share(answer, text, weights.value[_features(answer)]) >= 0.9
@@ -296,15 +311,15 @@ def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     keep: list[str],
-    floor: float = 0.35,
+    floor: float = 0.45,
     copy_share: float = 0.6,
     answer_share: float = 0.45,
 ) -> DataFrame:
     """The columns `keep` of each row of `docs` (text), contaminated, item_id, overlap, answer_found.
 
     `benchmark` has item_id and text, and may have answer; else an item's last sentence is its
-    answer. item_id and overlap are those of the item with the largest share; null and 0 if no
-    passage came near any. Items without words are left out. Null and empty texts are clean, and so
+    answer. item_id and overlap are those of the item with the largest share; null and 0 where none
+    reaches `answer_share`. Items without words are left out. Null and empty texts are clean, and so
     is everything if the benchmark is empty. Repeated rows get the same verdict. A column of `keep`
     with the name of a new one gives way to it.
     """
