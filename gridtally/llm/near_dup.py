@@ -7,9 +7,9 @@ documents is a candidate if any of their keys agree; at similarity s that fails
 of about 2 * (1 - s**2)**rows, 0.0002 at 0.8 with nine rows of two hashes, and less above.
 
 Documents with equal sets are one node from the start, so copies are never compared. Within a key
-all nodes are compared with the smallest (the pivot) first; only nodes that are then still in
-different components are compared with each other, unless their sizes or their similarities to the
-pivot already exclude a link (1 - similarity is a metric). No bucket is capped.
+all nodes are compared with the smallest (the pivot) first. Nodes of keys that still hold different
+components go through an exact prefix-filter join, which finds every link left between them without
+comparing all with all. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import Workspace, ship
@@ -189,6 +189,7 @@ def near_duplicates(
     shared = shared.where("pivot < last").drop("last")
     buckets = space.keep(keys.join(shared, "key").distinct(), "buckets")
 
+    # sets of all that may be compared, each computed once
     wanted = buckets.select("node").distinct()
     full = texts.join(wanted, texts["doc_id"] == wanted["node"]).select("node", "text")
     sets = space.keep(full.mapInArrow(_shingle_sets(shingle_words), f"node {id_type}, shingles binary"), "sets")
@@ -205,7 +206,7 @@ def near_duplicates(
     first = checked(first, "to-pivot")
     found = components(space, first.where("linked"), "first")
 
-    rest = _unsettled(space, buckets, first, found, percent)
+    rest = _unsettled(space, buckets, found, sets, id_type, percent)
     if rest.isEmpty():
         final = found
     else:
@@ -219,36 +220,62 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
 
+def _spread_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = np.diff(np.frombuffer(batch.column("shingles").buffers()[1], np.int32)[batch.column("shingles").offset :][: len(batch) + 1]) // 8
+        rows = pa.array(np.repeat(np.arange(len(batch)), sizes))
+        raw = b"".join(x.as_buffer().to_pybytes() for x in batch.column("shingles"))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("node").take(rows),
+                batch.column("size").take(rows),
+                batch.column("component").take(rows),
+                pa.array(np.frombuffer(raw, np.int64)),
+            ],
+            ["node", "size", "component", "shingle"],
+        )
+
+
 def _unsettled(
-    space: Workspace, buckets: DataFrame, first: DataFrame, found: DataFrame, percent: int
+    space: Workspace, buckets: DataFrame, found: DataFrame, sets: DataFrame, id_type: str, percent: int
 ) -> DataFrame:
-    """Pairs of a key that the comparisons with its pivot neither joined nor excluded."""
-    to_pivot = first.groupBy(F.col("a").alias("pivot"), F.col("b").alias("node")).agg(
-        F.max(F.col("common") / F.col("united")).alias("near")
-    )
-    placed = (
-        buckets.join(found, "node", "left")
-        .join(to_pivot, ["pivot", "node"], "left")
-        .select("key", "node", "size", "pivot", F.coalesce("component", "node").alias("component"), "near")
+    """Pairs that the comparisons with the pivots left open, by an exact prefix filter.
+
+    Two sets with `percent` in common share one of the first places of either, in an order common
+    to all, here from rare to frequent; a shared shingle at places i and j bounds what can follow.
+    So many variants of one text meet only if their own, rare shingles are few.
+    """
+    placed = buckets.join(found, "node", "left").select(
+        "key", "node", "size", F.coalesce("component", "node").alias("component")
     )
     split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    # the pivot itself has been compared with every node of its keys
-    rows = placed.where("node <> pivot").join(split.where("x <> y").select("key"), "key").drop("pivot")
-    rows = space.keep(rows, "unsettled")
-    one = rows.select("key", *(F.col(c).alias(f"{c}_a") for c in rows.columns if c != "key"))
-    other = rows.select("key", *(F.col(c).alias(f"{c}_b") for c in rows.columns if c != "key"))
-    slack = (100 - percent) / 100 + 1e-9
-
-    def fits() -> Column:
-        return F.expr(
-            "node_a < node_b AND component_a <> component_b"
-            f" AND 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)"
-            f" AND abs(near_a - near_b) <= {slack}"
-        )
-
-    pairs = one.join(other, "key").where(fits())
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    return space.keep(pairs, "unsettled-pairs")
+    split = split.where("x <> y").select("key")
+    nodes = space.keep(placed.join(split, "key").select("node", "size", "component").distinct(), "open-nodes")
+    runs = sets.join(nodes, "node").select("node", "size", "component", "shingles")
+    runs = runs.mapInArrow(_spread_out, f"node {id_type}, size long, component {id_type}, shingle long")
+    runs = space.keep(runs, "open-shingles")
+
+    often = runs.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    rare_first = Window.partitionBy("node").orderBy("often", "shingle")
+    ranked = runs.join(often, "shingle").withColumn("place", F.row_number().over(rare_first))
+    # the share of a set that may be missing in the other
+    first = f"place <= size - (size * {percent} + 99) div 100 + 1 AND often > 1"
+    prefix = space.keep(ranked.where(first).drop("often"), "open-prefixes")
+    # a shingle's rows of its largest component need not meet each other
+    weight = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    largest = prefix.join(weight, "component").groupBy("shingle")
+    largest = largest.agg(F.max(F.struct("weight", "component"))["component"].alias("largest"))
+    one = prefix.join(largest, "shingle").where("component <> largest").drop("largest")
+    one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "place")))
+    other = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "component", "place")))
+    near = F.expr(
+        "component_a <> component_b"
+        f" AND 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)"
+        f" AND {100 + percent} * (1 + least(size_a - place_a, size_b - place_b)) >= {percent} * (size_a + size_b)"
+    )
+    pairs = one.join(other, "shingle").where(near)
+    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    return space.keep(pairs.distinct(), "open-pairs")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
