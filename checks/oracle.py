@@ -415,8 +415,9 @@ ORACLE_SQL: dict[str, str] = {
         hours AS (
           SELECT *, datediff('day', DATE '{FIRST_DAY}', CAST(o_orderdate AS DATE)) + 1 - 720 AS h
           FROM series)
-        SELECT {MODEL_STAMP} AS date_time, REGION, FUEL_TYPE_TEXT, output
-        FROM hours WHERE h BETWEEN 1 AND 8760""",
+        SELECT TIMESTAMP '2020-01-01' + INTERVAL (h - 1) HOUR AS date_time, REGION, FUEL_TYPE_TEXT, output
+        FROM hours WHERE h BETWEEN 1 AND 8784
+          AND CAST(TIMESTAMP '2020-01-01' + INTERVAL (h - 1) HOUR AS DATE) <> DATE '2020-02-28'""",
     "storage_net_output": f"""WITH {UNITS},
         charged AS (
           SELECT l_shipdate, l_partkey, sum(l_quantity) AS charge

@@ -102,11 +102,18 @@ def hourly_technology(
 
 
 def technology_wide(
-    totals: DataFrame, technologies: Sequence[str], keys: Sequence[str] = ()
+    totals: DataFrame,
+    technologies: Sequence[str],
+    keys: Sequence[str] = (),
+    other: str | None = None,
 ) -> DataFrame:
-    """One column per technology; a technology without output in an hour is 0."""
-    wide = to_wide(totals, ["date_time", *keys], "Tech", "output", technologies)
-    return wide.fillna(0.0, subset=list(technologies))
+    """One column per technology; a technology without output in an hour is 0.
+
+    Other technologies add to the column ``other``; without it they are an error.
+    """
+    columns = [*technologies, *([other] if other else [])]
+    wide = to_wide(totals, ["date_time", *keys], "Tech", "output", technologies, other=other)
+    return wide.fillna(0.0, subset=columns)
 
 
 def hourly_price(

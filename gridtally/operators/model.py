@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.operators.calendar import HorizonMap, stamp_horizons, timestamp_of_hour
+from gridtally.operators.calendar import (
+    HorizonMap,
+    hour_of_timestamp,
+    stamp_horizons,
+    timestamp_of_hour,
+)
 from gridtally.operators.reshape import to_long
 from gridtally.operators.windows import PAD_HOURS
 
@@ -88,7 +93,7 @@ def model_flow(
     so its size is that of one row. Missing flows are 0.
     """
     long = stamped_long(wide, year, "position", "flow", horizons, keys)
-    joined = long.join(F.broadcast(link_columns), "position")
+    joined = long.join(link_columns, "position")
     return joined.withColumn("flow", F.coalesce("flow", F.lit(0.0))).drop("position")
 
 
@@ -102,13 +107,15 @@ def exogenous_series(
 ) -> DataFrame:
     """Zonal inputs of the model year as rows ``date_time, REGION, FUEL_TYPE_TEXT, output``.
 
-    ``Time`` numbers the hours of the padded year; the padding on either side is left out.
+    ``Time`` numbers the hours of the padded year, in a leap year all 8,784; the padding on
+    either side is left out, and so are the hours that the model leaves out.
     """
     horizons.check_year(year)
-    time = F.col("Time")
-    inside = zonal.where(time.between(pad_hours + 1, pad_hours + horizons.hours))
-    stamp = timestamp_of_hour(time - pad_hours, year, horizons.leap)
-    named = inside.withColumn("date_time", stamp).join(regions, "REGION_KEY", "left")
+    hour = F.col("Time") - pad_hours
+    stamped = zonal.withColumn("date_time", timestamp_of_hour(hour, year, "all"))
+    own = (hour >= 1) & (F.year("date_time") == year)
+    modelled = hour_of_timestamp(F.col("date_time"), horizons.leap).isNotNull()
+    named = stamped.where(own & modelled).join(regions, "REGION_KEY", "left")
     ids = ["date_time", *keys, "REGION"]
     return to_long(
         named.select(*ids, *EXOGENOUS_SERIES), ids, "FUEL_TYPE_TEXT", "output"

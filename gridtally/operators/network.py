@@ -6,6 +6,7 @@ any extra grouping columns, such as ``side`` or a scenario.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -50,8 +51,6 @@ LINK_RECODE = {
 
 
 LINK_ENDS = ["from_virtual", "to_virtual", "from_to", "from", "to"]
-# beyond this many nodes the pairs are not listed, and link names are taken apart instead
-MAX_LISTED_NODES = 100
 
 
 @dataclass(frozen=True)
@@ -71,64 +70,43 @@ class Network:
         rows = ", ".join(f"({int(k)}, {literal(v)})" for k, v in self.nodes.items())
         return spark.sql(f"SELECT node, name FROM VALUES {rows} AS nodes(node, name)")
 
-    def link_table(self, spark: SparkSession) -> DataFrame:
-        """Both ends of every link of the network, all nodes and physical regions only.
-
-        One row per ordered pair of nodes, so its size is known from the network.
-        """
-        rows = []
-        for a in self.nodes.values():
-            for b in self.nodes.values():
-                physical = self.recode.get(f"{a}_{b}", f"{a}_{b}")
-                start, end = physical.split("_")[0], physical.split("_")[-1]
-                cells = (f"{a}_{b}", a, b, physical, start, end)
-                rows.append(f"({', '.join(map(literal, cells))})")
-        columns = ", ".join(f"`{c}`" for c in ("link", *LINK_ENDS))
-        return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS links({columns})")
-
 
 def name_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
-    """Node numbers ``from_node`` and ``to_node`` become the ``link`` name ``FROM_TO``.
-
-    The node table is a literal of fixed size, hence the broadcast.
-    """
+    """Node numbers ``from_node`` and ``to_node`` become the ``link`` name ``FROM_TO``."""
     nodes = network.node_table(flows.sparkSession)
-    start = F.broadcast(nodes.toDF("from_node", "_from"))
-    end = F.broadcast(nodes.toDF("to_node", "_to"))
-    named = flows.join(start, "from_node", "left").join(end, "to_node", "left")
+    named = flows.join(nodes.toDF("from_node", "_from"), "from_node", "left")
+    named = named.join(nodes.toDF("to_node", "_to"), "to_node", "left")
     return named.withColumn("link", F.concat("_from", F.lit("_"), "_to")).drop(
         "from_node", "to_node", "_from", "_to"
     )
 
 
-def _ends_of(network: Network) -> dict[str, Column]:
-    """The ends of a link from its name."""
-    pairs = ", ".join(literal(text) for pair in network.recode.items() for text in pair)
-    physical = f"coalesce(try_element_at(map({pairs}), link), link)" if pairs else "link"
-    return {
-        "from_virtual": F.expr("split_part(link, '_', 1)"),
-        "to_virtual": F.expr("split_part(link, '_', -1)"),
-        "from_to": F.expr(physical),
-        "from": F.expr(f"split_part({physical}, '_', 1)"),
-        "to": F.expr(f"split_part({physical}, '_', -1)"),
-    }
+def _end(link: str, names: Sequence[str], end: int) -> str:
+    """SQL for an end of a link, 1 or 2: names may hold ``_``, so the network's are tried first."""
+    either = "|".join(re.escape(n) for n in sorted(names, key=lambda n: (-len(n), n)))
+    known = f"nullif(regexp_extract({link}, {literal(f'^({either})_({either})$')}, {end}), '')"
+    return f"coalesce({known}, split_part({link}, '_', {1 if end == 1 else -1}))"
 
 
 def resolve_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
     """Add the ends of each link: all nodes, and physical regions only.
 
     ``from_virtual, to_virtual`` are the link's own ends; ``from_to, from, to`` its physical
-    ones. Links that are not recoded keep their name. Links between the network's nodes are
-    looked up in a literal table; the names of others are taken apart.
+    ones. Links that are not recoded keep their name. The ends of a name are the two nodes of
+    the network that it joins; names of other links are cut at their first and last ``_``.
     """
-    ends = _ends_of(network)
-    if len(network.nodes) > MAX_LISTED_NODES:
-        return flows.withColumns(ends)
-    listed = F.broadcast(network.link_table(flows.sparkSession))
-    joined = flows.join(listed.withColumnsRenamed({c: f"_{c}" for c in LINK_ENDS}), "link", "left")
-    return joined.select(
-        *flows.columns, *[F.coalesce(f"_{c}", ends[c]).alias(c) for c in LINK_ENDS]
-    )
+    pairs = ", ".join(literal(text) for pair in network.recode.items() for text in pair)
+    physical = f"coalesce(try_element_at(map({pairs}), link), link)" if pairs else "link"
+    names = list(network.nodes.values())
+    ends = {
+        "from_virtual": _end("link", names, 1),
+        "to_virtual": _end("link", names, 2),
+        "from_to": physical,
+        "from": _end("from_to", names, 1),
+        "to": _end("from_to", names, 2),
+    }
+    own = flows.withColumns({c: F.expr(ends[c]) for c in LINK_ENDS[:3]})
+    return own.withColumns({c: F.expr(ends[c]) for c in LINK_ENDS[3:]})
 
 
 def arriving(flows: DataFrame, network: Network = Network()) -> DataFrame:

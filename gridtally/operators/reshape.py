@@ -75,14 +75,28 @@ def to_wide(
     value: str,
     columns: Sequence[str],
     suffix: str = "",
+    other: str | None = None,
 ) -> DataFrame:
     """One column per entry of ``columns``; duplicate (ids, name) rows are an error.
 
     The columns are given, so no job is needed to find them, and one aggregation with
-    map-side combine does the work.
+    map-side combine does the work. A row with a name that is not listed is an error, or adds
+    to the column ``other``; names that are null count as not listed.
     """
     cells = [only_value(name, c, value, f"{c}{suffix}") for c in columns]
-    return df.groupBy(*ids).agg(*cells)
+    listed = ", ".join(literal(c) for c in columns)
+    unlisted = f"NOT coalesce(`{name}` IN ({listed}), false)" if columns else "true"
+    if other is not None:
+        rest = F.expr(f"sum(CASE WHEN {unlisted} THEN `{value}` END)").alias(f"{other}{suffix}")
+        return df.groupBy(*ids).agg(*cells, rest)
+    problem = literal(f"{name} not among the columns: ")
+    stray = f"max(CASE WHEN {unlisted} THEN coalesce(cast(`{name}` AS STRING), 'null') END)"
+    fail = f"cast(raise_error(concat({problem}, {stray})) AS DOUBLE)"
+    guard = F.expr(f"CASE WHEN {stray} IS NOT NULL THEN {fail} END AS `__unlisted`")
+    grouped = df.groupBy(*ids).agg(*cells, guard)
+    # each cell refers to the guard, so that no choice of columns can lose it
+    names = [f"{c}{suffix}" for c in columns]
+    return grouped.select(*ids, *(F.coalesce("__unlisted", F.col(f"`{n}`")).alias(n) for n in names))
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:

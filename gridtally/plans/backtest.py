@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.operators import model, network
-from gridtally.operators.calendar import HorizonMap
+from gridtally.operators.calendar import HorizonMap, hour_of_timestamp
 from gridtally.operators.network import Network
 from gridtally.operators.reshape import stack
 from gridtally.operators.windows import PAD_HOURS
@@ -54,8 +54,19 @@ def model_facts(
     )
 
 
-def actual_facts(technologies: DataFrame, prices: DataFrame, flows: DataFrame) -> Facts:
-    """Hourly tables of the market as facts: by technology, by region and by link."""
+def actual_facts(
+    technologies: DataFrame,
+    prices: DataFrame,
+    flows: DataFrame,
+    horizons: HorizonMap | None = None,
+) -> Facts:
+    """Hourly tables of the market as facts: by technology, by region and by link.
+
+    With ``horizons``, hours that the model leaves out of a leap year are left out here, too.
+    """
+    if horizons is not None:
+        modelled = hour_of_timestamp(F.col("date_time"), horizons.leap).isNotNull()
+        technologies, prices, flows = (t.where(modelled) for t in (technologies, prices, flows))
     output = technologies.select(
         "date_time", "REGION", F.col("Tech").alias("FUEL_TYPE_TEXT"), "output"
     )

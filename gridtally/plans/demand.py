@@ -53,7 +53,8 @@ def zonal_inputs(
     ``demand`` is the hourly demand, ``technologies`` the hourly output by technology (long).
     All regions and years are one table.
     """
-    wide = technology_wide(technologies, EXOGENOUS, ["REGION"])
+    # what is dispatched is not subtracted from demand
+    wide = technology_wide(technologies, EXOGENOUS, ["REGION"], other="Dispatched")
     hours = residual_demand(demand, wide, ["REGION"], hydro)
     year = F.year("date_time")
     indexed = hours.select(

@@ -36,30 +36,31 @@ class MarketYear:
             raise ValueError(f"no {name} file of {self.year} in {self.raw}")
         return paths
 
-    def _hourly(self, name: str, build) -> DataFrame:
-        return layer.hourly_or_build(self.spark, f"{self.hourly}/{name}", build, self.year)
+    def _hourly(self, name: str, build, regions: Sequence[str] | None = None) -> DataFrame:
+        path = f"{self.hourly}/{name}"
+        return layer.hourly_or_build(self.spark, path, build, self.year, regions)
 
-    def demand(self) -> DataFrame:
+    def demand(self, regions: Sequence[str] | None = None) -> DataFrame:
         def build() -> DataFrame:
             feed = feeds.read_demand_feed(self.spark, self._files("Demand"))
             return hourly_demand(feed, ["REGION"])
 
-        return self._hourly("demand", build)
+        return self._hourly("demand", build, regions)
 
-    def technologies(self) -> DataFrame:
+    def technologies(self, regions: Sequence[str] | None = None) -> DataFrame:
         def build() -> DataFrame:
             stations = feeds.read_station_metadata(self.spark, self._files("Metadata"))
             feed = feeds.read_generation_feed(self.spark, self._files("Generation"))
             return hourly_technology_wide_feed(feed, stations)
 
-        return self._hourly("generation", build)
+        return self._hourly("generation", build, regions)
 
     def prices(self, regions: Sequence[str] = tuple(REGIONS)) -> DataFrame:
         def build() -> DataFrame:
             feed = feeds.read_price_feed(self.spark, self._files("Price"))
             return hourly_price_wide(feed, regions)
 
-        return self._hourly("price", build)
+        return self._hourly("price", build, regions)
 
     def flows(self) -> DataFrame:
         def build() -> DataFrame:
@@ -78,17 +79,27 @@ def prepare_demand(
     """Write the zonal inputs of the regions; ``options`` are those of ``demand_tables``."""
     wanted = F.col("REGION").isin(list(regions))
     tables = demand_tables(
-        market.demand().where(wanted), market.technologies().where(wanted), reserves, **options
+        market.demand(regions).where(wanted),
+        market.technologies(regions).where(wanted),
+        reserves,
+        **options,
     )
     layer.write_zonal(tables, out)
     return tables
 
 
 def prepare_plants(
-    spark: SparkSession, specs: str, capacity: str, cost: str, year: int, out: str
+    spark: SparkSession,
+    specs: str,
+    capacity: str,
+    cost: str,
+    year: int,
+    out: str,
+    text: Sequence[str] = (),
 ) -> DataFrame:
-    """Write the plant table of a year from the assumption files."""
-    plants = plant_table(*model_files.read_assumptions(spark, specs, capacity, cost), year)
+    """Write the plant table of a year from the assumption files; ``text`` names text columns."""
+    tables = model_files.read_assumptions(spark, specs, capacity, cost, text=text)
+    plants = plant_table(*tables, year)
     layer.write_plants(plants, out)
     return plants
 
@@ -147,7 +158,10 @@ def compare(
         network,
     )
     actual = actual_facts(
-        market.technologies(), market.prices(network.regions), market.flows()
+        market.technologies(network.regions),
+        market.prices(network.regions),
+        market.flows(),
+        horizons,
     )
     return Comparison(
         both_sides(modelled, actual), fuels, links, network.regions, network=network

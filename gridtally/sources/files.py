@@ -46,10 +46,12 @@ def _csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> D
 def with_file_label(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Add a label taken from the name of the file each row was read from.
 
-    Only a table straight from a reader knows its files.
+    Only a table straight from a reader knows its files. A name without a label is an error.
     """
-    label = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
-    return df.select("*", label.alias(column))
+    file = F.col("_metadata.file_name")
+    label = F.regexp_extract(file, pattern, 1)
+    problem = F.raise_error(F.concat(F.lit(f"no {column} in the file name "), file))
+    return df.select("*", F.when(label != "", label).otherwise(problem.cast("string")).alias(column))
 
 
 def read_any(
@@ -79,9 +81,15 @@ def read_any(
 
 
 def typed(df: DataFrame, types: dict[str, str], default: str | None = "double") -> DataFrame:
-    """Cast columns by name; text that is no value of the type becomes null."""
+    """Cast columns by name; blanks and ``NA`` are null, other text that is no value an error."""
     columns = []
-    for name in df.columns:
+    for name, kind in df.dtypes:
         cell, wanted = F.col(f"`{name}`"), types.get(name, default)
-        columns.append((cell.try_cast(wanted) if wanted else cell).alias(name))
+        value = cell.try_cast(wanted) if wanted else cell
+        if wanted and kind == "string" and wanted != "string":
+            absent = cell.isNull() | F.upper(F.trim(cell)).isin("", "NA", "NAN", "NULL")
+            text = F.concat(F.lit(f"{name} is to be {wanted}, but holds "), cell)
+            problem = F.raise_error(text).cast(wanted)
+            value = F.when(value.isNotNull() | absent, value).otherwise(problem)
+        columns.append(value.alias(name))
     return df.select(*columns)

@@ -46,22 +46,35 @@ def read_hourly(
 
 
 def hourly_or_build(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], year: int | None = None
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    year: int | None = None,
+    regions: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The hourly table at ``path``, of one year if given.
+    """The hourly table at ``path``, of one year and of some regions if given.
 
-    If there is none, or none of that year, it is built and written first.
+    Regions of the year that it lacks are built and written first; what the source holds of
+    other years is not written, as it may be a part of them only.
     """
     years = None if year is None else [year]
+    lacking = None if regions is None else set(regions)
     try:
         found = read_hourly(spark, path, years)
-        if year is None or not found.isEmpty():
-            return found
+        if lacking:
+            lacking -= {row.REGION for row in found.select("REGION").distinct().collect()}
+        if (year is None or not found.isEmpty()) and not lacking:
+            return found if regions is None else read_hourly(spark, path, years, regions)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    write_hourly(build(), path)
-    return read_hourly(spark, path, years)
+    built = build()
+    if year is not None:
+        built = built.where(F.year("date_time") == year)
+    if lacking:
+        built = built.where(F.col("REGION").isin(sorted(lacking)))
+    write_hourly(built, path)
+    return read_hourly(spark, path, years, regions)
 
 
 def write_zonal(tables: dict[str, DataFrame], path: str) -> None:

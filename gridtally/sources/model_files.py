@@ -70,7 +70,7 @@ def read_zonal(spark: SparkSession, folder: str, fmt: str = "csv") -> DataFrame:
         if fmt == "parquet"
         else reader.option("header", "true").option("enforceSchema", "false").csv(folder)
     )
-    labelled = with_file_label(raw, "REGION_KEY", r"_ZONAL_(.)")
+    labelled = with_file_label(raw, "REGION_KEY", r"_ZONAL_(\d+)")
     wanted = labelled.select("Time", *EXOGENOUS_SERIES, "REGION_KEY")
     return typed(wanted, {"Time": "int", "REGION_KEY": "int"})
 

@@ -19,7 +19,8 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql()) == set(QUERIES)
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -345,3 +345,39 @@ def test_prepare_plants(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "plants"))
     assert back.columns == PLANT_COLUMNS
     assert [(r.DUID, r.CAPACITY, r.VARCOST) for r in back.collect()] == [("A", 10.0, 3.0)]
+
+
+def test_layer_holds_whole_years_and_all_regions_asked_for(spark, tmp_path):
+    def hours(year, region, extra=()):
+        stamps = [datetime(year, 1, 1, h) for h in range(24)] + list(extra)
+        return [(t, region, 1.0) for t in stamps]
+
+    def table_of(*parts):
+        return spark.createDataFrame([r for p in parts for r in p], "date_time timestamp_ntz, REGION string, v double")
+
+    path = str(tmp_path / "layer")
+    early = table_of(hours(2021, "NSW", [datetime(2022, 1, 1)]))
+    both = table_of(hours(2022, "NSW"), hours(2022, "SA"))
+    assert layer.hourly_or_build(spark, path, lambda: early, 2021, ["NSW"]).count() == 24
+    assert layer.hourly_or_build(spark, path, lambda: both, 2022, ["NSW"]).count() == 24
+    assert layer.hourly_or_build(spark, path, lambda: both, 2022, ["NSW", "SA"]).count() == 48
+    again = layer.hourly_or_build(spark, str(tmp_path / "other"), lambda: both, 2022)
+    assert layer.hourly_or_build(spark, str(tmp_path / "other"), lambda: early, 2021).count() == 24
+    assert again.count() == 48
+
+
+def test_region_keys_of_several_digits(spark, tmp_path):
+    for key in range(1, 13):
+        (tmp_path / f"INPUT_DATA_ZONAL_{key}.csv").write_text("Time,Demand,Wind,Solar,Hydro\n1,1,2,3,4\n")
+    found = model_files.read_zonal(spark, str(tmp_path))
+    assert sorted(r.REGION_KEY for r in found.collect()) == list(range(1, 13))
+    (tmp_path / "INPUT_DATA_ZONAL_X.csv").write_text("Time,Demand,Wind,Solar,Hydro\n1,1,2,3,4\n")
+    with pytest.raises(Exception, match="no REGION_KEY in the file name"):
+        model_files.read_zonal(spark, str(tmp_path)).collect()
+
+
+def test_text_that_is_no_number_is_an_error(spark, rows):
+    df = spark.createDataFrame([("1.5", "BLACK"), ("NA", None)], "v string, fuel string")
+    assert rows(files.typed(df, {"fuel": "string"})) == [(1.5, "BLACK"), (None, None)]
+    with pytest.raises(Exception, match="fuel is to be double, but holds BLACK"):
+        files.typed(df, {}).collect()

@@ -22,9 +22,50 @@ def test_to_long_keeps_nulls(spark, rows):
 def test_to_wide(spark, rows):
     df = spark.createDataFrame([(1, "a", 2.0), (1, "b", None), (2, "b", 3.0), (2, "z", 9.0)],
                                "id int, k string, v double")
-    wide = reshape.to_wide(df, ["id"], "k", "v", ["a", "b"], "_W")
+    wide = reshape.to_wide(df.where("k <> 'z'"), ["id"], "k", "v", ["a", "b"], "_W")
     assert wide.columns == ["id", "a_W", "b_W"]
     assert rows(wide) == [(1, 2.0, None), (2, None, 3.0)]
+    rest = reshape.to_wide(df, ["id"], "k", "v", ["a", "b"], other="rest")
+    assert rows(rest) == [(1, 2.0, None, None), (2, None, 3.0, 9.0)]
+
+
+@pytest.mark.parametrize("label", ["z", None])
+def test_to_wide_refuses_labels_that_are_not_listed(spark, label):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, label, 9.0)], "id int, k string, v double")
+    with pytest.raises(Exception, match="k not among the columns"):
+        reshape.to_wide(df, ["id"], "k", "v", ["a"]).select("a").collect()
+
+
+def test_node_names_may_hold_underscores(spark, rows):
+    few = network.Network({1: "N_1", 2: "N_2"}, (), {})
+    many = network.Network({k: f"N_{k}" for k in range(1, 151)}, (), {})
+    flows = spark.createDataFrame([("N_1_N_2",), ("X_Y_Z",)], "link string")
+    for grid in (few, many):
+        found = network.resolve_links(flows, grid)
+        assert rows(found, "link", "from_virtual", "to_virtual", "from_to", "from", "to") == [
+            ("N_1_N_2", "N_1", "N_2", "N_1_N_2", "N_1", "N_2"), ("X_Y_Z", "X", "Z", "X_Y_Z", "X", "Z")]
+
+
+def test_leap_year_round_trip(spark, rows, at):
+    """Padded hours of 2020 come back with the stamps they had, under every leap policy."""
+    from gridtally.operators.calendar import HorizonMap, hour_of_year
+    from gridtally.operators.windows import pad_year
+
+    series = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ'2020-01-01', TIMESTAMP_NTZ'2020-12-31 23:00:00',"
+                       " INTERVAL 1 HOUR)) AS date_time").withColumn("t", hour_of_year(F.col("date_time")))
+    source = series.select(F.lit("NSW").alias("REGION"), F.lit(2020).alias("year"), "t", F.col("t").cast("double").alias("Demand"))
+    padded = pad_year(source, F.lit(8784), 720, 10300)
+    zonal = padded.select(F.col("t").alias("Time"), "Demand", *(F.lit(0.0).alias(c) for c in ("Wind", "Solar", "Hydro")),
+                          F.lit(1).alias("REGION_KEY"))
+    keys = spark.createDataFrame([("NSW", 1)], "REGION string, REGION_KEY int")
+    for leap, hours in (("skip_feb28", 8760), ("skip_feb29", 8760), ("first_8760", 8760), ("all", 8784)):
+        try:
+            horizons = HorizonMap(leap=leap)
+            found = model.exogenous_series(zonal, keys, 2020, horizons).where("FUEL_TYPE_TEXT = 'Demand'")
+        except ValueError:  # the default horizons hold 8,760 hours
+            continue
+        joined = found.join(series, "date_time", "left")
+        assert found.count() == hours and joined.where("NOT output <=> t").count() == 0, leap
 
 
 def test_to_wide_takes_any_name(spark, rows):
