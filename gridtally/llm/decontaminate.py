@@ -35,7 +35,8 @@ _ANSWER = r"[.!?:]\s+"
 
 
 def _words(column: pa.Array) -> Iterator[Words]:
-    return slices(pc.utf8_lower(column), marks=True)
+    """Words without case; the sharp s has two capital letters, so it counts as two."""
+    return slices(pc.replace_substring(pc.utf8_lower(column), "ß", "ss"), marks=True)
 
 
 def _features(values: np.ndarray) -> np.ndarray:

@@ -215,7 +215,8 @@ def near_duplicates(
         final = components(space, links, "final")
 
     out = members.join(final, "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(linked, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
