@@ -172,7 +172,7 @@ def latent_space(benchmark: DataFrame, weights, rank: int = RANK) -> Latent:
     place = np.full(1 << BITS, -1, dtype=np.int32)
     names = np.array(sorted(sums), dtype=np.int64)
     place[names] = np.arange(len(names))
-    table = np.array([sums[n] for n in names.tolist()]).reshape(len(names), -1)
+    table = np.array([sums[n] for n in names.tolist()]).reshape(len(names), basis.shape[1])
     # rows of `table` are B transposed: B = U S V', so V = B' U / S
     square, left = np.linalg.eigh(table.T @ table) if table.size else (np.zeros(0), np.zeros((0, 0)))
     keep = square > (square[-1] if len(square) else 0) * 1e-9
