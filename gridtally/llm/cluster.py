@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: dict[str, str] = {}
@@ -80,3 +81,22 @@ class Workspace:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+#: Groups with more than one row in so many are joined by broadcast; there are fewer than that.
+HOT_SHARE = 10_000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str) -> DataFrame:
+    """`rows` with the columns of their group, without the rows of a large group in one task.
+
+    `groups` has one row for each `key` in `rows` and the number of its rows in `size`. The groups
+    that hold more than 1 / HOT_SHARE of all rows are fewer than HOT_SHARE, so they are broadcast;
+    the others are joined by a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) * HOT_SHARE > total
+    hot = F.broadcast(groups.where(large))
+    in_hot = rows.join(hot, key)
+    others = rows.join(hot.select(*key), key, "left_anti").join(groups.where(~large), key)
+    return in_hot.unionByName(others)

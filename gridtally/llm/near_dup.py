@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.llm.cluster import Workspace, ship
+from gridtally.llm.cluster import Workspace, ship, with_group
 from gridtally.llm.words import Words, mixed, slices
 
 _SIGNATURE = "n_shingles long, set_low long, set_high long, left array<long>, right array<long>"
@@ -175,10 +175,13 @@ def near_duplicates(
     signed = texts.mapInArrow(_signatures(shingle_words, rows, hashes), f"doc_id {id_type}, {_SIGNATURE}")
     signed = space.keep(signed, "signatures")
     key = ["set_low", "set_high", "n_shingles"]
-    same = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("node"))
-    members = signed.select("doc_id", *key).join(same, key, "left").select("doc_id", "n_shingles", "node")
-    members = space.keep(members, "members")
-    nodes = signed.join(same, key).where("doc_id = node")
+    linkable = F.expr("n_shingles > 0 AND doc_id IS NOT NULL")
+    same = signed.where(linkable).groupBy(*key).agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    same = space.keep(same, "same")
+    # with the node among the keys, copies of one text do not meet in one task
+    own = same.select(*(F.col(c).alias(f"own_{c}") for c in key), "node")
+    match = [signed[c] == own[f"own_{c}"] for c in key] + [signed["doc_id"] == own["node"]]
+    nodes = signed.join(own, match)
 
     keys = (
         nodes.select("node", F.col("n_shingles").alias("size"), "right", F.posexplode("left").alias("i", "one"))
@@ -214,10 +217,12 @@ def near_duplicates(
         links = first.where("linked").select("a", "b").unionByName(second.where("linked").select("a", "b"))
         final = components(space, links, "final")
 
-    out = members.join(final, "node", "left")
-    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    component = F.when(linked, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    placed = same.join(final, "node", "left").select(*key, "copies", F.coalesce("component", "node").alias("component_id"))
+    placed = space.keep(placed, "placed")
+    light = signed.select("doc_id", *key)
+    alone = light.where(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = with_group(light.where(linkable), placed, key, "copies").select("doc_id", "n_shingles", "component_id")
+    out = out.unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
 
