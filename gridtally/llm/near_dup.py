@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from gridtally.llm.cluster import Workspace, ship, with_group
 from gridtally.llm.words import Words, mixed, slices
 
+#: Rows of a frequent shingle that one task compares with the others.
+_PIECE = 512
+
 _SIGNATURE = "n_shingles long, set_low long, set_high long, left array<long>, right array<long>"
 
 
@@ -261,25 +264,34 @@ def _unsettled(
     runs = runs.mapInArrow(_spread_out, f"node {id_type}, size long, component {id_type}, shingle long")
     runs = space.keep(runs, "open-shingles")
 
-    often = runs.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    often = space.keep(runs.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "open-counts")
     rare_first = Window.partitionBy("node").orderBy("often", "shingle")
-    ranked = runs.join(often, "shingle").withColumn("place", F.row_number().over(rare_first))
+    ranked = with_group(runs, often, ["shingle"], "often").withColumn("place", F.row_number().over(rare_first))
     # the share of a set that may be missing in the other
     first = f"place <= size - (size * {percent} + 99) div 100 + 1 AND often > 1"
     prefix = space.keep(ranked.where(first).drop("often"), "open-prefixes")
-    # a shingle's rows of its largest component need not meet each other
-    weight = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
-    largest = prefix.join(weight, "component").groupBy("shingle")
-    largest = largest.agg(F.max(F.struct("weight", "component"))["component"].alias("largest"))
-    one = prefix.join(largest, "shingle").where("component <> largest").drop("largest")
-    one = one.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "component", "place")))
-    other = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "component", "place")))
+    # a shingle's rows of the component with most of them need not meet each other
+    parts = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
+    ends = parts.groupBy("shingle").agg(
+        F.sum("rows").alias("rows"),
+        F.count(F.lit(1)).alias("parts"),
+        F.max(F.struct("rows", "component"))["component"].alias("largest"),
+    )
+    ends = space.keep(ends, "open-ends")
+    split = with_group(prefix, ends, ["shingle"], "rows").where("parts > 1")
+    # frequent shingles are cut in pieces on one side, and meet each piece on the other
+    pieces = F.expr(f"cast((rows - 1) div {_PIECE} as int)")
+    one = split.where("component <> largest").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces)))
+    other = split.withColumn("piece", F.pmod(F.hash("node"), pieces + 1))
+    columns = ("node", "size", "component", "place")
+    one = one.select("shingle", "piece", *(F.col(c).alias(f"{c}_a") for c in columns))
+    other = other.select("shingle", "piece", *(F.col(c).alias(f"{c}_b") for c in columns))
     near = F.expr(
         "component_a <> component_b"
         f" AND 100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)"
         f" AND {100 + percent} * (1 + least(size_a - place_a, size_b - place_b)) >= {percent} * (size_a + size_b)"
     )
-    pairs = one.join(other, "shingle").where(near)
+    pairs = one.join(other, ["shingle", "piece"]).where(near)
     pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
     return space.keep(pairs.distinct(), "open-pairs")
 

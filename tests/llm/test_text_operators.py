@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gridtally.llm import (
+    cluster,
     decontaminate,
     html_extract,
     line_dedup,
@@ -88,8 +89,10 @@ def test_words_are_those_of_the_pattern(texts):
         assert found == [[w.translate(low) if lower else w for w in words(t)] for t in texts]
 
 
-@pytest.mark.parametrize("length", [4, 5])
-def test_near_duplicates(docs, texts, empty, length):
+@pytest.mark.parametrize(("length", "hot_share", "piece"), [(4, 10_000, 512), (4, 10, 2), (5, 10_000, 512)])
+def test_near_duplicates(docs, texts, empty, length, hot_share, piece, monkeypatch):
+    monkeypatch.setattr(cluster, "HOT_SHARE", hot_share)
+    monkeypatch.setattr(near_dup, "_PIECE", piece)
     low = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
     sets = []
     for t in texts:
