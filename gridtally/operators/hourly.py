@@ -16,7 +16,7 @@ from gridtally.functions import (
     strict_avg,
     zero_if_null,
 )
-from gridtally.operators.reshape import to_long, to_wide
+from gridtally.operators.reshape import one_row_each, to_long, to_wide
 
 # Columns of the interconnector flow feed, in feed order.
 FLOW_FEED_LINKS = ["NSW_QLD", "NSW_QLD1", "TAS_VIC", "VIC_SA", "VIC_SA1", "VIC_NSW"]
@@ -78,10 +78,11 @@ def technology_totals(
 ) -> DataFrame:
     """Hourly output by technology: ``date_time, keys…, Tech, output``.
 
-    ``stations`` has one row per ``station`` with its ``Tech``; output of stations it does
-    not list is kept under ``UNKNOWN``. No broadcast is forced: Spark checks its size.
+    ``stations`` has one row per ``station`` with its ``Tech``, several are an error; output of
+    stations it does not list is kept under ``UNKNOWN``. No broadcast is forced: Spark checks
+    its size.
     """
-    known = stations.select("station", "Tech")
+    known = one_row_each(stations.select("station", "Tech").distinct(), "station")
     joined = station_hours.join(known, "station", "left")
     return (
         joined.groupBy("date_time", *keys, named_or_unknown("Tech").alias("Tech"))

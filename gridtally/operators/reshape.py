@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridtally.functions import first_number
 
@@ -99,6 +100,18 @@ def to_wide(
     return grouped.select(*ids, *(F.coalesce("__unlisted", F.col(f"`{n}`")).alias(n) for n in names))
 
 
+def one_row_each(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; a ``key`` that stands in several is an error, as it would multiply a join."""
+    problem = F.concat(F.lit(f"more than one row for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    first = F.first(F.struct(*(F.col(f"`{c}`") for c in df.columns if c != key)))
+    row = F.when(F.count(F.lit(1)) > 1, F.raise_error(problem).cast(_others(df, key))).otherwise(first)
+    return df.groupBy(key).agg(row.alias("_row")).select(key, "_row.*")
+
+
+def _others(df: DataFrame, key: str) -> StructType:
+    return StructType([f for f in df.schema.fields if f.name != key])
+
+
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
     """Stack tables by column name; a column a table lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.functions import hour_of_year, hours_in_year
+from gridtally.functions import hour_of_year, hour_start, hours_in_year, zero_if_null
 from gridtally.operators.energy import EXOGENOUS, residual_demand
-from gridtally.operators.hourly import hourly_mean_wide, technology_totals, technology_wide
+from gridtally.operators.hourly import technology_totals, technology_wide
 from gridtally.operators.reshape import to_long, to_wide
 from gridtally.operators.windows import (
     CUTOFF,
@@ -30,13 +30,15 @@ def hourly_technology_wide_feed(
 ) -> DataFrame:
     """Hourly output by technology from a wide feed, one column per station.
 
-    Readings are averaged before they are made long, so a twelfth of the rows is expanded.
-    A station without any reading in an hour, such as one of another region, adds no row.
+    The feed is made long first: one mean per row combines before the shuffle, where a mean per
+    station would be hundreds of columns. A missing reading is 0; a station without any reading
+    in an hour, such as one of another region, adds no row.
     """
     ids = ["date_time", *keys]
-    names = [c for c in feed.columns if c not in ids]
-    hours = hourly_mean_wide(feed, names, keys, fill_zero=True)
-    long = to_long(hours, ids, "station", "output").where(F.col("output").isNotNull())
+    readings = to_long(feed, ids, "station", "output")
+    hours = readings.groupBy(hour_start(F.col("date_time")).alias("date_time"), *keys, "station")
+    means = hours.agg(F.count("output").alias("_n"), F.avg(zero_if_null("output")).alias("output"))
+    long = means.where(F.col("_n") > 0).drop("_n")
     return technology_totals(long, stations, keys)
 
 

@@ -7,7 +7,7 @@ sides. Extra grouping columns (scenario, run) go into ``keys`` and ride along th
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import PurePosixPath
 
@@ -56,7 +56,7 @@ class Comparison:
     """The comparison tables. Each is a lazy DataFrame, built when asked for.
 
     ``strict`` keeps the null rules of a complete data set: a region with one direction of
-    flow has no net flow. ``skip_nulls`` lets mean prices ignore missing hours.
+    flow has no net flow, and a fuel both dispatched and exogenous is an error. ``skip_nulls`` lets mean prices ignore missing hours.
     """
 
     facts: Facts
@@ -69,9 +69,6 @@ class Comparison:
     skip_nulls: bool = False
     by_year: bool = False
 
-    def lenient(self) -> Comparison:
-        return replace(self, skip_nulls=True)
-
     # prices
     @cached_property
     def prices(self) -> DataFrame:
@@ -128,7 +125,8 @@ class Comparison:
     @cached_property
     def generation(self) -> DataFrame:
         return energy.generation_table(
-            self.facts.output, self.fuels, self.facts.exogenous, self.balance, self.keys
+            self.facts.output, self.fuels, self.facts.exogenous, self.balance, self.keys,
+            self.strict,
         )
 
     def generation_totals(self, grain: str) -> DataFrame:
@@ -201,9 +199,12 @@ SORT_COLUMNS = ["year", "date_time", "day", "month", "REGION", "link"]
 
 
 def ordered(frame: DataFrame) -> DataFrame:
-    """Sort a result table by time, then region; for the output only."""
-    present = [c for c in SORT_COLUMNS if c in frame.columns]
-    return frame.orderBy(*present) if present else frame
+    """Sort each file of a result table by time, then region: no shuffle for the output's order.
+
+    ``side`` comes first, as the writer wants rows of one folder together.
+    """
+    present = [c for c in ["side", *SORT_COLUMNS] if c in frame.columns]
+    return frame.sortWithinPartitions(*present) if present else frame
 
 
 def write_results(tables: dict[str, DataFrame], path: str) -> None:
@@ -212,7 +213,8 @@ def write_results(tables: dict[str, DataFrame], path: str) -> None:
     Tables of one side, from :meth:`Comparison.tree`, go to ``<side>/<group>/<table>``.
     """
     for name, frame in tables.items():
-        writer = ordered(frame).write.mode("overwrite")
+        # static: folders of sides that an earlier run left go, too
+        writer = ordered(frame).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if "side" in frame.columns:
             writer = writer.partitionBy("side")
         writer.parquet(f"{path.rstrip('/')}/{PurePosixPath(*name.split('.'))}")

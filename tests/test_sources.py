@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 
 from gridtally.operators import model
 from gridtally.operators.calendar import HorizonMap
-from gridtally.operators.hourly import hourly_demand, hourly_flow_wide, hourly_price_wide
+from gridtally.operators.hourly import (
+    hourly_demand,
+    hourly_flow_wide,
+    hourly_price_wide,
+    technology_totals,
+)
 from gridtally.operators.network import REGIONS
 from gridtally.plans.backtest import actual_facts, both_sides, model_facts
 from gridtally.plans.demand import demand_tables, horizon_matrix, hourly_technology_wide_feed
@@ -381,3 +386,12 @@ def test_text_that_is_no_number_is_an_error(spark, rows):
     assert rows(files.typed(df, {"fuel": "string"})) == [(1.5, "BLACK"), (None, None)]
     with pytest.raises(Exception, match="fuel is to be double, but holds BLACK"):
         files.typed(df, {}).collect()
+
+
+def test_a_station_with_two_technologies_is_an_error(spark, at, rows):
+    hours = spark.createDataFrame([(at("01-01 00:00"), "A1", 3.0)], "date_time timestamp_ntz, station string, output double")
+    twice = spark.createDataFrame([("A1", "Coal"), ("A1", "Coal")], "station string, Tech string")
+    assert rows(technology_totals(hours, twice), "Tech", "output") == [("Coal", 3.0)]
+    differing = spark.createDataFrame([("A1", "Coal"), ("A1", "Gas")], "station string, Tech string")
+    with pytest.raises(Exception, match="more than one row for station A1"):
+        technology_totals(hours, differing).collect()
