@@ -6,7 +6,8 @@ decomposition of the benchmark's passages gives a latent space: passages times r
 its range, sums over partitions of the Gram matrix make that basis orthonormal, and sums over
 partitions of the passages projected on it give the singular vectors. All passages of all documents
 are compared with all items there by cosine (its denominator is the full length of the passage, so
-words outside the space count against it).
+words outside the space count against it). Of a large benchmark the space holds a part of each item
+only; the least cosine is relative to that part, so that a copy is found whatever the rank.
 
 Candidates are checked against the words: the longest common subsequence of item and surrounding
 text, each word weighing its inverse document frequency, as a share of the item; and whether the
@@ -189,6 +190,8 @@ class Items:
     answers: list[np.ndarray]
     owners: np.ndarray
     latent: np.ndarray
+    #: Length of each normed passage within the space: 1 if all of it is there.
+    captured: np.ndarray
 
 
 def _items(rows: list, weights: np.ndarray, space: Latent) -> Items:
@@ -199,14 +202,23 @@ def _items(rows: list, weights: np.ndarray, space: Latent) -> Items:
             out.extend(words.values[b:e] for b, e in zip(begins[:-1], begins[1:], strict=True))
         return out
 
-    owners, latent = [], []
+    owners, latent, captured = [], [], []
     for row, names, vector in _passages(pa.array([r["text"] for r in rows], pa.string()), weights):
         at = space.vectors[space.place[names]].T @ vector
+        length = float(np.linalg.norm(at))
         owners.append(row)
-        latent.append(at / max(float(np.linalg.norm(at)), 1e-12))
+        captured.append(min(length, 1.0))
+        latent.append(at / max(length, 1e-12))
     table = np.array(latent, dtype=np.float32).reshape(len(latent), space.vectors.shape[1])
     texts, answers = [r["text"] for r in rows], [r["answer"] for r in rows]
-    return Items([r["item_id"] for r in rows], words_of(texts), words_of(answers), np.array(owners, dtype=np.int64), table)
+    return Items(
+        [r["item_id"] for r in rows],
+        words_of(texts),
+        words_of(answers),
+        np.array(owners, dtype=np.int64),
+        table,
+        np.array(captured, dtype=np.float32),
+    )
 
 
 def common_share(item: np.ndarray, text: np.ndarray, weight: np.ndarray) -> float:
@@ -225,7 +237,8 @@ def common_share(item: np.ndarray, text: np.ndarray, weight: np.ndarray) -> floa
 
 
 def _candidates(words: Words, items: Items, weights: np.ndarray, space: Latent, floor: float):
-    """(row, start, item) of each passage whose cosine with an item's passage is `floor` or more."""
+    """(row, start, item) of each passage whose cosine with an item's passage is `floor` or more of
+    what a copy of that passage has in the space."""
     if not len(words.values) or not len(items.owners):
         return np.zeros((0, 3), dtype=np.int64)
     counts = words.counts
@@ -245,7 +258,9 @@ def _candidates(words: Words, items: Items, weights: np.ndarray, space: Latent,
     full = square[end] - square[first]
     # the part of a passage in the space is no longer than the part in its words
     part = inside[end] - inside[first]
-    maybe = np.flatnonzero((part > 0) & (part >= (floor * floor) * full))
+    # rounding must not cost a copy its place
+    least = floor * np.maximum(items.captured - np.float32(1e-4), 0)
+    maybe = np.flatnonzero((part > 0) & (part >= float(least.min()) ** 2 * full))
     # only words of the space add to a passage's place in it
     held = np.flatnonzero(place >= 0)
     before = np.searchsorted(held, first[maybe]), np.searchsorted(held, end[maybe])
@@ -261,7 +276,7 @@ def _candidates(words: Words, items: Items, weights: np.ndarray, space: Latent,
         cell = np.repeat(np.arange(len(some)), sizes) * len(names) + column
         table = np.bincount(cell, weight[at], minlength=len(some) * len(names)).reshape(len(some), len(names))
         x = table.astype(np.float32) @ space.vectors[names]
-        near = (x @ items.latent.T) >= floor * np.sqrt(full[some])[:, None]
+        near = (x @ items.latent.T) >= least * np.sqrt(full[some])[:, None].astype(np.float32)
         passage, which = np.nonzero(near)
         out.append(np.column_stack((rows[some][passage], start[some][passage], items.owners[which])))
     return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), dtype=np.int64)

@@ -304,6 +304,21 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contamination(empty, benchmark, ["doc_id"]).count() == 0
 
 
+def test_copies_of_a_benchmark_larger_than_the_space(spark):
+    r = random.Random(12)
+
+    def text(n):
+        return " ".join(f"w{r.randrange(40_000)}" for _ in range(n))
+
+    items = [(k, text(36)) for k in range(3000)]
+    rows = [(i, f"{text(50 + i % 16)} {items[i * 25][1]} {text(50)}") for i in range(120)]
+    rows += [(200 + i, text(140)) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    found = by_id(decontaminate.contamination(table, benchmark, ["doc_id"]), "contaminated", "item_id", "overlap")
+    assert {i: v for i, v in found.items() if v[0]} == {i: (True, i * 25, 1.0) for i in range(120)}
+
+
 def test_common_share():
     item, weight = np.array([1, 2, 3, 4]), np.array([1.0, 2.0, 1.0, 4.0])
     assert decontaminate.common_share(item, np.array([4, 9, 2, 1, 3]), weight) == 4 / 8
