@@ -9,6 +9,10 @@ are compared with all items there by cosine (its denominator is the full length
 words outside the space count against it). Of a large benchmark the space holds a part of each item
 only; the least cosine is relative to that part, so that a copy is found whatever the rank.
 
+A passage of fixed length dilutes short items and those that straddle two passages, so there is a
+second, exact source of candidates: each passage around which an item's words weigh as much as the
+check below asks for, found by the item's rarer words.
+
 Candidates are checked against the words: the longest common subsequence of item and surrounding
 text, each word weighing its inverse document frequency, as a share of the item; and whether the
 item's answer (its last sentence) is there. A close copy needs the share, a paraphrase a smaller
@@ -32,6 +36,13 @@ from gridtally.llm.words import Words, mixed, slices
 WINDOW, STRIDE, BITS, RANK, SEED = 32, 16, 18, 512, 5
 #: Items compared at once; a larger benchmark is worked on in blocks of so many.
 ITEM_BLOCK = 20_000
+#: Rows are looked up together while they have so many (row, item) cells and entries of the index.
+_CELLS = 4_000_000
+#: What may be left out of the index of rare words, as a part of a candidate's share: the more, the
+#: shorter the index and the more rows are looked at closely.
+_COMMON = 0.6
+#: Shares are rounded to six digits before they are compared.
+_ROUNDING = 1e-6
 _ANSWER = r"[.!?:]\s+"
 
 
@@ -181,6 +192,47 @@ def latent_space(benchmark: DataFrame, weights, rank: int = RANK) -> Latent:
     return Latent(place, vectors.astype(np.float32))
 
 
+@dataclass
+class RareWords:
+    """Which items hold each word. The most frequent words of an item are left out while they weigh
+    up to `_COMMON` of what a candidate needs; the others then weigh `need` in any candidate."""
+
+    marked: np.ndarray
+    values: np.ndarray
+    begins: np.ndarray
+    items: np.ndarray
+    weights: np.ndarray
+    need: np.ndarray
+
+
+def _distinct(own: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of an item, sorted, and what all places of each weigh."""
+    values, times = np.unique(own, return_counts=True)
+    return values, times * weights[_features(values)]
+
+
+def _rare_words(words: list[np.ndarray], weights: np.ndarray, share: float) -> RareWords:
+    values, held, owners, need = [], [], [], np.zeros(len(words))
+    for k, own in enumerate(words):
+        value, weight = _distinct(own, weights)
+        order = np.argsort(weights[_features(value)], kind="stable")
+        total = weight.sum()
+        left_out = order[np.cumsum(weight[order]) <= _COMMON * share * total]
+        rare = np.setdiff1d(np.arange(len(value)), left_out)
+        need[k] = (share - 2 * _ROUNDING) * total - weight[left_out].sum()
+        values.append(value[rare])
+        held.append(weight[rare])
+        owners.append(np.full(len(rare), k))
+    if not values:
+        values, held, owners = [np.zeros(0, np.uint64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+    value, item = np.concatenate(values), np.concatenate(owners)
+    order = np.lexsort((item, value))
+    names, begins = np.unique(value[order], return_index=True)
+    marked = np.zeros(1 << BITS, dtype=bool)
+    marked[_features(names)] = True
+    return RareWords(marked, names, np.append(begins, len(value)), item[order], np.concatenate(held)[order], need)
+
+
 @dataclass
 class Items:
     """A block of the benchmark: names, words, answers, and passages in the latent space."""
@@ -192,9 +244,10 @@ class Items:
     latent: np.ndarray
     #: Length of each normed passage within the space: 1 if all of it is there.
     captured: np.ndarray
+    rare: RareWords
 
 
-def _items(rows: list, weights: np.ndarray, space: Latent) -> Items:
+def _items(rows: list, weights: np.ndarray, space: Latent, answer_share: float) -> Items:
     def words_of(texts: list[str]) -> list[np.ndarray]:
         out = []
         for words in _words(pa.array(texts, pa.string())):
@@ -211,13 +264,15 @@ def _items(rows: list, weights: np.ndarray, space: Latent) -> Items:
         latent.append(at / max(length, 1e-12))
     table = np.array(latent, dtype=np.float32).reshape(len(latent), space.vectors.shape[1])
     texts, answers = [r["text"] for r in rows], [r["answer"] for r in rows]
+    words = words_of(texts)
     return Items(
         [r["item_id"] for r in rows],
-        words_of(texts),
+        words,
         words_of(answers),
         np.array(owners, dtype=np.int64),
         table,
         np.array(captured, dtype=np.float32),
+        _rare_words(words, weights, answer_share),
     )
 
 
@@ -282,6 +337,60 @@ def _candidates(words: Words, items: Items, weights: np.ndarray, space: Latent,
     return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), dtype=np.int64)
 
 
+def _rows_with(words: Words, rare: RareWords) -> Iterator[tuple[int, int]]:
+    """Row and item wherever the distinct rare words of the item in the row weigh what they need."""
+    maybe = np.flatnonzero(rare.marked[_features(words.values)])
+    place = np.minimum(np.searchsorted(rare.values, words.values[maybe]), len(rare.values) - 1)
+    real = rare.values[place] == words.values[maybe]
+    rows = np.searchsorted(words.begins(), maybe[real], "right") - 1
+    # each word of a row once
+    pairs = np.unique(rows * len(rare.values) + place[real])
+    rows, place = pairs // len(rare.values), pairs % len(rare.values)
+    entries = np.concatenate(([0], np.cumsum(rare.begins[place + 1] - rare.begins[place])))
+    n, low, most = len(rare.need), 0, max(1, _CELLS // len(rare.need))
+    while low < len(rows):
+        # whole rows, as many as the bounds allow, at least one
+        high = min(int(np.searchsorted(entries, entries[low] + _CELLS, "right")) - 1, int(np.searchsorted(rows, rows[low] + most)))
+        if high < len(rows):
+            high = int(np.searchsorted(rows, rows[min(high, len(rows) - 1)]))
+        if high <= low:
+            high = int(np.searchsorted(rows, rows[low], "right"))
+        sizes = np.diff(entries[low : high + 1])
+        each = np.arange(sizes.sum()) + np.repeat(rare.begins[place[low:high]] - (entries[low:high] - entries[low]), sizes)
+        base = rows[low]
+        cell = np.repeat(rows[low:high] - base, sizes) * n + rare.items[each]
+        weight = np.bincount(cell, rare.weights[each], minlength=(rows[high - 1] - base + 1) * n).reshape(-1, n)
+        # rows without any rare word stand between the others
+        row, item = np.nonzero((weight >= rare.need) & (weight > 0))
+        yield from zip((row + base).tolist(), item.tolist(), strict=True)
+        low = high
+
+
+def _lookups(words: Words, items: Items, weights: np.ndarray, share: float) -> np.ndarray:
+    """(row, start, item) of each passage around which the item's words weigh `share` of it."""
+    out = []
+    if not len(words.values) or not len(items.rare.values):
+        return np.zeros((0, 3), dtype=np.int64)
+    begins = words.begins()
+    for row, item in _rows_with(words, items.rare):
+        text, own = words.values[begins[row] : begins[row + 1]], items.words[item]
+        value, weight = _distinct(own, weights)
+        place = np.minimum(np.searchsorted(value, text), len(value) - 1)
+        here = value[place] == text
+        sums = np.concatenate(([0.0], np.cumsum(np.where(here, weight[place], 0.0))))
+        start = _starts(len(text))
+        low, high = _around(start, len(own), len(text))
+        good = start[sums[high] - sums[low] >= (share - 2 * _ROUNDING) * weight.sum()]
+        out.append(np.column_stack((np.full(len(good), row), good, np.full(len(good), item))))
+    return np.concatenate(out) if out else np.zeros((0, 3), dtype=np.int64)
+
+
+def _around(start, item: int, text: int):
+    """The words that an item of so many words near the passage at `start` may cover: it may start
+    before the passage and end after it."""
+    return np.maximum(start - item // 2, 0), np.minimum(start + WINDOW + item, text)
+
+
 _FOUND = "contaminated boolean, item_id long, overlap double, answer_found boolean"
 
 
@@ -297,12 +406,12 @@ def _search(items, weights, space, floor: float, copy_share: float, answer_share
                 share = given.column("overlap").to_numpy().copy()
                 item = given.column("item_id").to_pylist()
                 answered = given.column("answer_found").to_numpy(zero_copy_only=False).copy()
-                for row, start, which in _candidates(words, items.value, weights.value, space.value, floor):
+                near = _candidates(words, items.value, weights.value, space.value, floor)
+                exact = _lookups(words, items.value, weights.value, answer_share)
+                for row, start, which in np.unique(np.concatenate((near, exact)), axis=0):
                     own = items.value.words[which]
-                    # the item may start before the passage and end after it
-                    low = begins[row] + max(start - len(own) // 2, 0)
-                    high = min(begins[row] + start + WINDOW + len(own), begins[row + 1])
-                    text = words.values[low:high]
+                    low, high = _around(start, len(own), words.counts[row])
+                    text = words.values[begins[row] + low : begins[row] + high]
                     weight = weights.value[_features(own)]
                     # no subsequence weighs more than the item's words that occur at all
                     if weight[np.isin(own, text)].sum() < answer_share * weight.sum():
@@ -335,7 +444,8 @@ def contamination(
 
     `benchmark` has item_id and text, and may have answer; else an item's last sentence is its
     answer. item_id and overlap are those of the item with the largest share; null and 0 where none
-    reaches `answer_share`. Items without words are left out. Null and empty texts are clean, and so
+    reaches `answer_share`. Every passage where an item reaches `answer_share` is checked, whatever
+    its cosine. Items without words are left out. Null and empty texts are clean, and so
     is everything if the benchmark is empty. Repeated rows get the same verdict. A column of `keep`
     with the name of a new one gives way to it.
     """
@@ -367,7 +477,7 @@ def contamination(
     for block in range(blocks):
         # a bounded number of items, those of one remainder of a hash
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        held = spark.sparkContext.broadcast(_items(part.collect(), raw, latent))
+        held = spark.sparkContext.broadcast(_items(part.collect(), raw, latent, answer_share))
         search = _search(held, weights, space, floor, copy_share, answer_share)
         done = done.mapInArrow(search, f"row {kind}, text string, {_FOUND}")
     return done.select(*(F.col("row")[c].alias(c) for c in keep if c not in names), *names)

@@ -319,6 +319,43 @@ def test_copies_of_a_benchmark_larger_than_the_space(spark):
     assert {i: v for i, v in found.items() if v[0]} == {i: (True, i * 25, 1.0) for i in range(120)}
 
 
+def test_decontamination_checks_every_passage(spark):
+    r = random.Random(21)
+    vocabulary = [f"w{n}" for n in range(3000)]
+    often = [f"o{n}" for n in range(12)]
+
+    def text(n):
+        return [r.choice(often if r.random() < 0.4 else vocabulary) for _ in range(n)]
+
+    sizes = [4, 6, 9, 14, 18, 24, 30, 36, 45, 80]
+    items = [text(sizes[k % 10]) for k in range(20)]
+    rows = []
+    for i in range(80):  # copies with 20 to 50 % of the words replaced, anywhere in a text
+        own = [text(1)[0] if k < len(items[i % 20]) - 2 and r.random() < 0.2 + i % 4 / 10 else w for k, w in enumerate(items[i % 20])]
+        rows.append((i, " ".join(text(r.randint(0, 90)) + own + text(r.randint(0, 90)))))
+    table = spark.createDataFrame([*rows, (500, None), (501, "")], "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    weights = decontaminate.inverse_frequencies(table)
+
+    def values(t):
+        return next(slices(pa.array([t]), marks=True)).values
+
+    own = [values(" ".join(w)) for w in items]
+    expected = {500: (0.0, False), 501: (0.0, False)}
+    for i, t in rows:
+        best, leaked, doc = 0.0, False, values(t)
+        for item in own:
+            weight = weights[decontaminate._features(item)]
+            for start in decontaminate._starts(len(doc)):
+                around = doc[max(start - len(item) // 2, 0) : start + decontaminate.WINDOW + len(item)]
+                share = round(decontaminate.common_share(item, around, weight), 6)
+                # without a mark that ends a sentence the whole item is its answer
+                best, leaked = max(best, share if share >= 0.45 else 0.0), leaked or share >= 0.6
+        expected[i] = (best, leaked)
+    found = by_id(decontaminate.contamination(table, benchmark, ["doc_id"]), "overlap", "contaminated")
+    assert found == expected and sum(v[1] for v in expected.values()) > 50
+
+
 def test_common_share():
     item, weight = np.array([1, 2, 3, 4]), np.array([1.0, 2.0, 1.0, 4.0])
     assert decontaminate.common_share(item, np.array([4, 9, 2, 1, 3]), weight) == 4 / 8
