@@ -71,7 +71,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Workspace(spark, "token-files").root
-    token_files.write_token_files(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, folder, end_id=2)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, folder, end_id=2, added=True)
     read = token_files.read_token_files(spark, folder)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return read.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))

@@ -148,15 +148,18 @@ class ByteTokens:
 
     A byte-level vocabulary cuts a text before each space that another character follows, so the
     words between such spaces are encoded apart from each other. Each distinct word is given to the
-    library once; a text with other white space next to a space is given to it as a whole.
+    library once; a text with other white space next to a space is given to it as a whole. With `added`
+the content of an added token, such as <|endoftext|>, has that token's id as in the library as loaded,
+and a text that holds one is given to it as a whole; without, it is text like any other.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not added
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()] if added else []
         self.size = self.library.get_vocab_size()
         self.known: dict[str, bytes | None] = {}
 
@@ -180,7 +183,8 @@ class ByteTokens:
         out = []
         for text, (first, *rest) in zip(texts, cut, strict=True):
             each = [known[w] for w in rest]
-            out.append(self.whole(text) if None in each else self.whole(first) + b"".join(each))
+            whole = None in each or any(a in text for a in self.added)
+            out.append(self.whole(text) if whole else self.whole(first) + b"".join(each))
         for word in [w for w in words if len(w) > _LONG_WORD]:
             del known[word]
         if texts and self.whole(texts[0]) != out[0]:
@@ -189,13 +193,13 @@ class ByteTokens:
 
 
 @lru_cache(maxsize=2)
-def byte_tokens(path: str) -> ByteTokens:
-    return ByteTokens(path)
+def byte_tokens(path: str, added: bool = False) -> ByteTokens:
+    return ByteTokens(path, added)
 
 
-def _write(path: str, end_id: int, folder: str):
+def _write(path: str, end_id: int, folder: str, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = byte_tokens(path)
+        tokens = byte_tokens(path, added)
         end = np.array([end_id], dtype="<u4")
         store, root = fs.FileSystem.from_uri(folder)
         # a name of its own for each attempt: what a lost one leaves is in no list
@@ -223,18 +227,19 @@ def _write(path: str, end_id: int, folder: str):
     return run
 
 
-def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int) -> DataFrame:
+def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int, added: bool = False) -> DataFrame:
     """Write the ids of `docs` (doc_id, text) to `folder` in ascending doc_id order; the list of files.
 
     Each document ends with `end_id`; null and empty texts hold it alone. A null doc_id comes first;
-    rows with the same doc_id are ordered by a hash of their texts. The list (part, file, n_documents,
+    rows with the same doc_id are ordered by a hash of their texts. `added`: the content of an added
+    token in a text has that token's id. The list (part, file, n_documents,
     n_ids) is a table in `folder`, of which only complete files are part.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    listed = ordered.mapInArrow(_write(path, end_id, folder), "part int, file string, n_documents long, n_ids long")
+    listed = ordered.mapInArrow(_write(path, end_id, folder, added), "part int, file string, n_documents long, n_ids long")
     listed.write.mode("overwrite").parquet(f"{folder}/list")
     return spark.read.schema(listed.schema).parquet(f"{folder}/list")
 

@@ -29,7 +29,7 @@ from gridtally.llm import (
     token_files,
 )
 from gridtally.llm.html_tree import parse
-from gridtally.llm.queries import BYTE_VOCABULARY, MERGE_VOCABULARY
+from gridtally.llm.queries import BYTE_VOCABULARY, MERGE_VOCABULARY, op9_token_files
 from gridtally.llm.words import slices
 
 GAP = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -247,6 +247,22 @@ def test_token_files(spark, docs, texts, empty, tmp_path):
     assert token_files.read_token_files(spark, f"file://{tmp_path}/b").count() == 0
 
 
+def test_token_files_with_added_tokens(spark, tmp_path):
+    library = Tokenizer.from_file(BYTE_VOCABULARY)
+    token = "<|endoftext|>"
+    quoting = ["end <|endoftext|> x", token, f" {token}", f"a{token} b", f"{token}{token}  c", f"a\n {token}\n", "<|endof text|>", f"plain <| {token[:-1]}", f"say {token}, {token} twice"]
+    docs = spark.createDataFrame(list(enumerate(["plain text", *quoting])), "doc_id long, text string").repartition(2)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in op9_token_files(spark, str(tmp_path)).collect()}
+    assert library.encode(quoting[0], add_special_tokens=False).ids == [437, 220, 50256, 2124]
+    at, expected = 0, {}
+    for i, t in enumerate(["plain text", *quoting]):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        expected[i] = (at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        at += len(ids)
+    assert found == expected
+
+
 def test_line_dedup(spark, empty):
     rows = [(i, "  menu \nown line %d\n\nmenu" % i if i < 8 else "own %d\nmenu" % i, "hot" if i < 20 else None) for i in range(40)]
     rows += [(100, None, "hot"), (101, "", "hot"), (102, "menu", "small")]
