@@ -20,6 +20,17 @@ def price_wide(
     return to_wide(prices, [*keys, "date_time"], "REGION", "spot_price", regions)
 
 
+def over_hours(wide: DataFrame, hours: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Hourly rows with one for every ``date_time`` of ``hours``, null where there was none.
+
+    The strict means see rows only: an hour that the feed lacks for all regions has none.
+    """
+    spine = hours.select("date_time").distinct()
+    if keys:
+        spine = wide.select(*keys).distinct().crossJoin(spine)
+    return wide.join(spine, [*keys, "date_time"], "full")
+
+
 def mean_price(
     wide: DataFrame,
     grain: str,
@@ -28,7 +39,10 @@ def mean_price(
     by_year: bool = False,
     skip_nulls: bool = False,
 ) -> DataFrame:
-    """Mean price per region; null if an hour lacks a price, unless ``skip_nulls``."""
+    """Mean price per region; null if an hour lacks a price, unless ``skip_nulls``.
+
+    Hours without a row are not seen; :func:`over_hours` adds them.
+    """
     mean = F.avg if skip_nulls else strict_avg
     return aggregate_by(wide, grain, keys, [mean(r).alias(r) for r in regions], by_year)
 

@@ -57,6 +57,8 @@ class Comparison:
 
     ``strict`` keeps the null rules of a complete data set: a region with one direction of
     flow has no net flow, and a fuel both dispatched and exogenous is an error. ``skip_nulls`` lets mean prices ignore missing hours.
+    ``hours`` lists each ``date_time`` that mean prices need; without it an hour for which no
+    region has a row is not seen.
     """
 
     facts: Facts
@@ -68,15 +70,19 @@ class Comparison:
     strict: bool = False
     skip_nulls: bool = False
     by_year: bool = False
+    hours: DataFrame | None = None
 
     # prices
     @cached_property
     def prices(self) -> DataFrame:
         return price.price_wide(self.facts.prices, self.regions, self.keys)
 
+    def _over_hours(self, wide: DataFrame) -> DataFrame:
+        return wide if self.hours is None else price.over_hours(wide, self.hours, self.keys)
+
     def mean_price(self, grain: str) -> DataFrame:
         return price.mean_price(
-            self.prices, grain, self.regions, self.keys, self.by_year, self.skip_nulls
+            self._over_hours(self.prices), grain, self.regions, self.keys, self.by_year, self.skip_nulls
         )
 
     @cached_property
@@ -91,7 +97,7 @@ class Comparison:
 
     def load_weighted_price(self, grain: str) -> DataFrame:
         return price.load_weighted_price(
-            self.prices_and_weights, grain, self.regions, self.keys, self.by_year,
+            self._over_hours(self.prices_and_weights), grain, self.regions, self.keys, self.by_year,
             self.skip_nulls,
         )
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.operators.calendar import HorizonMap
+from gridtally.operators.calendar import HorizonMap, expand_hours, hour_of_timestamp
 from gridtally.operators.hourly import hourly_demand, hourly_flow_wide, hourly_price_wide
 from gridtally.operators.model import stamped_long, storage_net_output
 from gridtally.operators.network import REGIONS, Network
@@ -135,12 +135,14 @@ def compare(
     links: Sequence[str],
     horizons: HorizonMap = HorizonMap(),
     network: Network = Network(),
+    whole_year: bool = False,
 ) -> Comparison:
     """Compare the model files in a folder with the market of the same year.
 
     The folder holds the unit table and zonal inputs (``INPUT…``) and the outputs
     ``…Electricity_dispatch``, ``…SystemMarginalPrice`` and ``…IC_Flows_Hourly`` of one run;
-    several runs are an error.
+    several runs are an error. ``whole_year`` lays mean prices over all modelled hours of the year,
+    so that one without any row makes its day, month and period unknown.
     """
     spark = market.spark
 
@@ -163,6 +165,11 @@ def compare(
         market.flows(),
         horizons,
     )
+    hours = None
+    if whole_year:
+        year = spark.sql(f"SELECT {int(market.year)} AS year")
+        modelled_hour = hour_of_timestamp(F.col("date_time"), horizons.leap).isNotNull()
+        hours = expand_hours(year).where(modelled_hour)
     return Comparison(
-        both_sides(modelled, actual), fuels, links, network.regions, network=network
+        both_sides(modelled, actual), fuels, links, network.regions, network=network, hours=hours
     )

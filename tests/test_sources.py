@@ -335,6 +335,15 @@ def test_workflows(spark, rows, feed_files, model_folder, backtest, tmp_path):
         MarketYear(spark, feed_files["root"], str(tmp_path / "hourly"), 1999).prices()
 
 
+def test_compare_over_the_whole_year(spark, feed_files, model_folder, backtest, tmp_path):
+    market = MarketYear(spark, feed_files["root"], str(tmp_path / "hourly"), 2021)
+    with pytest.warns(UserWarning, match="padding"):
+        found = compare(market, str(model_folder), backtest.fuels, backtest.links, whole_year=True)
+    for table in (found.mean_price("day"), found.load_weighted_price("day")):
+        days = table.groupBy("side").agg(F.count("*").alias("n"), F.count("NSW").alias("known")).collect()
+        assert {(r.side, r.n, r.known) for r in days} == {("Model", 365, 0), ("Actual", 365, 0)}
+
+
 def test_prepare_plants(spark, tmp_path):
     from gridtally.operators.plants import PLANT_COLUMNS, PLANT_KEYS
 

@@ -314,6 +314,20 @@ def test_mean_price_needs_every_hour(spark, rows, at):
     assert rows(price.mean_price(wide, "month", ["NSW", "QLD"], skip_nulls=True)) == [("01", 20.0, 5.0)]
 
 
+def test_mean_price_over_hours(spark, rows, at):
+    """23 of 24 hours make a day unknown also if no region has a row for the other."""
+    from gridtally.operators.calendar import expand_hours
+    from gridtally.plans.results import Comparison, Facts
+
+    prices = spark.createDataFrame(
+        [("Model", at(f"01-0{d} {h:02}:00"), "NSW", 10.0) for d in (1, 2) for h in range(24) if (d, h) != (2, 7)],
+        f"side string, {TS}, REGION string, spot_price double")
+    hours = expand_hours(spark.sql("SELECT 2021 AS year")).where("date_time < '2021-01-03'")
+    found = Comparison(Facts(prices, None, None), [], [], ["NSW"], hours=hours)
+    assert rows(found.mean_price("day")) == [("Model", "01/01/21", 10.0), ("Model", "01/02/21", None)]
+    assert rows(found.mean_price("month")) == [("Model", "01", None)]
+
+
 def test_load_weighted_price(spark, rows, at):
     h0, h1 = at("01-01 00:00"), at("01-01 01:00")
     prices = spark.createDataFrame([(h0, "NSW", 10.0), (h1, "NSW", 30.0), (h0, "QLD", 5.0)],
