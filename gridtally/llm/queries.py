@@ -13,12 +13,15 @@ from gridtally.llm import (
     html_extract,
     line_dedup,
     near_dup,
+    packing,
     pieces,
     quality_model,
     quality_rules,
+    spelling,
     substring_dedup,
     token_counts,
     token_files,
+    whitening,
 )
 from gridtally.llm.cluster import Workspace
 
@@ -82,6 +85,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=4)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, end_id=2, added=True)
+    # digests first, so that the ids stay out of the join
+    pieces_ = packed.pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packed.placed(pieces_).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset").cast("long").alias("offset")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sentencepiece": op2_sentencepiece,
@@ -93,4 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }

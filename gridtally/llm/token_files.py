@@ -17,10 +17,8 @@ so any range of ids is read by reading its blocks only.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridtally.llm.byte_tokens import byte_tokens
 from gridtally.llm.cluster import ship
-from gridtally.llm.pieces import as_texts
 
 MAGIC, VERSION, BLOCK = b"GTID", 1, 4096
 #: Ids unpacked at once while a file is read.
 _READ = 256 * BLOCK
-_REMEMBERED, _LONG_WORD = 1_000_000, 64
 
 
 def bits_for(vocabulary: int) -> int:
@@ -72,9 +69,10 @@ class Writer:
         self.sink.write(data)
         self.at += len(data)
 
-    def add(self, name: int | None, ids: np.ndarray) -> None:
-        self.names.append(name)
-        self.starts.append(self.starts[-1] + len(ids))
+    def add(self, names: list[int | None], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Documents in a row: their names, all their ids, and how many each has."""
+        self.names.extend(names)
+        self.starts.extend((self.starts[-1] + np.cumsum(counts)).tolist())
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= BLOCK:
@@ -143,64 +141,9 @@ class Reader:
             row = end
 
 
-class ByteTokens:
-    """The tokenizers library on whole texts, with a memory of words.
-
-    A byte-level vocabulary cuts a text before each space that another character follows, so the
-    words between such spaces are encoded apart from each other. Each distinct word is given to the
-    library once; a text with other white space next to a space is given to it as a whole. With `added`
-the content of an added token, such as <|endoftext|>, has that token's id as in the library as loaded,
-and a text that holds one is given to it as a whole; without, it is text like any other.
-    """
-
-    def __init__(self, path: str, added: bool = False) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = not added
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()] if added else []
-        self.size = self.library.get_vocab_size()
-        self.known: dict[str, bytes | None] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
-        if len(known) > _REMEMBERED:
-            known.clear()
-        cut = [t.split(" ") for t in texts]
-        words = set().union(*(c[1:] for c in cut))
-        new = [w for w in words if w not in known]
-        odd = [w for w in new if not w or w[0].isspace()]
-        known.update(dict.fromkeys(odd))
-        new = [w for w in new if w and not w[0].isspace()]
-        coded = self.library.encode_batch([" " + w for w in new], add_special_tokens=False)
-        for word, code in zip(new, coded, strict=True):
-            known[word] = np.array(code.ids, dtype="<u4").tobytes()
-        out = []
-        for text, (first, *rest) in zip(texts, cut, strict=True):
-            each = [known[w] for w in rest]
-            whole = None in each or any(a in text for a in self.added)
-            out.append(self.whole(text) if whole else self.whole(first) + b"".join(each))
-        for word in [w for w in words if len(w) > _LONG_WORD]:
-            del known[word]
-        if texts and self.whole(texts[0]) != out[0]:
-            raise RuntimeError("ids of a whole text differ from those of its words")
-        return out
-
-
-@lru_cache(maxsize=2)
-def byte_tokens(path: str, added: bool = False) -> ByteTokens:
-    return ByteTokens(path, added)
-
-
 def _write(path: str, end_id: int, folder: str, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = byte_tokens(path, added)
-        end = np.array([end_id], dtype="<u4")
         store, root = fs.FileSystem.from_uri(folder)
         # a name of its own for each attempt: what a lost one leaves is in no list
         name = f"{root}/{uuid.uuid4().hex}.ids"
@@ -210,8 +153,7 @@ def _write(path: str, end_id: int, folder: str, added: bool):
                 store.create_dir(root, recursive=True)
                 sink = store.open_output_stream(name)
                 writer = Writer(sink, bits_for(max(tokens.size, end_id + 1)))
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(as_texts(batch.column("text"))), strict=True):
-                writer.add(doc, np.concatenate((np.frombuffer(ids, "<u4"), end)))
+            writer.add(batch.column("doc_id").to_pylist(), *tokens.encode(batch.column("text"), end_id))
         if writer is not None:
             writer.close()
             sink.close()

@@ -120,6 +120,18 @@ def slices(texts: pa.Array | pa.ChunkedArray, lower: bool = False, marks: bool =
         row = end
 
 
+def is_gap(raw: np.ndarray) -> np.ndarray:
+    """Whether each byte is ASCII white space."""
+    return _GAP[raw]
+
+
+def run_values(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each run."""
+    sums = _sums(raw.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
+    values = (sums[ends] - sums[starts]) * _powers(_BYTE_BASE, len(raw) + 1)[1][starts]
+    return mixed(values + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
 def _words(raw: np.ndarray, offsets: np.ndarray, first: int, gaps: np.ndarray) -> Words:
     inside = ~gaps[raw]
     before = np.zeros(len(raw), dtype=bool)
@@ -132,7 +144,5 @@ def _words(raw: np.ndarray, offsets: np.ndarray, first: int, gaps: np.ndarray) -
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     counts = np.diff(np.searchsorted(starts, offsets))
-    sums = _sums(raw.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
-    values = (sums[ends] - sums[starts]) * _powers(_BYTE_BASE, len(raw) + 1)[1][starts]
-    values = mixed(values + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    values = run_values(raw, starts, ends)
     return Words(first, raw, starts, ends, counts, values, offsets)

@@ -223,7 +223,7 @@ def test_random_access(tmp_path):
     with fs.LocalFileSystem().open_output_stream(str(tmp_path / "x.ids")) as sink:
         writer = token_files.Writer(sink, 13)
         for name, ids in rows:
-            writer.add(name, ids)
+            writer.add([name], ids, np.array([len(ids)]))
         writer.close()
     with fs.LocalFileSystem().open_input_file(str(tmp_path / "x.ids")) as source:
         reader = token_files.Reader(source)
