@@ -338,11 +338,28 @@ ORACLE_SQL: dict[str, str] = {
         FROM entry JOIN spans ON t BETWEEN start + 1 AND start + 100""",
     "missing_hours": f"""WITH {FEED},
         spine AS (
-          SELECT station, unnest(generate_series(TIMESTAMP '2024-01-01',
-            TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS date_time
+          SELECT station, unnest(generate_series((SELECT min(date_time) FROM feed),
+            (SELECT max(date_time) FROM feed), INTERVAL 1 HOUR)) AS date_time
           FROM (SELECT DISTINCT station FROM feed))
         SELECT station, date_time FROM spine
         WHERE (station, date_time) NOT IN (SELECT (station, date_time) FROM feed)""",
+    "missing_readings": f"""WITH {FEED},
+        slots AS (SELECT DISTINCT REGION, time_bucket(INTERVAL 5 MINUTE, ts - INTERVAL 5 MINUTE) AS date_time FROM feed),
+        spine AS (
+          SELECT REGION, unnest(generate_series((SELECT min(date_time) FROM slots),
+            (SELECT max(date_time) FROM slots), INTERVAL 5 MINUTE)) AS date_time
+          FROM (SELECT DISTINCT REGION FROM feed))
+        SELECT * FROM spine ANTI JOIN slots USING (REGION, date_time)""",
+    "feed_coverage": f"""WITH {FEED},
+        days AS (SELECT link, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS day
+          FROM (SELECT DISTINCT link FROM feed)),
+        counts AS (
+          SELECT link, date_trunc('day', ts) AS day, count(*) AS readings,
+            count(DISTINCT time_bucket(INTERVAL 5 MINUTE, ts)) AS present
+          FROM feed GROUP BY ALL)
+        SELECT link, strftime(day, '%Y-%m-%d') AS day, CAST(288 AS INTEGER) AS expected, coalesce(readings, 0) AS readings,
+          CAST(288 - coalesce(present, 0) AS INTEGER) AS missing, coalesce(readings, 0) - coalesce(present, 0) AS repeated
+        FROM days LEFT JOIN counts USING (link, day)""",
     "time_map": f"""WITH {YEARS},
         hours AS (SELECT year, unnest(range(8760)) AS h FROM years)
         SELECT year, 'r' || (11 + (h + 44) // 70) AS horizon, (h + 44) % 70 + 1 AS period,

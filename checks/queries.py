@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.views import table
-from gridtally.functions import days_in_year, hour_start
+from gridtally.functions import days_in_year
 from gridtally.operators import (
     calendar,
+    completeness,
     energy,
     hourly,
     model,
@@ -110,10 +111,21 @@ def residual_demand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_hours(spark: SparkSession, sf: str) -> DataFrame:
-    hours = feed(spark, sf).withColumn("date_time", hour_start(F.col("date_time")))
-    return calendar.missing_slots(
-        hours, ["station"], "2024-01-01 00:00:00", "2024-01-30 23:00:00", "1 HOUR"
+    """Hours without a reading between the feed's first and last hour, per station."""
+    return completeness.missing_slots(feed(spark, sf), ["station"], 60)
+
+
+def missing_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for 5-minute slots, with stamps that name the end of an interval, per region."""
+    return completeness.missing_slots(feed(spark, sf), ["REGION"], 5, end_of_interval_minutes=5)
+
+
+def feed_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings, gaps and repeats of every link on every day of January 2024."""
+    days = completeness.coverage(
+        feed(spark, sf), ["link"], 5, start="2024-01-01 00:00:00", end="2024-01-31 23:55:00"
     )
+    return days.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 def regional_demand_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -482,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "zonal_inputs": zonal_inputs,
     "demand_horizons": demand_horizons,
     "missing_hours": missing_hours,
+    "missing_readings": missing_readings,
+    "feed_coverage": feed_coverage,
     "time_map": time_map,
     "hour_spine": hour_spine,
     "readings_by_horizon": readings_by_horizon,

@@ -212,28 +212,3 @@ def time_map(
     frame = spark.sql(f"SELECT year FROM VALUES {values} AS years(year)")
     return expand_time_map(frame, horizons)
 
-
-def missing_slots(
-    feed: DataFrame,
-    keys: list[str],
-    start: str,
-    end: str,
-    step: str = "5 MINUTES",
-    ts: str = "date_time",
-    series: DataFrame | None = None,
-) -> DataFrame:
-    """Slots of a regular grid without a reading, per series (``keys``).
-
-    The grid runs from ``start`` up to and including ``end``. ``series`` lists the series
-    that should report; without it they are those found in the feed, which is then read
-    once more.
-    """
-    stamps = F.sequence(
-        F.lit(start).cast("timestamp_ntz"),
-        F.lit(end).cast("timestamp_ntz"),
-        F.expr(f"INTERVAL {step}"),
-    )
-    readings = feed.select(*keys, F.col(ts).cast("timestamp_ntz").alias(ts)).distinct()
-    expected = (readings if series is None else series).select(*keys).distinct()
-    spine = expected.withColumn(ts, F.explode(stamps))
-    return spine.join(readings, [*keys, ts], "left_anti")

@@ -68,9 +68,15 @@ def hourly_mean_wide(
 
 
 def hourly_demand(
-    feed: DataFrame, keys: Sequence[str] = (), ts: str = "date_time", value: str = "Demand"
+    feed: DataFrame,
+    keys: Sequence[str] = (),
+    ts: str = "date_time",
+    value: str = "Demand",
+    end_of_interval_minutes: int = 0,
 ) -> DataFrame:
-    return hourly_mean(feed, keys, value, ts, alias="hourly_demand")
+    return hourly_mean(
+        feed, keys, value, ts, alias="hourly_demand", end_of_interval_minutes=end_of_interval_minutes
+    )
 
 
 def technology_totals(
@@ -125,10 +131,14 @@ def hourly_price(
 
 
 def hourly_price_wide(
-    feed: DataFrame, regions: Sequence[str], keys: Sequence[str] = (), ts: str = "date_time"
+    feed: DataFrame,
+    regions: Sequence[str],
+    keys: Sequence[str] = (),
+    ts: str = "date_time",
+    end_of_interval_minutes: int = 0,
 ) -> DataFrame:
     """Hourly mean price of a wide feed, one column per region, as long rows."""
-    hours = hourly_mean_wide(feed, regions, keys, ts)
+    hours = hourly_mean_wide(feed, regions, keys, ts, end_of_interval_minutes=end_of_interval_minutes)
     return to_long(hours, ["date_time", *keys], "REGION", "spot_price")
 
 
@@ -159,7 +169,8 @@ def hourly_flow_wide(
     links: Sequence[str] = tuple(FLOW_FEED_LINKS),
     keys: Sequence[str] = (),
     ts: str = "date_time",
+    end_of_interval_minutes: int = 0,
 ) -> DataFrame:
     """Hourly mean flow of a wide feed, one column per link."""
-    hours = hourly_mean_wide(feed, links, keys, ts)
+    hours = hourly_mean_wide(feed, links, keys, ts, end_of_interval_minutes=end_of_interval_minutes)
     return split_link(to_long(hours, ["date_time", *keys], "link", "flow"))

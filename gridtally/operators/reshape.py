@@ -91,9 +91,9 @@ def to_wide(
         rest = F.expr(f"sum(CASE WHEN {unlisted} THEN `{value}` END)").alias(f"{other}{suffix}")
         return df.groupBy(*ids).agg(*cells, rest)
     problem = literal(f"{name} not among the columns: ")
-    stray = f"max(CASE WHEN {unlisted} THEN coalesce(cast(`{name}` AS STRING), 'null') END)"
-    fail = f"cast(raise_error(concat({problem}, {stray})) AS DOUBLE)"
-    guard = F.expr(f"CASE WHEN {stray} IS NOT NULL THEN {fail} END AS `__unlisted`")
+    # raised row by row inside a numeric aggregate: a buffer of text would cost a sort
+    stray = f"raise_error(concat({problem}, coalesce(cast(`{name}` AS STRING), 'null')))"
+    guard = F.expr(f"max(CASE WHEN {unlisted} THEN cast({stray} AS DOUBLE) END) AS `__unlisted`")
     grouped = df.groupBy(*ids).agg(*cells, guard)
     # each cell refers to the guard, so that no choice of columns can lose it
     names = [f"{c}{suffix}" for c in columns]

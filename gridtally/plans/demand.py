@@ -26,7 +26,10 @@ HORIZON_TABLES = {"DEMAND": "Residual_demand", **{c: c for c in RESERVES}}
 
 
 def hourly_technology_wide_feed(
-    feed: DataFrame, stations: DataFrame, keys: Sequence[str] = ("REGION",)
+    feed: DataFrame,
+    stations: DataFrame,
+    keys: Sequence[str] = ("REGION",),
+    end_of_interval_minutes: int = 0,
 ) -> DataFrame:
     """Hourly output by technology from a wide feed, one column per station.
 
@@ -36,7 +39,8 @@ def hourly_technology_wide_feed(
     """
     ids = ["date_time", *keys]
     readings = to_long(feed, ids, "station", "output")
-    hours = readings.groupBy(hour_start(F.col("date_time")).alias("date_time"), *keys, "station")
+    hour = hour_start(F.col("date_time"), end_of_interval_minutes)
+    hours = readings.groupBy(hour.alias("date_time"), *keys, "station")
     means = hours.agg(F.count("output").alias("_n"), F.avg(zero_if_null("output")).alias("output"))
     long = means.where(F.col("_n") > 0).drop("_n")
     return technology_totals(long, stations, keys)

@@ -2,17 +2,18 @@
 
 Raw feeds of a year lie in one folder, named ``Metadata_<year>``, ``Demand_<region>1_<year>``,
 ``Generation_<region>1_<year>_<piece>``, ``Price_<year>`` and ``Flow_<year>``. The hourly tables
-made from them are kept in a second folder and read from there the next time.
+made from them are kept in a second folder, which a later call extends by the files that are new.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.operators.calendar import HorizonMap, expand_hours, hour_of_timestamp
+from gridtally.operators.completeness import slot_days
 from gridtally.operators.hourly import hourly_demand, hourly_flow_wide, hourly_price_wide
 from gridtally.operators.model import stamped_long, storage_net_output
 from gridtally.operators.network import REGIONS, Network
@@ -24,49 +25,118 @@ from gridtally.sources import feeds, files, layer, model_files
 
 
 class MarketYear:
-    """Hourly tables of a market year, from the layer or else from raw feeds."""
+    """Hourly tables of a market year, kept up to date with the raw feeds, file by file.
 
-    def __init__(self, spark: SparkSession, raw: str, hourly: str, year: int) -> None:
-        self.spark, self.raw, self.hourly, self.year = spark, raw, hourly.rstrip("/"), year
+    Without raw files of the year the tables are served as they are. ``end_of_interval_minutes`` is the
+    length of an interval if stamps name its end. ``gaps`` says what happens if a feed lacks slots of
+    the year, or has some twice: ``report`` leaves it to the caller, who asks :meth:`coverage`;
+    ``refuse`` makes it an error.
+    """
 
-    def _files(self, name: str) -> list[str]:
-        found = files.matching_files(self.spark, self.raw, f"{name}_*{self.year}*")
-        paths = sorted(row.path for row in found.collect())
-        if not paths:
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: str,
+        hourly: str,
+        year: int,
+        end_of_interval_minutes: int = 0,
+        gaps: str = "report",
+        step_minutes: int = 5,
+    ) -> None:
+        if gaps not in ("report", "refuse"):
+            raise ValueError("gaps must be report or refuse")
+        self.spark, self.raw, self.hourly, self.year = spark, raw, hourly.rstrip("/"), year
+        self.shift, self.gaps, self.step_minutes = end_of_interval_minutes, gaps, step_minutes
+
+    def _listed(self, name: str) -> DataFrame:
+        return files.listed_files(self.spark, self.raw, f"{name}_*{self.year}*")
+
+    def _table(self, name: str) -> layer.HourlyTable:
+        return layer.HourlyTable(self.spark, f"{self.hourly}/{name}")
+
+    def _hourly(
+        self,
+        name: str,
+        feed_of: Callable[[list[str]], DataFrame],
+        hours_of: Callable[[DataFrame], DataFrame],
+        keys: Sequence[str] = (),
+        regions: Sequence[str] | None = None,
+    ) -> DataFrame:
+        def build(paths: list[str]) -> layer.Built:
+            feed = feed_of(paths)
+            slots = slot_days(feed, [*keys, "source"], self.step_minutes, end_of_interval_minutes=self.shift)
+            return layer.Built(hours_of(feed), slots)
+
+        table, found = self._table(name), self._listed(name)
+        built = table.update(found, self.year, build)
+        if not built and table.manifest().where(F.col("year") == self.year).isEmpty():
             raise ValueError(f"no {name} file of {self.year} in {self.raw}")
-        return paths
-
-    def _hourly(self, name: str, build, regions: Sequence[str] | None = None) -> DataFrame:
-        path = f"{self.hourly}/{name}"
-        return layer.hourly_or_build(self.spark, path, build, self.year, regions)
+        if self.gaps == "refuse":
+            self._refuse_gaps(name)
+        return table.read(self.year, regions)
+
+    def coverage(self, name: str) -> DataFrame:
+        """``REGION`` (if the feed has it), ``day, expected, readings, missing, repeated`` of a feed:
+        ``Demand``, ``Generation``, ``Price`` or ``Flow``, once its table has been built."""
+        return self._table(name).coverage(self.year, self.step_minutes)
+
+    def _refuse_gaps(self, name: str) -> None:
+        days = self.coverage(name)
+        bad = days.where("missing > 0 OR repeated > 0")
+        keys = [c for c in days.columns if c == "REGION"]
+        sums = bad.groupBy(*keys).agg(F.sum("missing"), F.sum("repeated"), F.min("day")).orderBy(*keys).limit(10)
+        found = [
+            f"{' '.join(map(str, row[: len(keys)]))} {row[-3]} missing, {row[-2]} repeated, first on {row[-1]}".strip()
+            for row in sums.collect()
+            if row[-1] is not None
+        ]
+        if found:
+            raise ValueError(f"{name} of {self.year}: " + "; ".join(found))
 
     def demand(self, regions: Sequence[str] | None = None) -> DataFrame:
-        def build() -> DataFrame:
-            feed = feeds.read_demand_feed(self.spark, self._files("Demand"))
-            return hourly_demand(feed, ["REGION"])
-
-        return self._hourly("demand", build, regions)
+        return self._hourly(
+            "Demand",
+            lambda paths: feeds.read_demand_feed(self.spark, paths, source=True),
+            lambda feed: hourly_demand(feed, ["REGION", "source"], end_of_interval_minutes=self.shift),
+            ["REGION"],
+            regions,
+        )
 
     def technologies(self, regions: Sequence[str] | None = None) -> DataFrame:
-        def build() -> DataFrame:
-            stations = feeds.read_station_metadata(self.spark, self._files("Metadata"))
-            feed = feeds.read_generation_feed(self.spark, self._files("Generation"))
-            return hourly_technology_wide_feed(feed, stations)
-
-        return self._hourly("generation", build, regions)
+        def hours_of(feed: DataFrame) -> DataFrame:
+            found = [row.path for row in self._listed("Metadata").select("path").collect()]
+            if not found:
+                raise ValueError(f"no Metadata file of {self.year} in {self.raw}")
+            stations = feeds.read_station_metadata(self.spark, sorted(found))
+            return hourly_technology_wide_feed(feed, stations, ["REGION", "source"], self.shift)
+
+        return self._hourly(
+            "Generation",
+            lambda paths: feeds.read_generation_feed(self.spark, paths, source=True),
+            hours_of,
+            ["REGION"],
+            regions,
+        )
 
     def prices(self, regions: Sequence[str] = tuple(REGIONS)) -> DataFrame:
-        def build() -> DataFrame:
-            feed = feeds.read_price_feed(self.spark, self._files("Price"))
-            return hourly_price_wide(feed, regions)
-
-        return self._hourly("price", build, regions)
+        return self._hourly(
+            "Price",
+            lambda paths: feeds.read_price_feed(self.spark, paths, source=True),
+            lambda feed: hourly_price_wide(
+                feed,
+                [c for c in feed.columns if c not in ("date_time", "source")],
+                ["source"],
+                end_of_interval_minutes=self.shift,
+            ),
+            regions=regions,
+        )
 
     def flows(self) -> DataFrame:
-        def build() -> DataFrame:
-            return hourly_flow_wide(feeds.read_flow_feed(self.spark, self._files("Flow")))
-
-        return self._hourly("flow", build)
+        return self._hourly(
+            "Flow",
+            lambda paths: feeds.read_flow_feed(self.spark, paths, source=True),
+            lambda feed: hourly_flow_wide(feed, keys=["source"], end_of_interval_minutes=self.shift),
+        )
 
 
 def prepare_demand(

@@ -18,6 +18,14 @@ ENERGY_SOURCE = "CO2E_ENERGY_SOURCE"
 PRICE_SUFFIX = "1.Price_5min"
 
 
+def _source(source: bool) -> list[str]:
+    return ["source"] if source else []
+
+
+def _types(labels: Sequence[str]) -> dict[str, str]:
+    return {STAMP: "timestamp_ntz", **{label: "string" for label in labels}}
+
+
 def _stamped(df: DataFrame, ts: str = STAMP) -> DataFrame:
     others = [F.col(f"`{c}`") for c in df.columns if c != ts]
     return df.select(F.col(ts).cast("timestamp_ntz").alias("date_time"), *others)
@@ -36,16 +44,18 @@ def read_station_metadata(spark: SparkSession, path: Paths, fmt: str = "csv") ->
 
 
 def read_demand_feed(
-    spark: SparkSession, paths: Paths, fmt: str = "csv", region: str = r"Demand_([A-Z]+)"
+    spark: SparkSession, paths: Paths, fmt: str = "csv", region: str = r"Demand_([A-Z]+)", source: bool = False
 ) -> DataFrame:
     """``date_time, Demand, REGION``; one region per file, named in the file name.
 
+    In all feeds ``source`` adds the path of the file that a row comes from.
+
     The feed's three columns are time, demand and pre-dispatch, whatever they are called.
     """
-    raw = read_any(spark, paths, fmt, ("REGION", region))
-    named = raw.toDF(STAMP, "Demand", "Predispatch", "REGION")
-    wanted = named.select(STAMP, "Demand", "REGION")
-    return _stamped(typed(wanted, {STAMP: "timestamp_ntz", "REGION": "string"}))
+    raw = read_any(spark, paths, fmt, ("REGION", region), source)
+    labels = ["REGION", *_source(source)]
+    named = raw.toDF(STAMP, "Demand", "Predispatch", *labels)
+    return _stamped(typed(named.select(STAMP, "Demand", *labels), _types(labels)))
 
 
 def read_generation_feed(
@@ -53,26 +63,25 @@ def read_generation_feed(
     paths: Paths,
     fmt: str = "csv",
     region: str = r"Generation_([A-Z]+)",
+    source: bool = False,
 ) -> DataFrame:
     """``date_time, REGION`` and one column per station, from quarterly pieces.
 
     Stations that a piece lacks are null there. Columns ``<station>.<suffix>`` take the
     station's name.
     """
-    raw = read_any(spark, paths, fmt, ("REGION", region))
+    raw = read_any(spark, paths, fmt, ("REGION", region), source)
     stations = [c.split(".")[0] for c in raw.columns]
     if len(set(stations)) != len(stations):
         raise ValueError("two columns of the generation feed have the same station name")
-    return _stamped(
-        typed(raw.toDF(*stations), {STAMP: "timestamp_ntz", "REGION": "string"})
-    )
+    return _stamped(typed(raw.toDF(*stations), _types(["REGION", *_source(source)])))
 
 
-def read_price_feed(spark: SparkSession, paths: Paths, fmt: str = "csv") -> DataFrame:
+def read_price_feed(spark: SparkSession, paths: Paths, fmt: str = "csv", source: bool = False) -> DataFrame:
     """``date_time`` and one column per region, named without the feed's suffix."""
-    raw = read_any(spark, paths, fmt)
+    raw = read_any(spark, paths, fmt, source=source)
     names = [c.removesuffix(PRICE_SUFFIX) for c in raw.columns]
-    return _stamped(typed(raw.toDF(*names), {STAMP: "timestamp_ntz"}))
+    return _stamped(typed(raw.toDF(*names), _types(_source(source))))
 
 
 def read_flow_feed(
@@ -80,7 +89,8 @@ def read_flow_feed(
     paths: Paths,
     fmt: str = "csv",
     links: Sequence[str] = tuple(FLOW_FEED_LINKS),
+    source: bool = False,
 ) -> DataFrame:
     """``date_time`` and one column per link; the feed's columns are known by order."""
-    raw = read_any(spark, paths, fmt).toDF(STAMP, *links)
-    return _stamped(typed(raw, {STAMP: "timestamp_ntz"}))
+    raw = read_any(spark, paths, fmt, source=source).toDF(STAMP, *links, *_source(source))
+    return _stamped(typed(raw, _types(_source(source))))

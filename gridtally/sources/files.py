@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.operators.reshape import stack
@@ -15,17 +16,31 @@ UNIT_FILES = "INPUT*GENERATION*"
 ZONAL_FILES = "INPUT*_ZONAL_*"
 
 
-def matching_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``path`` of the files in a folder whose name matches; contents are not read."""
+def matching_files(spark: SparkSession, folder: str, pattern: str, *columns: str) -> DataFrame:
+    """``path``, or other ``columns``, of the files in a folder whose name matches; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select("path")
+        .select(*(columns or ["path"]))
     )
 
 
+def listed_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``source, path, size, modified`` of matching files; none if the folder does not exist.
+
+    ``source`` is the name under which rows read from the file know it.
+    """
+    try:
+        found = matching_files(spark, folder, pattern, "_metadata.file_path", "path", "length", "modificationTime")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "source string, path string, size long, modified timestamp")
+    return found.toDF("source", "path", "size", "modified")
+
+
 def only_file(spark: SparkSession, folder: str, pattern: str) -> str:
     """The one matching file; none or several is an error."""
     found = [row.path for row in matching_files(spark, folder, pattern).limit(2).collect()]
@@ -43,7 +58,7 @@ def _csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> D
     return reader.csv(list(paths))
 
 
-def with_file_label(df: DataFrame, column: str, pattern: str) -> DataFrame:
+def with_file_label(df: DataFrame, column: str, pattern: str, *others: Column) -> DataFrame:
     """Add a label taken from the name of the file each row was read from.
 
     Only a table straight from a reader knows its files. A name without a label is an error.
@@ -51,7 +66,7 @@ def with_file_label(df: DataFrame, column: str, pattern: str) -> DataFrame:
     file = F.col("_metadata.file_name")
     label = F.regexp_extract(file, pattern, 1)
     problem = F.raise_error(F.concat(F.lit(f"no {column} in the file name "), file))
-    return df.select("*", F.when(label != "", label).otherwise(problem.cast("string")).alias(column))
+    return df.select("*", F.when(label != "", label).otherwise(problem.cast("string")).alias(column), *others)
 
 
 def read_any(
@@ -59,16 +74,22 @@ def read_any(
     paths: str | Sequence[str],
     fmt: str = "csv",
     label: tuple[str, str] | None = None,
+    source: bool = False,
 ) -> DataFrame:
     """One table from files of one schema or of different columns.
 
     CSV files with different columns are read per header and stacked by column name, Parquet
     files by merging schemas; a column a file lacks is null there. ``label`` is a column and
-    the pattern that finds its value in the file name.
+    the pattern that finds its value in the file name; ``source`` adds the file's path as the
+    last column.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
 
     def labelled(df: DataFrame) -> DataFrame:
+        if source:
+            path = F.col("_metadata.file_path").alias("source")
+            df = with_file_label(df, *label, path) if label else df.select("*", path)
+            return df
         return with_file_label(df, *label) if label else df
 
     if fmt == "parquet":

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridtally.operators.completeness import coverage_of_year
+
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Write Parquet partitioned by columns, replacing the partitions written.
@@ -45,36 +49,100 @@ def read_hourly(
     return df.drop("year")
 
 
-def hourly_or_build(
-    spark: SparkSession,
-    path: str,
-    build: Callable[[], DataFrame],
-    year: int | None = None,
-    regions: Sequence[str] | None = None,
-) -> DataFrame:
-    """The hourly table at ``path``, of one year and of some regions if given.
+@dataclass(frozen=True)
+class Built:
+    """What a build makes of some source files, with a ``source`` column in either table: the hourly
+    rows, and the bitmaps of the slots that the files have (``completeness.slot_days``)."""
 
-    Regions of the year that it lacks are built and written first; what the source holds of
-    other years is not written, as it may be a part of them only.
+    hours: DataFrame
+    slots: DataFrame
+
+
+class HourlyTable:
+    """An hourly table built from source files, file by file, below ``path``.
+
+    ``data/build=<id>`` and ``slots/build=<id>`` hold what a build made of the files that were new to
+    it; ``manifest`` has a row for each file and year, written after both. Only what the manifest
+    lists is read, so a write that was cut off stays invisible. A file of another size or time than
+    listed is built again and takes the place of its earlier rows; a region that no file has is not
+    looked for again. An hour's readings are to lie in one file.
     """
-    years = None if year is None else [year]
-    lacking = None if regions is None else set(regions)
-    try:
-        found = read_hourly(spark, path, years)
-        if lacking:
-            lacking -= {row.REGION for row in found.select("REGION").distinct().collect()}
-        if (year is None or not found.isEmpty()) and not lacking:
-            return found if regions is None else read_hourly(spark, path, years, regions)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    built = build()
-    if year is not None:
-        built = built.where(F.year("date_time") == year)
-    if lacking:
-        built = built.where(F.col("REGION").isin(sorted(lacking)))
-    write_hourly(built, path)
-    return read_hourly(spark, path, years, regions)
+
+    _MANIFEST = "source string, size long, modified timestamp, year int, build string, hours long, made timestamp"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def manifest(self) -> DataFrame:
+        """The row in force of each source file and year."""
+        try:
+            rows = self.spark.read.schema(self._MANIFEST).parquet(f"{self.path}/manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self._MANIFEST)
+        row = F.struct("made", "build", "size", "modified", "hours")
+        last = rows.groupBy("source", "year").agg(F.max(row).alias("row"))
+        return last.select("source", "row.size", "row.modified", "year", "row.build", "row.hours", "row.made")
+
+    def update(self, files: DataFrame, year: int, build: Callable[[list[str]], Built]) -> int:
+        """Build what of ``files`` (source, path, size, modified) is not in force for the year; the
+        number of files built."""
+        known = self.manifest().where(F.col("year") == year)
+        new = files.join(known, ["source", "size", "modified"], "left_anti").collect()
+        if not new:
+            return 0
+        name = uuid.uuid4().hex
+        built = build([row.path for row in new])
+        of_year = built.hours.where(F.year("date_time") == year).withColumn("year", F.lit(year))
+        partitions = ["year", *(["REGION"] if "REGION" in of_year.columns else [])]
+        write_partitioned(of_year, f"{self.path}/data/build={name}", partitions)
+        built.slots.write.parquet(f"{self.path}/slots/build={name}")
+        written = self.spark.read.schema(of_year.schema).parquet(f"{self.path}/data/build={name}")
+        counts = written.groupBy("source").agg(F.count(F.lit(1)).alias("hours"))
+        listed = self.spark.createDataFrame(
+            [(r.source, r.size, r.modified) for r in new], "source string, size long, modified timestamp"
+        )
+        rows = listed.join(counts, "source", "left").select(
+            "source", "size", "modified", F.lit(year).alias("year"), F.lit(name).alias("build"),
+            F.coalesce("hours", F.lit(0)).alias("hours"), F.current_timestamp().alias("made"),
+        )
+        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        return len(new)
+
+    def _in_force(self, folder: str, year: int) -> DataFrame | None:
+        """Rows below ``folder`` of the files and builds that the manifest has for a year."""
+        rows = self.manifest().where(F.col("year") == year).collect()
+        # a build without hours of the year has written no data
+        builds = sorted({r.build for r in rows if r.hours or folder != "data"})
+        if not builds:
+            return None
+        root = f"{self.path}/{folder}"
+        found = self.spark.read.option("basePath", root).option("mergeSchema", "true")
+        found = found.parquet(*(f"{root}/build={b}" for b in builds))
+        # most builds are in force whole; of the others the files that were built again are left out
+        current = {b: {r.source for r in rows if r.build == b} for b in builds}
+        sources = F.create_map(*(F.lit(x) for b in builds for x in (b, "\n".join(sorted(current[b])))))
+        listed = F.array_contains(F.split(F.try_element_at(sources, F.col("build")), "\n"), F.col("source"))
+        return found.where(listed)
+
+    def read(self, year: int, regions: Sequence[str] | None = None) -> DataFrame:
+        """The hourly rows of a year, and of some regions if given; an error if nothing was built."""
+        rows = self._in_force("data", year)
+        if rows is None:
+            raise ValueError(f"no hours of {year} in {self.path}")
+        rows = rows.where(F.col("year") == year)
+        if regions is not None and "REGION" in rows.columns:
+            rows = rows.where(F.col("REGION").isin(list(regions)))
+        return rows.drop("year", "build", "source")
+
+    def coverage(self, year: int, step_minutes: int = 5) -> DataFrame:
+        """Gaps and repeats of the source files by day (and region), from their bitmaps alone."""
+        slots = self._in_force("slots", year)
+        if slots is None:
+            raise ValueError(f"no hours of {year} in {self.path}")
+        keys = ["REGION"] if "REGION" in slots.columns else []
+        return coverage_of_year(slots, keys, year, step_minutes)
 
 
 def write_zonal(tables: dict[str, DataFrame], path: str) -> None:

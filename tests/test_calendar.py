@@ -12,7 +12,6 @@ from gridtally.operators.calendar import (
     expand_hours,
     hour_of_timestamp,
     label_horizons,
-    missing_slots,
     stamp_horizons,
     time_map,
     timestamp_of_hour,
@@ -139,17 +138,6 @@ def test_timestamp_of_hour(spark):
     ]
 
 
-def test_missing_slots(spark, rows, at):
-    feed = spark.createDataFrame(
-        [("a", at("01-01 00:00")), ("a", at("01-01 00:05")), ("b", at("01-01 00:10"))],
-        "station string, date_time timestamp_ntz",
-    )
-    found = missing_slots(feed, ["station"], "2021-01-01 00:00:00", "2021-01-01 00:10:00")
-    assert rows(found) == sorted(
-        [("a", at("01-01 00:10")), ("b", at("01-01 00:00")), ("b", at("01-01 00:05"))], key=repr
-    )
-
-
 def padded(n, pad, template):
     x = list(range(1, n + 1))
     tail = template - n - pad

@@ -188,27 +188,89 @@ def test_assumptions(spark, tmp_path):
 
 
 def test_hourly_layer(spark, rows, tmp_path):
-    path, built = str(tmp_path / "price"), []
+    path = str(tmp_path / "price")
     data = [(datetime(y, 1, 1, h), r, float(h)) for y in (2020, 2021) for h in range(3) for r in ("NSW", "SA")]
-
-    def build():
-        built.append(1)
-        return spark.createDataFrame(data, "date_time timestamp_ntz, REGION string, spot_price double")
-
-    first = layer.hourly_or_build(spark, path, build)
-    again = layer.hourly_or_build(spark, path, build)
-    assert len(built) == 1
-    assert rows(first, "date_time", "REGION", "spot_price") == sorted(data, key=repr)
-    assert rows(again, "date_time", "REGION", "spot_price") == sorted(data, key=repr)
+    table = spark.createDataFrame(data, "date_time timestamp_ntz, REGION string, spot_price double")
+    layer.write_hourly(table, path)
+    assert rows(layer.read_hourly(spark, path), "date_time", "REGION", "spot_price") == sorted(data, key=repr)
     some = layer.read_hourly(spark, path, [2021], ["SA"])
     assert some.count() == 3
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2021" in plan.split("PartitionFilters")[1]
     # writing one year again leaves the other alone
-    layer.write_hourly(build().where("date_time >= '2021-01-01' AND REGION = 'SA'"), path)
+    layer.write_hourly(table.where("date_time >= '2021-01-01' AND REGION = 'SA'"), path)
     assert spark.read.parquet(path).count() == len(data)
 
 
+def demand_file(path, months, region="NSW", step=5, value=1.0, skip=()):
+    lines = ["DateTime,Demand,Predispatch"]
+    for month in months:
+        stamp = datetime(2021, month, 1)
+        while stamp.month == month:
+            if stamp not in skip:
+                lines.append(f"{stamp:%Y-%m-%d %H:%M:%S},{value},0")
+            stamp += timedelta(minutes=step)
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_layer_grows_by_the_files_that_are_new(spark, tmp_path):
+    raw, hourly = tmp_path / "raw", tmp_path / "hourly"
+    raw.mkdir()
+
+    def months(market, *regions):
+        found = market.demand(list(regions) or None).groupBy(F.month("date_time").alias("m")).count().collect()
+        return {r.m: r["count"] for r in found}
+
+    def builds():
+        return len(list((hourly / "Demand" / "manifest").glob("part-*.parquet")))
+
+    market = MarketYear(spark, str(raw), str(hourly), 2021)
+    demand_file(raw / "Demand_NSW1_2021_1.csv", [1, 2, 3])
+    assert months(market) == {1: 744, 2: 672, 3: 744} and builds() == 1
+    # a region that no file has costs no second build
+    assert months(market, "NSW", "TAS") == {1: 744, 2: 672, 3: 744} and builds() == 1
+    for k in (2, 3, 4):
+        demand_file(raw / f"Demand_NSW1_2021_{k}.csv", range(3 * k - 2, 3 * k + 1))
+    assert len(months(market)) == 12 and sum(months(market).values()) == 8760 and builds() == 2
+    days = market.coverage("Demand")
+    assert days.count() == 365 and days.where("missing > 0 OR repeated > 0").count() == 0
+    assert MarketYear(spark, str(raw), str(hourly), 2021, gaps="refuse").demand().count() == 8760
+    # a file that changed takes the place of its earlier rows
+    demand_file(raw / "Demand_NSW1_2021_2.csv", [4, 5], value=7.5)
+    found = {r.m: r.v for r in market.demand().groupBy(F.month("date_time").alias("m")).agg(F.avg("hourly_demand").alias("v")).collect()}
+    assert builds() == 3 and found[4] == 7.5 and found[1] == 1.0 and 6 not in found
+    with pytest.raises(ValueError, match="NSW 8640 missing, 0 repeated, first on 2021-06-01"):
+        MarketYear(spark, str(raw), str(hourly), 2021, gaps="refuse").demand()
+    # what the manifest does not list is not seen: a write that was cut off
+    cut = hourly / "Demand/data/build=cut/year=2021/REGION=NSW"
+    cut.mkdir(parents=True)
+    (cut / "part-0.parquet").write_bytes(b"half a file")
+    assert market.demand().count() == 8760 - 720
+    # without raw files the table is served as it is
+    assert MarketYear(spark, "/nowhere", str(hourly), 2021).demand().count() == 8760 - 720
+    with pytest.raises(ValueError, match="no Demand file of 1999"):
+        MarketYear(spark, str(raw), str(hourly), 1999).demand()
+    # a file without an hour of its year adds none, and is not read again
+    demand_file(raw / "Demand_SA1_2022_2021.csv", [12])
+    other = MarketYear(spark, str(raw), str(hourly), 2022)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="no hours of 2022"):
+            other.demand()
+    assert builds() == 4
+
+
+def test_stamps_at_the_end_of_an_interval(spark, rows, tmp_path):
+    lines = [f"2021-01-01 {h:02}:{m:02}:00,{h * 60 + m},0" for h in range(3) for m in range(0, 60, 5)]
+    (tmp_path / "Demand_SA1_2021.csv").write_text("DateTime,Demand,Predispatch\n" + "\n".join(lines[1:]) + "\n")
+    market = MarketYear(spark, str(tmp_path), str(tmp_path / "hourly"), 2021, end_of_interval_minutes=5)
+    found = rows(market.demand(), "date_time", "hourly_demand")
+    # 00:05 to 01:00 are the readings of the hour from 00:00
+    assert found[0] == (datetime(2021, 1, 1, 0), sum(range(5, 65, 5)) / 12)
+    assert [t for t, _ in found] == [datetime(2021, 1, 1, h) for h in range(3)]
+    first = market.coverage("Demand").orderBy("day").first()
+    assert (first.expected, first.readings, first.missing) == (288, 35, 253)
+
+
 def test_staging(spark, rows):
     df = spark.range(5)
     staged = stage(df, "numbers")
@@ -361,25 +423,6 @@ def test_prepare_plants(spark, tmp_path):
     assert [(r.DUID, r.CAPACITY, r.VARCOST) for r in back.collect()] == [("A", 10.0, 3.0)]
 
 
-def test_layer_holds_whole_years_and_all_regions_asked_for(spark, tmp_path):
-    def hours(year, region, extra=()):
-        stamps = [datetime(year, 1, 1, h) for h in range(24)] + list(extra)
-        return [(t, region, 1.0) for t in stamps]
-
-    def table_of(*parts):
-        return spark.createDataFrame([r for p in parts for r in p], "date_time timestamp_ntz, REGION string, v double")
-
-    path = str(tmp_path / "layer")
-    early = table_of(hours(2021, "NSW", [datetime(2022, 1, 1)]))
-    both = table_of(hours(2022, "NSW"), hours(2022, "SA"))
-    assert layer.hourly_or_build(spark, path, lambda: early, 2021, ["NSW"]).count() == 24
-    assert layer.hourly_or_build(spark, path, lambda: both, 2022, ["NSW"]).count() == 24
-    assert layer.hourly_or_build(spark, path, lambda: both, 2022, ["NSW", "SA"]).count() == 48
-    again = layer.hourly_or_build(spark, str(tmp_path / "other"), lambda: both, 2022)
-    assert layer.hourly_or_build(spark, str(tmp_path / "other"), lambda: early, 2021).count() == 24
-    assert again.count() == 48
-
-
 def test_region_keys_of_several_digits(spark, tmp_path):
     for key in range(1, 13):
         (tmp_path / f"INPUT_DATA_ZONAL_{key}.csv").write_text("Time,Demand,Wind,Solar,Hydro\n1,1,2,3,4\n")
