@@ -1,10 +1,8 @@
 """Ids of a byte-level vocabulary by the tokenizers library, for columns of texts at once.
 
 The vocabulary's pattern lets a run of white space go with the word behind it only, so a text can be
-cut in front of each such run, and its units (a word with the white space before it) are encoded
-apart from each other. A worker gives each distinct unit to the library once and remembers its bytes
-and ids; units of a column are looked up, compared byte by byte and replaced by their ids in numpy
-arrays, without a Python object per word. A text with white space beyond ASCII is one unit.
+cut in front of each such run, and its units are encoded apart from each other: each distinct unit is
+given to the library once. A text with white space beyond ASCII is one unit.
 """
 
 from __future__ import annotations
@@ -16,67 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gridtally.llm.words import SLICE_BYTES, flat, is_gap, run_values
+from gridtally.llm.units import Units, row_slices
+from gridtally.llm.words import flat, is_gap
 
 #: White space beyond ASCII, whose runs with ASCII white space must not be cut.
 _OTHER_SPACE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: Units, and bytes of them, that a worker remembers before it starts anew.
-_MOST_UNITS, _MOST_BYTES = 2_000_000, 128 << 20
-
-
-class _Grown:
-    """An array that grows at its end."""
-
-    def __init__(self, kind) -> None:
-        self.held, self.size = np.zeros(1024, kind), 0
-
-    def extend(self, values: np.ndarray) -> None:
-        size = self.size + len(values)
-        if size > len(self.held):
-            self.held = np.concatenate((self.held[: self.size], np.zeros(max(size, 2 * self.size), self.held.dtype)))
-        self.held[self.size : size] = values
-        self.size = size
-
-
-class _Places:
-    """Place of each 64-bit value among those put in, by open addressing in numpy."""
-
-    def __init__(self) -> None:
-        self.keys, self.places, self.count = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64), 0
-
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Place of each value, -1 if it is not there."""
-        mask = np.uint64(len(self.keys) - 1)
-        at = values & mask
-        seen = self.keys[at]
-        out = np.where(seen == values, self.places[at], -1)
-        todo = np.flatnonzero((seen != values) & (seen != 0))
-        while len(todo):
-            at[todo] = (at[todo] + np.uint64(1)) & mask
-            seen = self.keys[at[todo]]
-            hit = seen == values[todo]
-            out[todo[hit]] = self.places[at[todo[hit]]]
-            todo = todo[~hit & (seen != 0)]
-        return out
-
-    def put(self, values: np.ndarray, places: np.ndarray) -> None:
-        """Add distinct values that are not there yet."""
-        self.count += len(values)
-        if 2 * self.count > len(self.keys):
-            full = self.keys != 0
-            values, places = np.concatenate((self.keys[full], values)), np.concatenate((self.places[full], places))
-            size = 1 << (4 * self.count).bit_length()
-            self.keys, self.places = np.zeros(size, np.uint64), np.zeros(size, np.int64)
-        mask = np.uint64(len(self.keys) - 1)
-        at = values & mask
-        todo = np.arange(len(values))
-        while len(todo):
-            free = todo[self.keys[at[todo]] == 0]
-            self.keys[at[free]] = values[free]  # of several values for one slot the last stays
-            done = self.keys[at[todo]] == values[todo]
-            self.places[at[todo[done]]] = places[todo[done]]
-            todo = todo[~done]
-            at[todo] = (at[todo] + np.uint64(1)) & mask
 
 
 class ByteTokens:
@@ -94,31 +36,11 @@ class ByteTokens:
         self.library.encode_special_tokens = not added
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()] if added else []
         self.size = self.library.get_vocab_size()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places = _Places()
-        self.bytes, self.ids = _Grown(np.uint8), _Grown(np.uint32)
-        # first byte and first id of each unit, and one more
-        self.from_byte, self.from_id = _Grown(np.int64), _Grown(np.int64)
-        self.from_byte.extend(np.zeros(1, np.int64))
-        self.from_id.extend(np.zeros(1, np.int64))
+        self.units = Units(lambda units: [c.ids for c in self.library.encode_batch(units, add_special_tokens=False)])
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def _learn(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> None:
-        units = [raw[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
-        coded = self.library.encode_batch([u.decode("utf-8") for u in units], add_special_tokens=False)
-        first = self.from_byte.size - 1
-        self.bytes.extend(np.frombuffer(b"".join(units), np.uint8))
-        n_bytes = np.cumsum([len(u) for u in units])
-        self.from_byte.extend(self.from_byte.held[first] + n_bytes)
-        ids = [c.ids for c in coded]
-        self.ids.extend(np.array([i for part in ids for i in part], dtype=np.uint32))
-        self.from_id.extend(self.from_id.held[first] + np.cumsum([len(part) for part in ids]))
-        self.places.put(values, np.arange(first, first + len(units)))
-
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each followed by `end_id`, and the number of each
         text's ids with it. Null is empty."""
@@ -127,60 +49,24 @@ class ByteTokens:
             uncut = pc.or_(uncut, pc.match_substring(texts, content))
         uncut = uncut.fill_null(False).to_numpy(zero_copy_only=False)
         raw, offsets = flat(texts)
-        parts, row = [], 0
-        while row < len(texts):
-            end = max(int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1, row + 1)
-            part = raw[offsets[row] : offsets[end]]
-            parts.append(self._slice(part, offsets[row : end + 1] - offsets[row], uncut[row:end], end_id))
-            row = end
+        parts = []
+        for row, end in row_slices(offsets):
+            part, own = raw[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+            gap = is_gap(part)
+            begins = gap.copy()
+            begins[1:] &= ~gap[:-1]
+            for k in np.flatnonzero(uncut[row:end]):
+                begins[own[k] : own[k + 1]] = False
+            begins[own[:-1][np.diff(own) > 0]] = True
+            parts.append(self.units.ids_of(part, own, begins, end_id))
         if not parts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         ids, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-        if counts[0] != 1 + len(own := self.whole(texts[0].as_py() or "")) or (ids[: counts[0] - 1] != own).any():
+        own = self.whole(texts[0].as_py() or "")
+        if counts[0] != 1 + len(own) or (ids[: counts[0] - 1] != own).any():
             raise RuntimeError("ids of a whole text differ from those of its units")
         return ids, counts
 
-    def _slice(self, raw: np.ndarray, offsets: np.ndarray, uncut: np.ndarray, end_id: int):
-        if self.places.count > _MOST_UNITS or self.bytes.size > _MOST_BYTES:
-            self._forget()
-        gap = is_gap(raw)
-        begins = gap.copy()
-        begins[1:] &= ~gap[:-1]
-        for row in np.flatnonzero(uncut):
-            begins[offsets[row] : offsets[row + 1]] = False
-        begins[offsets[:-1][np.diff(offsets) > 0]] = True
-        starts = np.flatnonzero(begins)
-        ends = np.append(starts[1:], len(raw))
-        values = run_values(raw, starts, ends)
-        values[values == 0] = 1
-        at = self.places.find(values)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            _, first = np.unique(values[new], return_index=True)
-            new = new[first]
-            self._learn(raw, starts[new], ends[new], values[new])
-            at = self.places.find(values)
-        lengths, from_byte = ends - starts, self.from_byte.held
-        same = bool((from_byte[at + 1] - from_byte[at] == lengths).all())
-        if same and len(raw):
-            known = np.repeat(from_byte[at] - starts, lengths) + np.arange(len(raw))
-            same = bool((self.bytes.held[known] == raw).all())
-        if not same:  # units of equal hashes: each text by itself
-            rows = [self.whole(raw[a:b].tobytes().decode("utf-8")) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            ids = np.concatenate([x for r in rows for x in (r, np.array([end_id], np.uint32))])
-            return ids, np.array([len(r) + 1 for r in rows])
-        # ids of the units of each row, with a place for the end id behind them
-        rows = np.searchsorted(starts, offsets[1:])
-        n_ids = (self.from_id.held[at + 1] - self.from_id.held[at]).astype(np.int64)
-        before = np.concatenate(([0], np.cumsum(n_ids)))
-        stops = before[rows] + np.arange(1, len(rows) + 1)
-        ids = np.empty(before[-1] + len(rows), np.uint32)
-        taken = np.ones(len(ids), dtype=bool)
-        taken[stops - 1] = False
-        ids[~taken] = end_id
-        ids[taken] = self.ids.held[np.repeat(self.from_id.held[at] - before[:-1], n_ids) + np.arange(before[-1])]
-        return ids, np.diff(stops, prepend=0)
-
 
 @lru_cache(maxsize=2)
 def byte_tokens(path: str, added: bool = False) -> ByteTokens:

@@ -4,29 +4,31 @@ A text is normalised (spaces become U+2581, one goes in front) and cut before ea
 that follows another character. No piece of the vocabulary holds such a cut (this is verified), so
 no merge can cross one, and the parts of a text are encoded one by one. A part's adjacent symbol
 pairs wait in an agenda ordered by score, then place; the best pair is merged until none is left.
-Each distinct part is encoded once per worker and compared with what the library makes of it; a
-difference fails the job. Vocabulary files must lie at the same path on every machine.
+Each distinct part is encoded once per worker and compared with what the library makes of it, and so
+is a whole text of each batch; a difference fails the job. Vocabulary files must lie at the same path
+on every machine.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import ship
+from gridtally.llm.units import Units, row_slices
+from gridtally.llm.words import flat
 
 SPACE = "▁"
 _PART = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Distinct parts that a worker remembers, and their longest length.
-_REMEMBERED, _LONG_PART = 600_000, 64
 
 
 class Pieces:
@@ -63,7 +65,7 @@ class Pieces:
                 self.bytes[int(p.piece[3:5], 16)] = i
         if any(SPACE in p.lstrip(SPACE) for p in self.merges):
             raise ValueError("a piece holds a space after another character")
-        self.known: dict[str, bytes] = {}
+        self.units = Units(self._checked)
 
     def parts(self, text: str) -> list[str]:
         return _PART.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -106,29 +108,40 @@ class Pieces:
                 ids.extend(self.bytes[b] for b in symbol.encode("utf-8"))
         return ids
 
-    def learn(self, parts: Iterable[str]) -> None:
-        """Encode parts not seen yet, and compare with the library."""
-        new = [p for p in parts if p not in self.known]
-        theirs = self.library.encode([p[1:].replace(SPACE, " ") for p in new], num_threads=1)
-        for part, expected in zip(new, theirs, strict=True):
-            # the library gives nothing for the lone space of an empty text, which no text holds
+    def _checked(self, units: list[str]) -> list[list[int]]:
+        """Ids of units (parts with their spaces as in the text), compared with the library's."""
+        out = []
+        for unit, expected in zip(units, self.library.encode([u[1:] for u in units], num_threads=1), strict=True):
+            part = unit.replace(" ", SPACE)
             ids = self.merged(part)
+            # the library gives nothing for the lone space of an empty text, which no text holds
             if ids != expected and part != SPACE:
                 raise RuntimeError(f"ids of {part!r} are {ids}, by the library {expected}")
-            self.known[part] = np.array(ids, dtype=np.int32).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text with the end id, as 32-bit integers."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        cut = [self.parts(t) for t in texts]
-        self.learn(set().union(*cut))
-        end, known = np.array([self.end], dtype=np.int32).tobytes(), self.known
-        out = [b"".join([known[p] for p in parts]) + end for parts in cut]
-        for part in [p for p in set().union(*cut) if len(p) > _LONG_PART]:
-            del known[part]
+            out.append(ids)
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end id, and the number of each text's
+        ids with it. Null is empty."""
+        # a space goes in front of a text; U+2581 in a text is the same symbol as a space
+        spaced = pc.replace_substring(texts.fill_null(""), SPACE, " ")
+        spaced = pc.if_else(pc.equal(spaced, ""), "", pc.binary_join_element_wise(" ", spaced, ""))
+        raw, offsets = flat(spaced)
+        parts = []
+        for row, end in row_slices(offsets):
+            part, own = raw[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+            space = part == 0x20
+            begins = space.copy()
+            begins[1:] &= ~space[:-1]
+            begins[own[:-1][np.diff(own) > 0]] = True
+            parts.append(self.units.ids_of(part, own, begins, self.end))
+        if not parts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if ids[: counts[0]].tolist() != self.library.encode(texts[0].as_py() or "", add_eos=True):
+            raise RuntimeError("ids of a whole text differ from the library's")
+        return ids, counts
+
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -140,24 +153,17 @@ def as_texts(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
-def id_lists(rows: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0] + [len(r) // 4 for r in rows]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
-
-
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
         for batch in batches:
-            texts = as_texts(batch.column("text"))
-            ids = vocabulary.encode(texts)
-            if texts:  # one whole text of each batch, beside all its parts
-                first = vocabulary.library.encode(texts[0], add_eos=True)
-                if first != np.frombuffer(ids[0], np.int32).tolist():
-                    raise RuntimeError("ids of a whole text differ from the library's")
-            decoded = [vocabulary.library.decode(np.frombuffer(row, np.int32).tolist()) for row in ids]
+            ids, counts = vocabulary.encode(batch.column("text"))
+            ends = np.concatenate(([0], np.cumsum(counts)))
+            listed = ids.tolist()
+            decoded = vocabulary.library.decode([listed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), id_lists(ids), pa.array(decoded, pa.string())], ["row", "ids", "decoded"]
+                [batch.column("row"), lists, pa.array(decoded, pa.string())], ["row", "ids", "decoded"]
             )
 
     return run

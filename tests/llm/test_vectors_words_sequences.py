@@ -10,9 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridtally.llm import byte_tokens, packing, spelling, whitening
+from gridtally.llm import byte_tokens, packing, pieces, spelling, units, whitening
 from gridtally.llm.oracle import SPELLING
-from gridtally.llm.queries import BYTE_VOCABULARY, op13_best_fit_packing
+from gridtally.llm.queries import BYTE_VOCABULARY, MERGE_VOCABULARY, op13_best_fit_packing
 
 
 def whole(rows):
@@ -216,7 +216,7 @@ TEXTS = [
 
 @pytest.mark.parametrize("added", [True, False])
 def test_byte_tokens(added, monkeypatch):
-    monkeypatch.setattr(byte_tokens, "_MOST_UNITS", 5)
+    monkeypatch.setattr(units, "_MOST_UNITS", 5)
     tokens = byte_tokens.ByteTokens(BYTE_VOCABULARY, added)
     for texts in (TEXTS, TEXTS[::-1], TEXTS[:1], []):
         ids, counts = tokens.encode(pa.array(texts, pa.string()), 2)
@@ -226,12 +226,25 @@ def test_byte_tokens(added, monkeypatch):
 
 
 def test_units_of_equal_hashes_are_told_apart(monkeypatch):
-    monkeypatch.setattr(byte_tokens, "run_values", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
+    monkeypatch.setattr(units, "run_values", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
     tokens = byte_tokens.ByteTokens(BYTE_VOCABULARY)
     texts = ["one two six", "ten", "abc abd", "abd abc"]
     ids, counts = tokens.encode(pa.array(texts), 2)
     expected = [[*tokens.library.encode(t).ids, 2] for t in texts]
     assert ids.tolist() == [i for row in expected for i in row] and counts.tolist() == [len(r) for r in expected]
+    merges = pieces.Pieces(MERGE_VOCABULARY)
+    ids, counts = merges.encode(pa.array(texts))
+    expected = merges.library.encode(texts, add_eos=True)
+    assert ids.tolist() == [i for row in expected for i in row] and counts.tolist() == [len(r) for r in expected]
+
+
+def test_pieces_of_odd_texts(monkeypatch):
+    monkeypatch.setattr(units, "_MOST_UNITS", 5)
+    merges = pieces.Pieces(MERGE_VOCABULARY)
+    texts = [*TEXTS, "\u2581a \u2581\u2581 b\u2581", " ", "  a", "a  "]
+    ids, counts = merges.encode(pa.array(texts))
+    expected = merges.library.encode([t or "" for t in texts], add_eos=True)
+    assert ids.tolist() == [i for row in expected for i in row] and counts.tolist() == [len(r) for r in expected]
 
 
 @pytest.mark.parametrize("capacity", [1, 7, 1024])
