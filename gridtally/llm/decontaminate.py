@@ -239,6 +239,8 @@ class Items:
 
     names: list
     words: list[np.ndarray]
+    #: Distinct words of each item, sorted, and what all places of each weigh.
+    distinct: list[tuple[np.ndarray, np.ndarray]]
     answers: list[np.ndarray]
     owners: np.ndarray
     latent: np.ndarray
@@ -268,6 +270,7 @@ def _items(rows: list, weights: np.ndarray, space: Latent, answer_share: float)
     return Items(
         [r["item_id"] for r in rows],
         words,
+        [_distinct(own, weights) for own in words],
         words_of(answers),
         np.array(owners, dtype=np.int64),
         table,
@@ -366,7 +369,13 @@ def _rows_with(words: Words, rare: RareWords) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def _lookups(words: Words, items: Items, weights: np.ndarray, share: float) -> np.ndarray:
+def _places(value: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a text would be among sorted words, and whether it is there."""
+    place = np.minimum(np.searchsorted(value, text), len(value) - 1)
+    return place, value[place] == text
+
+
+def _lookups(words: Words, items: Items, share: float) -> np.ndarray:
     """(row, start, item) of each passage around which the item's words weigh `share` of it."""
     out = []
     if not len(words.values) or not len(items.rare.values):
@@ -374,9 +383,8 @@ def _lookups(words: Words, items: Items, weights: np.ndarray, share: float) -> n
     begins = words.begins()
     for row, item in _rows_with(words, items.rare):
         text, own = words.values[begins[row] : begins[row + 1]], items.words[item]
-        value, weight = _distinct(own, weights)
-        place = np.minimum(np.searchsorted(value, text), len(value) - 1)
-        here = value[place] == text
+        value, weight = items.distinct[item]
+        place, here = _places(value, text)
         sums = np.concatenate(([0.0], np.cumsum(np.where(here, weight[place], 0.0))))
         start = _starts(len(text))
         low, high = _around(start, len(own), len(text))
@@ -391,6 +399,10 @@ def _around(start, item: int, text: int):
     return np.maximum(start - item // 2, 0), np.minimum(start + WINDOW + item, text)
 
 
+def _before(one: int | None, other: int | None) -> bool:
+    return one is not None and (other is None or one < other)
+
+
 _FOUND = "contaminated boolean, item_id long, overlap double, answer_found boolean"
 
 
@@ -407,23 +419,29 @@ def _search(items, weights, space, floor: float, copy_share: float, answer_share
                 item = given.column("item_id").to_pylist()
                 answered = given.column("answer_found").to_numpy(zero_copy_only=False).copy()
                 near = _candidates(words, items.value, weights.value, space.value, floor)
-                exact = _lookups(words, items.value, weights.value, answer_share)
+                exact = _lookups(words, items.value, answer_share)
                 for row, start, which in np.unique(np.concatenate((near, exact)), axis=0):
                     own = items.value.words[which]
                     low, high = _around(start, len(own), words.counts[row])
                     text = words.values[begins[row] + low : begins[row] + high]
-                    weight = weights.value[_features(own)]
                     # no subsequence weighs more than the item's words that occur at all
-                    if weight[np.isin(own, text)].sum() < answer_share * weight.sum():
+                    value, held = items.value.distinct[which]
+                    place, here = _places(value, text)
+                    met = np.zeros(len(value), dtype=bool)
+                    met[place[here]] = True
+                    if held[met].sum() < (answer_share - _ROUNDING) * held.sum():
                         continue
+                    weight = weights.value[_features(own)]
                     found = round(common_share(own, text, weight), 6)
                     if found < answer_share:
                         continue
                     answer = items.value.answers[which]
                     with_answer = common_share(answer, text, weights.value[_features(answer)]) >= 0.9
                     leaked[row] |= found >= copy_share or (found >= answer_share and with_answer)
-                    if found > share[row]:
-                        share[row], item[row], answered[row] = found, items.value.names[which], with_answer
+                    name = items.value.names[which]
+                    # of equal shares the least item_id counts, whatever the order of blocks
+                    if found > share[row] or found == share[row] and _before(name, item[row]):
+                        share[row], item[row], answered[row] = found, name, with_answer
                 yield pa.RecordBatch.from_arrays(
                     [given.column("row"), given.column("text"), pa.array(leaked), pa.array(item, pa.int64()), pa.array(share), pa.array(answered)],
                     ["row", "text", "contaminated", "item_id", "overlap", "answer_found"],
