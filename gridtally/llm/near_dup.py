@@ -7,9 +7,11 @@ documents is a candidate if any of their keys agree; at similarity s that fails
 of about 2 * (1 - s**2)**rows, 0.0002 at 0.8 with nine rows of two hashes, and less above.
 
 Documents with equal sets are one node from the start, so copies are never compared. Within a key
-all nodes are compared with the smallest (the pivot) first. Nodes of keys that still hold different
-components go through an exact prefix-filter join, which finds every link left between them without
-comparing all with all. No bucket is capped.
+all nodes are compared with one of them, the pivot, which then leaves the key; as long as the others
+there are of different components, another of them is the pivot. So small keys end with all their pairs
+compared, and a large group of near copies grows together around a few pivots. Nodes of keys that still
+hold different components after a few rounds go through an exact prefix-filter join, which finds every
+link left between them without comparing all with all. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -22,8 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import Workspace, ship, with_group
+from gridtally.llm.sketches import cell_counts
 from gridtally.llm.words import Words, mixed, slices
 
+#: Rounds of comparisons with pivots; what they leave open goes through the exact join.
+_PIVOTS = 3
+#: Cells in the table of hashed shingle counts are 2 to this power at most.
+_MOST_BITS = 22
 #: Rows of a frequent shingle that one task compares with the others.
 _PIECE = 512
 
@@ -208,19 +215,24 @@ def near_duplicates(
         counted = held.mapInArrow(_common, f"a {id_type}, b {id_type}, common long, united long")
         return space.keep(counted.withColumn("linked", F.expr(f"100 * common >= {percent} * united")), name)
 
-    first = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = checked(first, "to-pivot")
-    found = components(space, first.where("linked"), "first")
-
-    rest = _unsettled(space, buckets, found, sets, id_type, percent)
-    if rest.isEmpty():
-        final = found
+    links, found, left = None, None, buckets.select("key", "node", "size", "pivot")
+    pairs = left.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    for step in range(_PIVOTS):
+        seen = checked(pairs.distinct(), f"pivot-{step}").where("linked").select("a", "b")
+        links = seen if links is None else links.unionByName(seen)
+        found = components(space, links, f"part-{step}")
+        left = _still_open(left, found)
+        left = space.keep(left, f"open-{step}")
+        if left.isEmpty():
+            break
+        pairs = left.where("component <> pivot_component").select(
+            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+        )
     else:
-        second = checked(rest, "others")
-        links = first.where("linked").select("a", "b").unionByName(second.where("linked").select("a", "b"))
-        final = components(space, links, "final")
+        others = checked(_unsettled(space, left, sets, id_type, percent), "others")
+        found = components(space, links.unionByName(others.where("linked").select("a", "b")), "final")
 
-    placed = same.join(final, "node", "left").select(*key, "copies", F.coalesce("component", "node").alias("component_id"))
+    placed = same.join(found, "node", "left").select(*key, "copies", F.coalesce("component", "node").alias("component_id"))
     placed = space.keep(placed, "placed")
     light = signed.select("doc_id", *key)
     alone = light.where(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -229,47 +241,74 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
 
-def _spread_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes = np.diff(np.frombuffer(batch.column("shingles").buffers()[1], np.int32)[batch.column("shingles").offset :][: len(batch) + 1]) // 8
-        rows = pa.array(np.repeat(np.arange(len(batch)), sizes))
-        raw = b"".join(x.as_buffer().to_pybytes() for x in batch.column("shingles"))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("node").take(rows),
-                batch.column("size").take(rows),
-                batch.column("component").take(rows),
-                pa.array(np.frombuffer(raw, np.int64)),
-            ],
-            ["node", "size", "component", "shingle"],
-        )
+def _still_open(left: DataFrame, found: DataFrame) -> DataFrame:
+    """The keys of `left` (key, node, size, pivot) that hold different components besides their pivot,
+    without it and with another pivot: (key, node, size, component, pivot, pivot_component)."""
+    rest = left.where("node <> pivot").select("key", "node", "size").join(found, "node", "left")
+    rest = rest.withColumn("component", F.coalesce("component", "node"))
+    # the order of hashes is the same in all keys, so that keys of one group have few pivots
+    least = F.min(F.struct(F.xxhash64("node").alias("order"), "node", "component"))
+    keys = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), least.alias("p"))
+    keys = keys.where("x <> y").select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("pivot_component"))
+    return rest.join(keys, "key").select("key", "node", "size", "component", "pivot", "pivot_component")
 
 
-def _unsettled(
-    space: Workspace, buckets: DataFrame, found: DataFrame, sets: DataFrame, id_type: str, percent: int
-) -> DataFrame:
+def _flat_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of all rows one after the other, and how many each row has."""
+    raw = [x.as_buffer() for x in batch.column("shingles")]
+    sizes = np.array([r.size // 8 for r in raw], dtype=np.int64)
+    return np.frombuffer(b"".join(raw), np.uint64), sizes
+
+
+def _cells(bits: int):
+    def values_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield (_flat_sets(batch)[0] >> np.uint64(64 - bits)).astype(np.int64)
+
+    return values_of
+
+
+def _prefixes(counts, bits: int, percent: int):
+    """The first places of each set in the order of their cells' counts, as far as anything shares them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, sizes = _flat_sets(batch)
+            often = counts.value[(values >> np.uint64(64 - bits)).astype(np.int64)]
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, often, rows))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            # the share of a set that may be missing in the other, and one more
+            first = sizes - (sizes * percent + 99) // 100 + 1
+            kept = np.flatnonzero((place <= first[rows]) & (often[order] > 1))
+            owner = pa.array(rows[kept])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(owner) for c in ("node", "size", "component")),
+                    pa.array(values[order][kept].view(np.int64)),
+                    pa.array(place[kept]),
+                ],
+                ["node", "size", "component", "shingle", "place"],
+            )
+
+    return run
+
+
+def _unsettled(space: Workspace, left: DataFrame, sets: DataFrame, id_type: str, percent: int) -> DataFrame:
     """Pairs that the comparisons with the pivots left open, by an exact prefix filter.
 
     Two sets with `percent` in common share one of the first places of either, in an order common
-    to all, here from rare to frequent; a shared shingle at places i and j bounds what can follow.
-    So many variants of one text meet only if their own, rare shingles are few.
+    to all, here from rare to frequent by a table of hashed counts; a shared shingle at places i and j
+    bounds what can follow. So variants of one text meet only if their own, rare shingles are few.
     """
-    placed = buckets.join(found, "node", "left").select(
-        "key", "node", "size", F.coalesce("component", "node").alias("component")
-    )
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    split = split.where("x <> y").select("key")
-    nodes = space.keep(placed.join(split, "key").select("node", "size", "component").distinct(), "open-nodes")
-    runs = sets.join(nodes, "node").select("node", "size", "component", "shingles")
-    runs = runs.mapInArrow(_spread_out, f"node {id_type}, size long, component {id_type}, shingle long")
-    runs = space.keep(runs, "open-shingles")
-
-    often = space.keep(runs.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "open-counts")
-    rare_first = Window.partitionBy("node").orderBy("often", "shingle")
-    ranked = with_group(runs, often, ["shingle"], "often").withColumn("place", F.row_number().over(rare_first))
-    # the share of a set that may be missing in the other
-    first = f"place <= size - (size * {percent} + 99) div 100 + 1 AND often > 1"
-    prefix = space.keep(ranked.where(first).drop("often"), "open-prefixes")
+    nodes = space.keep(left.select("node", "size", "component").distinct(), "open-nodes")
+    runs = space.keep(sets.join(nodes, "node").select("node", "size", "component", "shingles"), "open-sets")
+    # any order common to all is right; counts of hashed shingles are one, of bounded size
+    total = nodes.agg(F.sum("size")).first()[0] or 0
+    bits = min(max(16, (2 * total).bit_length()), _MOST_BITS)
+    counts = cell_counts(runs, _cells(bits), 1 << bits).astype(np.int32)
+    ordered = _prefixes(space.spark.sparkContext.broadcast(counts), bits, percent)
+    prefix = runs.mapInArrow(ordered, f"node {id_type}, size long, component {id_type}, shingle long, place long")
+    prefix = space.keep(prefix, "open-prefixes")
     # a shingle's rows of the component with most of them need not meet each other
     parts = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
     ends = parts.groupBy("shingle").agg(
@@ -277,8 +316,9 @@ def _unsettled(
         F.count(F.lit(1)).alias("parts"),
         F.max(F.struct("rows", "component"))["component"].alias("largest"),
     )
-    ends = space.keep(ends, "open-ends")
-    split = with_group(prefix, ends, ["shingle"], "rows").where("parts > 1")
+    ends = space.keep(ends.where("parts > 1"), "open-ends")
+    meeting = prefix.join(ends.select("shingle"), "shingle", "left_semi")
+    split = with_group(meeting, ends, ["shingle"], "rows")
     # frequent shingles are cut in pieces on one side, and meet each piece on the other
     pieces = F.expr(f"cast((rows - 1) div {_PIECE} as int)")
     one = split.where("component <> largest").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces)))

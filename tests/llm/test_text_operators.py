@@ -89,8 +89,11 @@ def test_words_are_those_of_the_pattern(texts):
         assert found == [[w.translate(low) if lower else w for w in words(t)] for t in texts]
 
 
-@pytest.mark.parametrize(("length", "hot_share", "piece"), [(4, 10_000, 512), (4, 10, 2), (5, 10_000, 512)])
-def test_near_duplicates(docs, texts, empty, length, hot_share, piece, monkeypatch):
+@pytest.mark.parametrize(
+    ("length", "hot_share", "piece", "pivots"), [(4, 10_000, 512, 3), (4, 10, 2, 1), (5, 10_000, 512, 1)]
+)
+def test_near_duplicates(docs, texts, empty, length, hot_share, piece, pivots, monkeypatch):
+    monkeypatch.setattr(near_dup, "_PIVOTS", pivots)
     monkeypatch.setattr(cluster, "HOT_SHARE", hot_share)
     monkeypatch.setattr(near_dup, "_PIECE", piece)
     low = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
