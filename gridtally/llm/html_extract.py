@@ -164,7 +164,24 @@ def labelled_pages(n: int = N_PAGES, seed: int = SEED) -> list[str]:
         )
         return named(r.choice(["div", "section", "ol"]), ["comments", "discussion", "responses", "reader-comments"], inner, 0)
 
+    def loose() -> str:
+        """Content that no element of its own kind holds."""
+        kind = r.random()
+        if kind < 0.4:
+            return f"<div data-main>{words(4, r.choice([20, 60, 150]))}</div>"
+        if kind < 0.55:
+            return f"<div data-main>{words(10, 60)}<br><br>{words(10, 60)}</div>"
+        if kind < 0.7:
+            return "<ul>" + "".join(f'<li data-main><a href="/z">{words(2, 8)}</a></li>' for _ in range(r.randint(2, 4))) + "</ul>"
+        if kind < 0.8:
+            return f'<p data-main><a href="/z">{words(3, 15)}</a></p>'
+        if kind < 0.9:
+            return f'<p data-main class="{r.choice(["message", "lead", "summary", "note"])}">{words(5, 60)}</p>'
+        return f'<div data-main class="{r.choice(["pull-quote", "quote", "intro", "paragraph"])}">{words(5, 40)}</div>'
+
     def block() -> str:
+        if r.random() < 0.2:
+            return loose()
         kind = r.random()
         if kind < 0.74:
             close = r.choice(["</p>", "</p>", ""])
@@ -187,6 +204,8 @@ def labelled_pages(n: int = N_PAGES, seed: int = SEED) -> list[str]:
             if r.random() < 0.06:
                 parts.append(r.choice([advert, notice, form, side])())
         parts = parts or [block()]
+        if r.random() < 0.15:  # no element but the usual ones for boxes
+            parts = [f"<div data-main>{words(5, 100)}</div>" for _ in range(r.choice([1, 2, 4, 8]))]
         if r.random() < 0.15:
             parts.append(remarks())
         inner = "".join(parts)

@@ -7,6 +7,7 @@ them; scripts, styles and the head give no node. End tags that may be left out a
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html.parser import HTMLParser
 from math import log1p
 
@@ -31,17 +32,19 @@ _HINTS = (
     "side|widget|rail|aside|related|recommend|more|complementary|toc",
     "notice|cookie|consent|alert|popup|modal|message|warning|overlay|gdpr",
     "ad|ads|advert|sponsor|promo|banner|adsense|dfp",
-    "comment|reply|respons|discuss|disqus|reader|feedback",
+    "comment|reply|respons|discuss|disqus|reader|feedback|kommentar|commentaire|comentario|commento",
     "form|search|login|subscribe|newsletter|signup|contact",
     "share|social|tags|meta|byline|author|date",
 )
-_HINT = [re.compile(rf"(?:^|[\s_\-])(?:{h})(?:$|[\s_\-\d]|s\b)", re.I) for h in _HINTS]
+_HINT = [re.compile(rf"(?:^|[\s_\-])(?:{h})(?:$|[\s_\-\d]|(?:e|es|i|en|s)?\b)", re.I) for h in _HINTS]
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
 _NOT_IN_P = set(_GROUP) - {"label", "button", "select", "option", "textarea", "body", "html"}
+#: What may be left open by mistake: no block stands in a drawing.
+_NO_BLOCKS = {"svg"}
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 N_FEATURES = 2 * (len(_GROUPS) + 1) + 2 * len(_HINTS) + 9
 
@@ -55,8 +58,11 @@ class Tree(HTMLParser):
         self.texts: dict[int, str] = {}
         self.linked: dict[int, int] = {}
         self.open = [0]
+        #: Where in `open` the elements of each tag stand, so that no search walks a deep page.
+        self.standing: dict[str, list[int]] = {}
         self.run: list[str] = []
         self.in_link = self.dropping = self.run_linked = 0
+        self.dropped = ""
 
     def _flush(self) -> None:
         text = " ".join("".join(self.run).split())
@@ -73,15 +79,27 @@ class Tree(HTMLParser):
 
     def _close_to(self, at: int) -> None:
         self._flush()
+        for node in self.open[at:]:
+            self.standing[self.tags[node]].pop()
         del self.open[at:]
         self.in_link = 0
 
+    def _last(self, tags: Iterable[str]) -> int:
+        """Where in `open` the innermost element of these tags stands; 0 if none does."""
+        return max((self.standing[t][-1] for t in tags if self.standing.get(t)), default=0)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _DROPPED:
             self.dropping += tag not in ("head",)
+            self.dropped = tag
             return
+        if self.dropping and self.dropped in _NO_BLOCKS and tag in _NOT_IN_P:
+            self.dropping = 0  # it was not closed
         if self.dropping:
             return
+        if tag == "hr":
+            self._flush()
+            return
         if tag == "br" or tag in _VOID:
             self.run.append(" ")
             return
@@ -90,21 +108,14 @@ class Tree(HTMLParser):
         if tag not in _GROUP or tag == "html":
             return
         if tag in _NOT_IN_P:
-            for at in range(len(self.open) - 1, 0, -1):
-                if self.tags[self.open[at]] == "p":
-                    self._close_to(at)
-                    break
-                if self.tags[self.open[at]] in ("td", "th", "button", "li"):
-                    break
+            at = self._last(("p",))
+            if at > self._last(("td", "th", "button", "li")):
+                self._close_to(at)
         closes, until = _CLOSES.get(tag, ((), ()))
-        for at in range(len(self.open) - 1, 0, -1):
-            name = self.tags[self.open[at]]
-            if name in until:
+        while (at := self._last(closes)) > self._last(until):
+            self._close_to(at)
+            if tag != "tr":
                 break
-            if name in closes:
-                self._close_to(at)
-                if tag != "tr":
-                    break
         self._flush()
         given = dict(attrs)
         names = " ".join(given.get(k) or "" for k in ("class", "id", "role"))
@@ -113,6 +124,7 @@ class Tree(HTMLParser):
         self.parents.append(self.open[-1])
         self.hints.append(found)
         self.labels.append(int("data-main" in given))
+        self.standing.setdefault(tag, []).append(len(self.open))
         self.open.append(len(self.tags) - 1)
 
     def handle_endtag(self, tag: str) -> None:
@@ -124,10 +136,9 @@ class Tree(HTMLParser):
         if tag == "a":
             self.in_link = 0
         elif tag in _GROUP and tag not in ("html", "body"):
-            for at in range(len(self.open) - 1, 0, -1):
-                if self.tags[self.open[at]] == tag:
-                    self._close_to(at)
-                    return
+            at = self._last((tag,))
+            if at:
+                self._close_to(at)
 
     def handle_data(self, data: str) -> None:
         if not self.dropping and data:
@@ -139,6 +150,9 @@ class Tree(HTMLParser):
 def parse(html: str | None) -> Tree:
     tree = Tree()
     if html:
+        comment = html.rfind("<!--")
+        if comment > html.rfind("-->"):  # it has no end, so it goes to the end of the page
+            html = html[:comment]
         tree.feed(_CUT_OFF.sub("", html))
         tree.close()
     tree._flush()
