@@ -2,12 +2,14 @@
 
 Each document's histograms of character classes and of common words are compared with those of the
 languages of the corpus, by Jensen-Shannon distance (0: equal, 1: nothing in common). A document
-far from every language is rejected. Short documents have ragged histograms, so the comparison has
-a minimum length. Before that stand plain counts: words, symbols, repeated lines and passages.
+far from every language is rejected. Short documents have ragged histograms: words drawn from a
+reference itself lie apart from it, the more the fewer they are, so the allowed distance grows as
+texts shorten. Before that stand plain counts: words, symbols, repeated lines and passages.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -146,22 +148,36 @@ def js_distance(counts: Column, total: Column, reference: Sequence[int]) -> Colu
     return F.when(total > 0, F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
+def allowance(n: Column, common: int) -> Column:
+    """About the sum of both distances of `n` words drawn from the reference itself.
+
+    The divergence of a sample from its source is near chi-square / (8 n ln 2), with a degree of
+    freedom for each class but one. Characters of one word are not drawn apart (numbers are digits
+    throughout), so words are the sample of both histograms.
+    """
+    nats = 8 * math.log(2)
+    return sum(F.sqrt(F.lit(free / nats) / n) for free in (common, len(CLASSES) - 1))
+
+
 def judge(
     docs: DataFrame,
     keep: Sequence[str],
     languages: Mapping[str, Sequence[str]] = COMMON_WORDS,
-    min_words: int = 60,
+    full_words: int = 60,
     max_distance: float = 0.46,
+    slack: float = 2.0,
 ) -> DataFrame:
     """The columns `keep` of each row of `docs` (text, lang), its counts, distances and verdict.
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, class_distance,
     word_distance, base_failed and kept; a column of `keep` with one of these names gives way to it.
-    A document is rejected if its two distances add up to more than `max_distance`. The references
+    A document is rejected if its two distances add up to more than `max_distance`; below
+    `full_words` words by more than that and `slack` times what :func:`allowance` grows from
+    `full_words` to its own length, so the limit has no step. The references
     are the summed histograms of all documents of each language in `languages` that pass the base
     rules, then once more without those that this rejects; a distance is that to the nearest
-    language, whatever the document's own says. Documents under `min_words` words are not compared, nor any document while no language
-    has a reference. Null and empty texts have no words and fail the base rules. Every row is
+    language, whatever the document's own says. While no language has a reference, no document is
+    compared; one that fails the base rules is rejected anyhow. Null and empty texts have no words and fail the base rules. Every row is
     judged by itself, so repeated rows all get the same verdict.
     """
     space = Workspace(docs.sparkSession, "quality-rules")
@@ -173,6 +189,12 @@ def judge(
     wide = len({w for words in languages.values() for w in words}) + 1
     known = counts.where(F.col("keep_0").isin(list(languages)) & ~F.col("base_failed"))
 
+    common = max((len(words) for words in languages.values()), default=0)
+    # at least one word, as the limit of a text without any does not matter
+    length = F.greatest(F.col("n_words"), F.lit(1))
+    grown = allowance(F.least(length, F.lit(full_words)), common) - allowance(F.lit(full_words), common)
+    limit = max_distance + slack * grown
+
     def references(rows: DataFrame) -> list:
         # at most one row for each language of the parameter
         totals = (_total("classes", len(CLASSES)).alias("classes"), _total("common", wide).alias("common"))
@@ -182,12 +204,12 @@ def judge(
         def nearest(column: str, total: str) -> Column:
             each = [js_distance(F.col(column), F.col(total), r[column]) for r in found]
             nearest_one = F.least(*each) if len(each) > 1 else (each or [F.lit(None).cast("double")])[0]
-            return F.when(F.col("n_words") >= min_words, nearest_one)
+            return nearest_one
 
         rows = rows.withColumn("class_distance", nearest("classes", "word_chars"))
         rows = rows.withColumn("word_distance", nearest("common", "n_words"))
         apart = F.coalesce(F.col("class_distance") + F.col("word_distance"), F.lit(0.0))
-        return rows.withColumn("far", apart > max_distance)
+        return rows.withColumn("far", apart > limit)
 
     # the second references leave out the documents that the first ones reject
     first = distances(known, references(known))

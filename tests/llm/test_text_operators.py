@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -168,6 +169,82 @@ def test_quality_counts(docs, texts, empty):
     assert quality_rules.good_documents(docs).columns == docs.columns
 
 
+def brute_verdicts(rows, languages, full_words=60, max_distance=0.46, slack=2.0):
+    """Verdicts in plain numpy, for rows (lang, text): both histograms, references twice, distances."""
+    known = sorted({w for group in languages.values() for w in group})
+    free = (max(map(len, languages.values())), len(quality_rules.CLASSES) - 1)
+
+    def histograms(text):
+        w = words(text)
+        kinds = collections.Counter()
+        for c in "".join(w):
+            kind = unicodedata.category(c)
+            place = {"Ll": 0, "Lu": 1, "Nd": 2}.get(kind, 3 if c in ".,;:!?" else 5)
+            kinds[place] += c not in quality_rules.SYMBOLS
+        kinds[4] = sum(c in quality_rules.SYMBOLS for c in text or "")
+        lower = collections.Counter(x.lower() for x in w if x in known or x.lower().capitalize() == x)
+        common = [lower[x] for x in known]
+        return np.array([kinds[k] for k in range(6)]), np.array([*common, len(w) - sum(common)]), len(w), sum(map(len, w))
+
+    def distance(counts, total, reference):
+        p, q = counts / total, reference / reference.sum()
+        m = (p + q) / 2
+        parts = [(x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum() / 2 for x in (p, q)]
+        return max(sum(parts), 0) ** 0.5
+
+    made = [(lang, *histograms(text)) for lang, text in rows]
+    base = [n < 10 or 100 * repeated_words(text) > 20 * n for (_, _, _, n, _), (_, text) in zip(made, rows, strict=True)]
+
+    def far(references):
+        out = []
+        for (_, classes, common, n, chars), failed in zip(made, base, strict=True):
+            if failed or not references:
+                out.append(False)
+                continue
+            apart = sum(min(distance(h, t, r[k]) for r in references) for k, (h, t) in enumerate([(classes, chars), (common, n)]))
+            noise = sum((f / (8 * np.log(2) * n)) ** 0.5 - (f / (8 * np.log(2) * full_words)) ** 0.5 for f in free)
+            out.append(apart > max_distance + slack * (noise if n < full_words else 0))
+        return out
+
+    def references(skip):
+        groups = collections.defaultdict(list)
+        for (lang, classes, common, *_), failed, s in zip(made, base, skip, strict=True):
+            if lang in languages and not failed and not s:
+                groups[lang].append((classes, common))
+        return [(sum(a for a, _ in g), sum(b for _, b in g)) for g in groups.values()]
+
+    second = far(references(far(references([False] * len(rows)))))
+    return [not failed and not f for failed, f in zip(base, second, strict=True)]
+
+
+def repeated_words(text):
+    w = words(text)
+    windows = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    return len({k + j for k in range(len(w) - 4) if windows[tuple(w[k : k + 5])] > 1 for j in range(5)})
+
+
+def test_quality_verdicts(spark):
+    """Verdicts against brute force: texts of 0 to 200 words, of letters, tables, numbers; no length goes unjudged."""
+    rng = np.random.default_rng(8)
+    syllables = ["an", "the", "of", "or", "ti", "ra", "el", "un", "is"]
+    rows = [(None, None), ("en", ""), ("xx", "one two"), ("en", "| " * 40)]
+    for k in range(240):
+        n = int(rng.integers(5, 200)) if k % 2 else int(rng.integers(9, 60))
+        lang = ["en", "de", "xx", None][k % 4]
+        plain = ["".join(rng.choice(syllables, 3)).capitalize() if rng.random() < 0.1 else "".join(rng.choice(syllables, 3)) for _ in range(n)]
+        common = [str(x) for x in rng.choice(quality_rules.COMMON_WORDS["de" if lang == "de" else "en"], n)]
+        odd = [str(rng.integers(10**8)) if k % 7 == 0 else "|#" * int(rng.integers(1, 4)) for _ in range(n)]
+        share = [0.0, 0.0, 0.0, 0.5, 0.95][k % 5]
+        rows.append((lang, " ".join(o if rng.random() < share else c if rng.random() < 0.4 else p for p, c, o in zip(plain, common, odd, strict=True))))
+    table = spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate(rows)], "doc_id long, lang string, text string")
+    found = by_id(quality_rules.judge(table, ["doc_id"]), "kept", "base_failed", "n_words")
+    expected = brute_verdicts(rows, quality_rules.COMMON_WORDS)
+    assert {i: kept for i, (kept, _, _) in found.items()} == dict(enumerate(expected))
+    # some are rejected by distance alone, at either length
+    far = [n for kept, failed, n in found.values() if not kept and not failed]
+    assert min(far) < 60 < max(far) and sum(expected) > 100
+
+
 def test_js_distance(spark):
     row = spark.range(1).select(
         quality_rules.js_distance(F.array(F.lit(3), F.lit(1)), F.lit(4), [3, 1]).alias("same"),
