@@ -378,7 +378,7 @@ class DriverFacts:
     @cached_property
     def flows(self) -> DataFrame:
         return network.name_links(
-            views.node_flows(views.region_flows(self.spark, self.sf))
+            views.node_flows(views.region_flows(self.spark, self.sf)), ends=True
         )
 
     @cached_property
@@ -394,7 +394,7 @@ class DriverFacts:
         shipped = stage(views.shipments(self.spark, self.sf), "shipments")
         flows = views.node_flows(views.region_flows_of(shipped))
         return Facts(
-            views.prices_of(shipped), network.name_links(flows), views.dispatch_of(shipped),
+            views.prices_of(shipped), network.name_links(flows, ends=True), views.dispatch_of(shipped),
             self.exogenous,
         ).staged()
 

@@ -13,7 +13,7 @@ from gridtally.operators.calendar import (
     stamp_horizons,
     timestamp_of_hour,
 )
-from gridtally.operators.reshape import to_long
+from gridtally.operators.reshape import one_row_each, to_long
 from gridtally.operators.windows import PAD_HOURS
 
 # Fixed values.
@@ -55,9 +55,12 @@ def model_dispatch(
     horizons: HorizonMap = HorizonMap(),
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Unit output per hour with the unit's metadata; unknown units are kept."""
+    """Unit output per hour with the unit's metadata; unknown units are kept.
+
+    A unit that ``units`` lists twice is an error.
+    """
     long = stamped_long(wide, year, "unit", "output", horizons, keys)
-    return long.join(units, "unit", "left")
+    return long.join(one_row_each(units, "unit"), "unit", "left")
 
 
 def model_price(
@@ -67,14 +70,17 @@ def model_price(
     horizons: HorizonMap = HorizonMap(),
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Marginal price per hour and region; columns that are no region key drop out."""
+    """Marginal price per hour and region; columns that are no region key drop out.
+
+    A region key with two names is an error.
+    """
     long = stamped_long(wide, year, "region", "spot_price", horizons, keys)
     keyed = long.withColumn("region", F.col("region").try_cast("int"))
     # the region key decides which rows stay, so its nulls must not match
     names = regions.where(F.col("REGION").isNotNull()).select(
         F.col("REGION_KEY").cast("int").alias("region"), F.col("REGION").alias("_name")
     )
-    return keyed.join(names, "region").select(
+    return keyed.join(one_row_each(names.distinct(), "region"), "region").select(
         "date_time", *keys, F.col("_name").alias("REGION"), "spot_price"
     )
 
@@ -108,14 +114,16 @@ def exogenous_series(
     """Zonal inputs of the model year as rows ``date_time, REGION, FUEL_TYPE_TEXT, output``.
 
     ``Time`` numbers the hours of the padded year, in a leap year all 8,784; the padding on
-    either side is left out, and so are the hours that the model leaves out.
+    either side is left out, and so are the hours that the model leaves out. A region key with
+    two names is an error.
     """
     horizons.check_year(year)
     hour = F.col("Time") - pad_hours
     stamped = zonal.withColumn("date_time", timestamp_of_hour(hour, year, "all"))
     own = (hour >= 1) & (F.year("date_time") == year)
     modelled = hour_of_timestamp(F.col("date_time"), horizons.leap).isNotNull()
-    named = stamped.where(own & modelled).join(regions, "REGION_KEY", "left")
+    names = one_row_each(regions.select("REGION", "REGION_KEY").distinct(), "REGION_KEY")
+    named = stamped.where(own & modelled).join(names, "REGION_KEY", "left")
     ids = ["date_time", *keys, "REGION"]
     return to_long(
         named.select(*ids, *EXOGENOUS_SERIES), ids, "FUEL_TYPE_TEXT", "output"
@@ -130,7 +138,8 @@ def storage_net_output(
 ) -> DataFrame:
     """Charge, discharge and net output of storage units in the hours they are active.
 
-    Both inputs are long: ``date_time, unit`` and ``charge`` or ``discharge``.
+    Both inputs are long: ``date_time, unit`` and ``charge`` or ``discharge``. A unit that
+    ``units`` lists twice is an error.
     """
     ids = ["date_time", "unit", *keys]
     both = charge.join(discharge, ids, "left")
@@ -139,4 +148,4 @@ def storage_net_output(
         {"charge": F.round("charge", 3), "discharge": F.round("discharge", 3)}
     )
     net = rounded.withColumn("output", F.col("discharge") - F.col("charge"))
-    return net if units is None else net.join(units, "unit", "left")
+    return net if units is None else net.join(one_row_each(units, "unit"), "unit", "left")

@@ -65,48 +65,96 @@ class Network:
     def regions(self) -> list[str]:
         return [name for name in self.nodes.values() if name not in self.virtual]
 
+    def __post_init__(self) -> None:
+        if len(set(self.nodes.values())) < len(self.nodes):
+            raise ValueError("two nodes have the same name")
+
     def node_table(self, spark: SparkSession) -> DataFrame:
         """``node, name``: as many rows as the network has nodes."""
         rows = ", ".join(f"({int(k)}, {literal(v)})" for k, v in self.nodes.items())
         return spark.sql(f"SELECT node, name FROM VALUES {rows} AS nodes(node, name)")
 
-
-def name_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
-    """Node numbers ``from_node`` and ``to_node`` become the ``link`` name ``FROM_TO``."""
+    def ends_of(self, link: str) -> tuple[str, str]:
+        """The two nodes that a name joins; other names are cut at their first and last ``_``."""
+        names = set(self.nodes.values())
+        found = [(a, b) for a, b in _cuts(link) if a in names and b in names]
+        if len(found) > 1:
+            raise ValueError(f"{link} names more than one link: {found}")
+        parts = link.split("_")
+        return found[0] if found else (parts[0], parts[-1])
+
+    def ambiguous_links(self) -> list[str]:
+        """Names that two pairs of nodes share: ``A_B_C`` where A, A_B, B_C and C are nodes."""
+        names = set(self.nodes.values())
+        longer: dict[str, list[str]] = {}
+        for name in names:
+            for start, rest in _cuts(name):
+                if start in names:
+                    longer.setdefault(rest, []).append(name)
+        ends = [(rest, end) for name in names for rest, end in _cuts(name) if end in names]
+        return sorted({f"{start}_{end}" for rest, end in ends for start in longer.get(rest, ())})
+
+
+def _cuts(name: str) -> list[tuple[str, str]]:
+    """Both sides of each ``_`` in a name."""
+    return [(name[: m.start()], name[m.end() :]) for m in re.finditer("_", name)]
+
+
+def name_links(flows: DataFrame, network: Network = Network(), ends: bool = False) -> DataFrame:
+    """Node numbers ``from_node`` and ``to_node`` become the ``link`` name ``FROM_TO``.
+
+    ``ends`` keeps the names of both nodes as ``from_virtual, to_virtual``: a name alone may
+    stand for two links, where node names hold ``_``. A link with an unknown node has neither.
+    """
     nodes = network.node_table(flows.sparkSession)
     named = flows.join(nodes.toDF("from_node", "_from"), "from_node", "left")
     named = named.join(nodes.toDF("to_node", "_to"), "to_node", "left")
-    return named.withColumn("link", F.concat("_from", F.lit("_"), "_to")).drop(
-        "from_node", "to_node", "_from", "_to"
-    )
+    named = named.withColumn("link", F.concat("_from", F.lit("_"), "_to"))
+    if ends:
+        known = F.col("link").isNotNull()
+        named = named.withColumns(
+            {"from_virtual": F.when(known, F.col("_from")), "to_virtual": F.when(known, F.col("_to"))}
+        )
+    return named.drop("from_node", "to_node", "_from", "_to")
 
 
-def _end(link: str, names: Sequence[str], end: int) -> str:
+def _end(names: Sequence[str], end: int) -> str:
     """SQL for an end of a link, 1 or 2: names may hold ``_``, so the network's are tried first."""
     either = "|".join(re.escape(n) for n in sorted(names, key=lambda n: (-len(n), n)))
-    known = f"nullif(regexp_extract({link}, {literal(f'^({either})_({either})$')}, {end}), '')"
-    return f"coalesce({known}, split_part({link}, '_', {1 if end == 1 else -1}))"
+    known = f"nullif(regexp_extract(link, {literal(f'^({either})_({either})$')}, {end}), '')"
+    return f"coalesce({known}, split_part(link, '_', {1 if end == 1 else -1}))"
 
 
 def resolve_links(flows: DataFrame, network: Network = Network()) -> DataFrame:
     """Add the ends of each link: all nodes, and physical regions only.
 
     ``from_virtual, to_virtual`` are the link's own ends; ``from_to, from, to`` its physical
-    ones. Links that are not recoded keep their name. The ends of a name are the two nodes of
-    the network that it joins; names of other links are cut at their first and last ``_``.
+    ones. Links that are not recoded keep their name. Rows that have their own ends already
+    (:func:`name_links`) keep them; else the ends of a name are the two nodes of the network
+    that it joins, and names of other links are cut at their first and last ``_``. A name
+    without ends that stands for several pairs of nodes is an error.
     """
-    pairs = ", ".join(literal(text) for pair in network.recode.items() for text in pair)
-    physical = f"coalesce(try_element_at(map({pairs}), link), link)" if pairs else "link"
     names = list(network.nodes.values())
-    ends = {
-        "from_virtual": _end("link", names, 1),
-        "to_virtual": _end("link", names, 2),
-        "from_to": physical,
-        "from": _end("from_to", names, 1),
-        "to": _end("from_to", names, 2),
-    }
-    own = flows.withColumns({c: F.expr(ends[c]) for c in LINK_ENDS[:3]})
-    return own.withColumns({c: F.expr(ends[c]) for c in LINK_ENDS[3:]})
+    shared = ", ".join(literal(link) for link in network.ambiguous_links())
+    own = {}
+    for end, column in enumerate(LINK_ENDS[:2], 1):
+        parsed = _end(names, end)
+        if shared:
+            problem = "raise_error(concat('more than one pair of nodes is named ', link))"
+            parsed = f"CASE WHEN link IN ({shared}) THEN cast({problem} AS STRING) ELSE {parsed} END"
+        own[column] = F.expr(f"coalesce({column}, {parsed})" if column in flows.columns else parsed)
+    resolved = flows.withColumns(own)
+    # keyed by both ends beside the name, as the name may stand for another link, too
+    pairs = []
+    for link, physical in network.recode.items():
+        start, stop = network.ends_of(physical)
+        key = ", ".join(literal(n) for n in (link, *network.ends_of(link)))
+        pairs.append(f"struct({key}), struct({literal(physical)}, {literal(start)}, {literal(stop)})")
+    same = "struct(link AS col1, from_virtual AS col2, to_virtual AS col3)"
+    physical = f"coalesce(try_element_at(map({', '.join(pairs)}), {same}), {same})" if pairs else same
+    resolved = resolved.withColumn("_physical", F.expr(physical))
+    places = {c: F.col(f"_physical.col{k}") for k, c in enumerate(LINK_ENDS[2:], 1)}
+    return resolved.withColumns(places).drop("_physical")
 
 
 def arriving(flows: DataFrame, network: Network = Network()) -> DataFrame:
@@ -154,11 +202,14 @@ def link_flows(
     network: Network = Network(),
     by_year: bool = False,
 ) -> DataFrame:
-    """Flow per physical link in GWh: 1 decimal for the whole period, 3 otherwise."""
+    """Flow per physical link in GWh: 1 decimal for the whole period, 3 otherwise.
+
+    ``from`` and ``to`` are part of a link's identity, so that links of one name stay apart.
+    """
     digits = 1 if grain == "period" else 3
     total = gigawatt_hours(strict_sum("flow"), digits).alias("flow")
     return aggregate_by(
-        arriving(flows, network), grain, [*keys, "from_to"], [total], by_year
+        arriving(flows, network), grain, [*keys, "from_to", "from", "to"], [total], by_year
     )
 
 
@@ -170,8 +221,8 @@ def link_flows_wide(
     network: Network = Network(),
     by_year: bool = False,
 ) -> DataFrame:
-    """:func:`link_flows` with one column per link."""
-    long = link_flows(flows, grain, keys, network, by_year)
+    """:func:`link_flows` with one column per link; two links of one name are an error."""
+    long = link_flows(flows, grain, keys, network, by_year).drop("from", "to")
     ids = [c for c in long.columns if c not in ("from_to", "flow")]
     return to_wide(long, ids, "from_to", "flow", links)
 
@@ -219,16 +270,22 @@ def region_balance_totals(
 
 
 def link_revenue(
-    priced: DataFrame, keys: Sequence[str] = (), network: Network = Network()
+    priced: DataFrame, keys: Sequence[str] = (), network: Network = Network(), ends: bool = False
 ) -> DataFrame:
-    """Settlement residue per link: price difference times flow, unknown hours left out."""
+    """Settlement residue per link: price difference times flow, unknown hours left out.
+
+    Links of one name between other nodes have rows of their own; ``ends`` adds the columns that
+    tell them apart, ``from_virtual, to_virtual``.
+    """
     revenue = (F.col("price_to") - F.col("price_from")) * F.col("flow")
     link = "link" if "link" in priced.columns else "from_to"
-    return (
+    own = [c for c in LINK_ENDS[:2] if c in priced.columns]
+    sums = (
         arriving(priced, network)
-        .groupBy(*keys, F.col(link).alias("link"))
+        .groupBy(*keys, F.col(link).alias("link"), *own)
         .agg(lenient_sum(revenue).alias("annual_revenue"))
     )
+    return sums if ends else sums.drop(*own)
 
 
 def link_revenue_wide(

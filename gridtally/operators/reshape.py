@@ -6,9 +6,8 @@ import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from gridtally.functions import first_number
 
@@ -100,16 +99,19 @@ def to_wide(
     return grouped.select(*ids, *(F.coalesce("__unlisted", F.col(f"`{n}`")).alias(n) for n in names))
 
 
-def one_row_each(df: DataFrame, key: str) -> DataFrame:
-    """The same rows; a ``key`` that stands in several is an error, as it would multiply a join."""
-    problem = F.concat(F.lit(f"more than one row for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    first = F.first(F.struct(*(F.col(f"`{c}`") for c in df.columns if c != key)))
-    row = F.when(F.count(F.lit(1)) > 1, F.raise_error(problem).cast(_others(df, key))).otherwise(first)
-    return df.groupBy(key).agg(row.alias("_row")).select(key, "_row.*")
+def one_row_each(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """The same rows; a key that stands in several is an error, as it would multiply a join.
 
-
-def _others(df: DataFrame, key: str) -> StructType:
-    return StructType([f for f in df.schema.fields if f.name != key])
+    Rows without a key match nothing and are left out. Counted and checked in one pass over the
+    table, in the join's own key, so that no choice of columns can lose the check.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    known = df.dropna("any", subset=keys)
+    shown = F.concat_ws(", ", *(F.col(f"`{k}`").cast("string") for k in keys))
+    problem = F.raise_error(F.concat(F.lit(f"more than one row for {', '.join(keys)} "), shown))
+    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    first = F.when(several, problem.cast(df.schema[keys[0]].dataType)).otherwise(F.col(f"`{keys[0]}`"))
+    return known.withColumn(keys[0], first)
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:

@@ -48,7 +48,7 @@ def model_facts(
     columns = ["date_time", "REGION", "FUEL_TYPE_TEXT", "output"]
     return Facts(
         prices=_side(model.model_price(prices, regions, year, horizons), MODEL),
-        flows=_side(network.name_links(flow, grid), MODEL),
+        flows=_side(network.name_links(flow, grid, ends=True), MODEL),
         output=_side(output.select(*columns), MODEL),
         exogenous=_side(exogenous.select(*columns), MODEL),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridtally.functions import hour_of_year, hour_start, hours_in_year, zero_if_null
 from gridtally.operators.energy import EXOGENOUS, residual_demand
 from gridtally.operators.hourly import technology_totals, technology_wide
-from gridtally.operators.reshape import to_long, to_wide
+from gridtally.operators.reshape import one_row_each, to_long, to_wide
 from gridtally.operators.windows import (
     CUTOFF,
     HORIZON,
@@ -57,7 +57,7 @@ def zonal_inputs(
     """Padded year per region: ``REGION, year, t``, demand, exogenous and residual demand.
 
     ``demand`` is the hourly demand, ``technologies`` the hourly output by technology (long).
-    All regions and years are one table.
+    All regions and years are one table. Two ``reserves`` for one region and hour are an error.
     """
     # what is dispatched is not subtracted from demand
     wide = technology_wide(technologies, EXOGENOUS, ["REGION"], other="Dispatched")
@@ -74,7 +74,8 @@ def zonal_inputs(
     entry = pad_year(indexed, hours_in_year(F.col("year")), pad, template)
     if reserves is None:
         return entry.withColumns({c: F.lit(None).cast("double") for c in RESERVES})
-    return entry.join(reserves.select("REGION", "t", *RESERVES), ["REGION", "t"], "left")
+    hourly = one_row_each(reserves.select("REGION", "t", *RESERVES), ["REGION", "t"])
+    return entry.join(hourly, ["REGION", "t"], "left")
 
 
 def demand_tables(

@@ -46,6 +46,63 @@ def test_node_names_may_hold_underscores(spark, rows):
             ("N_1_N_2", "N_1", "N_2", "N_1_N_2", "N_1", "N_2"), ("X_Y_Z", "X", "Z", "X_Y_Z", "X", "Z")]
 
 
+def test_links_of_one_name_stay_apart(spark, rows):
+    """A_B_C is both A to B_C and A_B to C: apart in all tables, an error by name alone."""
+    grid = network.Network({1: "A", 2: "A_B", 3: "B_C", 4: "C"}, (), {"A_B_C_C": "A_C"})
+    assert grid.ambiguous_links() == ["A_B_C"] and not Network().ambiguous_links()
+    data = [(0, 1, 3, 1000.0), (0, 2, 4, 5000.0), (0, 1, 4, 7000.0)]
+    ids = "hour int, from_node int, to_node int, flow double"
+    numbered = spark.createDataFrame(data, ids).select(
+        F.expr("TIMESTAMP_NTZ'2021-01-01' + make_dt_interval(0, hour)").alias("date_time"), "from_node", "to_node", "flow")
+    named = network.name_links(numbered, grid, ends=True)
+    flows = network.resolve_links(named, grid)
+    apart = [("A_B_C", "A", "B_C", 1.0), ("A_B_C", "A_B", "C", 5.0), ("A_C", "A", "C", 7.0)]
+    assert rows(network.link_flows(flows, "period", network=grid), "from_to", "from", "to", "flow") == apart
+    balance = network.region_balance(flows, network=grid)
+    assert rows(balance, "REGION", "In", "Out") == [
+        ("A", 0.0, 8000.0), ("A_B", 0.0, 5000.0), ("B_C", 1000.0, 0.0), ("C", 12000.0, 0.0)]
+    priced = flows.withColumns({"price_from": F.lit(1.0), "price_to": F.lit(2.0)})
+    assert rows(network.link_revenue(priced, network=grid, ends=True), "link", "from_virtual", "to_virtual", "annual_revenue") == [
+        (n, a, b, 1000 * f) for n, a, b, f in apart]
+    for wide in (network.link_flows_wide(flows, "period", ["A_B_C", "A_C"], network=grid),
+                 network.link_revenue_wide(priced, ["A_B_C", "A_C"], network=grid)):
+        with pytest.raises(Exception, match="more than one row for"):
+            wide.collect()
+    with pytest.raises(Exception, match="more than one pair of nodes is named A_B_C"):
+        network.resolve_links(named.drop("from_virtual", "to_virtual"), grid).collect()
+    with pytest.raises(ValueError, match="more than one link"):
+        grid.ends_of("A_B_C")
+    with pytest.raises(ValueError, match="same name"):
+        network.Network({1: "A", 2: "A"}, (), {})
+
+
+def test_recoded_by_ends_not_by_name(spark, rows):
+    """Only the link that the recode names is recoded, not another one of its name."""
+    grid = network.Network({1: "A", 2: "V", 3: "B"}, ("V",), {"A_V": "A_B", "V_B": "A_B"})
+    flows = spark.createDataFrame([("A_V", None, None), ("A_V", "A_V", "x"), ("V_B", "V", "B")],
+                                  "link string, from_virtual string, to_virtual string")
+    assert rows(network.resolve_links(flows, grid), "link", "from_to", "from", "to") == [
+        ("A_V", "A_B", "A", "B"), ("A_V", "A_V", "A_V", "x"), ("V_B", "A_B", "A", "B")]
+
+
+def test_keys_of_metadata_are_unique(spark, rows, at):
+    """A key that stands twice would multiply rows: an error in each join on it."""
+    twice = spark.createDataFrame([("u", 1), ("u", 2), (None, 3), (None, 4)], "unit string, CAPACITY int")
+    hours = spark.createDataFrame([(at("01-01 00:00"), "u", 1.0)], f"{TS}, unit string, charge double")
+    other = hours.withColumnRenamed("charge", "discharge")
+    with pytest.raises(Exception, match="more than one row for unit u"):
+        model.storage_net_output(hours, other, twice).select("date_time").collect()
+    once = twice.where("CAPACITY <> 2")
+    assert rows(model.storage_net_output(hours, other, once), "unit", "CAPACITY") == [("u", 1)]
+    with pytest.raises(Exception, match="more than one row for a, b 1, x"):
+        pairs = spark.createDataFrame([(1, "x", 1), (1, "x", 1), (1, "y", 2)], "a int, b string, c int")
+        reshape.one_row_each(pairs, ["a", "b"]).collect()
+    prices = spark.createDataFrame([("r11", 45, 5.0)], "horizon string, period int, `1` double")
+    with pytest.raises(Exception, match="more than one row for region 1"):
+        names = spark.createDataFrame([("NSW", 1), ("QLD", 1)], "REGION string, REGION_KEY int")
+        model.model_price(prices, names, 2021).select("spot_price").collect()
+
+
 def test_leap_year_round_trip(spark, rows, at):
     """Padded hours of 2020 come back with the stamps they had, under every leap policy."""
     from gridtally.operators.calendar import HorizonMap, hour_of_year
