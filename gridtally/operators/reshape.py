@@ -6,8 +6,9 @@ import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridtally.functions import first_number
 
@@ -102,16 +103,17 @@ def to_wide(
 def one_row_each(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The same rows; a key that stands in several is an error, as it would multiply a join.
 
-    Rows without a key match nothing and are left out. Counted and checked in one pass over the
-    table, in the join's own key, so that no choice of columns can lose the check.
+    Rows without a key match nothing and are left out. One aggregation counts the rows of a key
+    and keeps its first, so a repeated key gathers nowhere.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    known = df.dropna("any", subset=keys)
     shown = F.concat_ws(", ", *(F.col(f"`{k}`").cast("string") for k in keys))
     problem = F.raise_error(F.concat(F.lit(f"more than one row for {', '.join(keys)} "), shown))
-    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    first = F.when(several, problem.cast(df.schema[keys[0]].dataType)).otherwise(F.col(f"`{keys[0]}`"))
-    return known.withColumn(keys[0], first)
+    others = StructType([f for f in df.schema.fields if f.name not in keys])
+    first = F.first(F.struct(*(F.col(f"`{c}`") for c in others.names)))
+    row = F.when(F.count(F.lit(1)) > 1, problem.cast(others)).otherwise(first)
+    known = df.dropna("any", subset=keys).groupBy(*keys)
+    return known.agg(row.alias("_row")).select(*keys, "_row.*")
 
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
