@@ -91,7 +91,7 @@ def test_keys_of_metadata_are_unique(spark, rows, at):
     hours = spark.createDataFrame([(at("01-01 00:00"), "u", 1.0)], f"{TS}, unit string, charge double")
     other = hours.withColumnRenamed("charge", "discharge")
     with pytest.raises(Exception, match="more than one row for unit u"):
-        model.storage_net_output(hours, other, twice).select("date_time").collect()
+        model.storage_net_output(hours, other, twice).collect()
     once = twice.where("CAPACITY <> 2")
     assert rows(model.storage_net_output(hours, other, once), "unit", "CAPACITY") == [("u", 1)]
     with pytest.raises(Exception, match="more than one row for a, b 1, x"):
