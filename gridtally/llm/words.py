@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in slices of about so many bytes, which bounds the memory of the arrays.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
