@@ -16,6 +16,8 @@ import pyarrow as pa
 
 #: Texts are worked on in slices of about so many bytes, which bounds the memory of the arrays.
 SLICE_BYTES = 1 << 19
+#: Bytes, or windows, hashed at once within a slice, as one text can be longer than a slice.
+_BLOCK = 1 << 16
 
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
@@ -87,9 +89,18 @@ class Words:
     def window_values(self, at: np.ndarray, length: int | np.ndarray, seed: int = 0) -> np.ndarray:
         """Hash of the window of `length` words that starts at each word index."""
         base = _WORD_BASES[seed]
-        sums = _sums(self.values, base)
-        inverse = _powers(base, len(self.values) + 1)[1]
-        return mixed((sums[at + length] - sums[at]) * inverse[at] + np.asarray(length, dtype=np.uint64))
+        lengths = np.broadcast_to(np.asarray(length, dtype=np.int64), at.shape)
+        out = np.empty(len(at), dtype=np.uint64)
+        # a window's hash does not depend on where it starts, so blocks bound the sums and powers
+        for b in range(0, len(at), _BLOCK):
+            part, size = at[b : b + _BLOCK], lengths[b : b + _BLOCK]
+            low = part.min()
+            part = part - low
+            values = self.values[low : low + (part + size).max()]
+            sums = _sums(values, base)
+            inverse = _powers(base, len(values) + 1)[1]
+            out[b : b + _BLOCK] = mixed((sums[part + size] - sums[part]) * inverse[part] + size.astype(np.uint64))
+        return out
 
 
 def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,9 +138,18 @@ def is_gap(raw: np.ndarray) -> np.ndarray:
 
 def run_values(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each run."""
-    sums = _sums(raw.astype(np.uint64) + np.uint64(1), _BYTE_BASE)
-    values = (sums[ends] - sums[starts]) * _powers(_BYTE_BASE, len(raw) + 1)[1][starts]
-    return mixed(values + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    out = np.empty(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(starts):
+        # as many runs as end within a block of bytes, one at least
+        low = starts[first]
+        last = max(int(np.searchsorted(ends, low + _BLOCK, "right")), first + 1)
+        begin, end = starts[first:last] - low, ends[first:last] - low
+        sums = _sums(raw[low : low + end[-1]].astype(np.uint64) + np.uint64(1), _BYTE_BASE)
+        values = (sums[end] - sums[begin]) * _powers(_BYTE_BASE, int(end[-1]) + 1)[1][begin]
+        out[first:last] = mixed(values + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        first = last
+    return out
 
 
 def _words(raw: np.ndarray, offsets: np.ndarray, first: int, gaps: np.ndarray) -> Words:
