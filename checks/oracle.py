@@ -21,6 +21,7 @@ from checks.views import (
     STATIONS,
     TECHNOLOGY,
 )
+from gridtally.operators.hourly import FLOW_FEED_LINKS
 from gridtally.operators.network import LINK_RECODE, REGIONS
 from gridtally.operators.plants import PLANT_COLUMNS, PLANT_KEYS
 
@@ -497,3 +498,59 @@ ORACLE_SQL: dict[str, str] = {
           {' UNION ALL '.join(SUMMARY_PARTS)})
         SELECT side, "table", REGION, item, round(value, 0) AS value FROM summary""",
 }
+
+
+def half_hours(label: str, names, hour: str) -> str:
+    """Means per half hour, one column per label, then per hour where no half of the hour lacks one."""
+    return f"""halves AS (
+  SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS half,
+    {cells(names, f'avg(CASE WHEN {label} = ' "'{n}'" ' THEN value END) AS {n}')}
+  FROM feed GROUP BY ALL),
+hours AS (
+  SELECT date_trunc('hour', half) AS date_time,
+    {cells(names, 'CASE WHEN count({n}) = count(*) THEN avg({n}) END AS {n}')}
+  FROM halves GROUP BY ALL),
+long AS ({' UNION ALL '.join(f"SELECT date_time, '{n}' AS label, {n} AS value FROM hours" for n in names)})
+{hour}"""
+
+
+# the same tables after a way through files
+ORACLE_SQL |= {
+    "feed_files_demand": ORACLE_SQL["hourly_demand"],
+    "feed_files_generation": f"""WITH {FEED},
+        means AS (SELECT date_time, REGION, station, avg(value) AS output FROM feed GROUP BY ALL)
+        SELECT date_time, REGION, coalesce({case('station', STATION_TECHNOLOGY)}, 'UNKNOWN') AS Tech,
+          round(sum(output), 3) AS output
+        FROM means GROUP BY ALL""",
+    "feed_files_price": f"WITH {FEED}, " + half_hours(
+        "REGION", REGIONS, "SELECT date_time, label AS REGION, value AS spot_price FROM long"),
+    "feed_files_flow": f"WITH {FEED}, " + half_hours(
+        "link", FLOW_FEED_LINKS,
+        """SELECT date_time, value AS flow, regexp_replace(label, '1$', '') AS from_to,
+          split_part(label, '_', 1) AS "from", regexp_replace(split_part(label, '_', 2), '1$', '') AS "to" FROM long"""),
+    "reserve_files": f"""WITH {NODES}, {ZONAL},
+        reserves AS (
+          SELECT REGION, dayofyear(l_shipdate) AS t, sum(l_quantity) AS OPERATING_RESERVE_UP,
+            CAST(count(*) AS DOUBLE) AS OPERATING_RESERVE_DOWN
+          FROM lineitem JOIN supply ON l_suppkey = s_suppkey GROUP BY ALL)
+        SELECT * FROM (SELECT * EXCLUDE (OPERATING_RESERVE_UP, OPERATING_RESERVE_DOWN) FROM entry)
+        LEFT JOIN reserves USING (REGION, t)""",
+    "plant_files": ORACLE_SQL["plant_table"],
+    "unit_files": ORACLE_SQL["unit_metadata"],
+    "dispatch_files": ORACLE_SQL["model_dispatch"],
+    "price_files": ORACLE_SQL["model_price"],
+    "flow_files": ORACLE_SQL["model_flow"],
+    "flow_files_of_runs": f"""WITH {NODES}, sums AS (
+          SELECT l_returnflag AS run, l_shipdate, s.REGION || '_' || d.REGION AS link, sum(l_quantity) AS flow
+          FROM lineitem JOIN supply s ON l_suppkey = s_suppkey
+          JOIN delivery d ON l_orderkey = o_orderkey GROUP BY ALL),
+        grid AS (
+          SELECT run, l_shipdate, {MODEL_HOUR.format(d='l_shipdate')} AS h,
+            unnest([{', '.join(f"'{n}'" for n in LINKS)}]) AS link
+          FROM (SELECT DISTINCT run, l_shipdate FROM sums))
+        SELECT run, {MODEL_STAMP} AS date_time, link, coalesce(flow, 0) AS flow
+        FROM grid LEFT JOIN sums USING (run, l_shipdate, link) WHERE h >= 1""",
+    "zonal_files": ORACLE_SQL["exogenous_series"],
+    "result_files": f"""SELECT * FROM ({ORACLE_SQL['link_flows_daily']})
+        FULL JOIN ({ORACLE_SQL['mean_price_daily']}) USING (side, day)""",
+}

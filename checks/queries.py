@@ -261,8 +261,8 @@ def region_key(spark: SparkSession, sf: str) -> DataFrame:
     return model.region_key(units(spark, sf))
 
 
-def model_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    """One unit per part type, wide; STANDARD has no metadata."""
+def dispatch_wide(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """One unit per part type, wide, and metadata of the units; STANDARD has none."""
     parts = table(spark, sf, "part")
     items = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
     sums = (
@@ -278,30 +278,45 @@ def model_dispatch(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.sum("p_size").cast("double").alias("CAPACITY"))
         .withColumn("FUEL_TYPE_TEXT", views.mapped("unit", views.TECHNOLOGY))
     )
-    return model.model_dispatch(wide, metadata, MODEL_YEAR)
+    return wide, metadata
 
 
-def model_price(spark: SparkSession, sf: str) -> DataFrame:
+def model_dispatch(spark: SparkSession, sf: str) -> DataFrame:
+    return model.model_dispatch(*dispatch_wide(spark, sf), MODEL_YEAR)
+
+
+def price_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """Prices wide by region key; key 9 is no region."""
     by_day = price.price_wide(
         views.prices(spark, sf).where(F.col("side") == "Model"), REGIONS
     )
-    wide = by_day.select(
+    return by_day.select(
         *views.model_index("date_time"),
         *[F.col(r).alias(str(i)) for i, r in enumerate(REGIONS, 1)],
         F.col(REGIONS[0]).alias("9"),
     )
-    return model.model_price(wide, region_key(spark, sf), MODEL_YEAR)
 
 
-def model_flow(spark: SparkSession, sf: str) -> DataFrame:
-    """Flows of the model side, wide by link position, made long and named."""
+def model_price(spark: SparkSession, sf: str) -> DataFrame:
+    return model.model_price(price_by_key(spark, sf), region_key(spark, sf), MODEL_YEAR)
+
+
+def flow_wide(flows: DataFrame) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """Region flows wide by link, and the ends of each link."""
     nodes = range(1, len(REGIONS) + 1)
     pairs = {f"{a}_{b}": (a, b) for a in nodes for b in nodes}
-    flows = views.region_flows(spark, sf).where(F.col("side") == "Model")
     named = flows.withColumn("pair", F.concat_ws("_", "from_node", "to_node"))
     by_day = to_wide(named, ["date_time"], "pair", "flow", list(pairs))
-    wide = by_day.select(*views.model_index("date_time"), *[F.col(p) for p in pairs])
+    return by_day.select(*views.model_index("date_time"), *[F.col(p) for p in pairs]), pairs
+
+
+def model_side_flows(spark: SparkSession, sf: str) -> DataFrame:
+    return views.region_flows(spark, sf).where(F.col("side") == "Model")
+
+
+def model_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows of the model side, wide by link position, made long and named."""
+    wide, pairs = flow_wide(model_side_flows(spark, sf))
     rows = ", ".join(f"('{p}', {a}, {b})" for p, (a, b) in pairs.items())
     links = spark.sql(f"SELECT * FROM VALUES {rows} AS t(position, from_node, to_node)")
     return network.name_links(model.model_flow(wide, links, MODEL_YEAR))

@@ -159,21 +159,23 @@ def dispatch(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def region_flows(spark: SparkSession, sf: str) -> DataFrame:
-    """``side, date_time, from_node, to_node, flow`` between physical regions.
+def region_flows(spark: SparkSession, sf: str, *keys: str) -> DataFrame:
+    """``side, date_time, from_node, to_node, flow`` between physical regions; other columns of
+    the line items as further ``keys``.
 
     Line items are joined to orders and suppliers once and summed straight away; all flow
     tables are linear in the flow, so they work on the sums.
     """
     items = table(spark, sf, "lineitem").select(
-        _side(), F.col("l_shipdate").alias("date_time"), "l_orderkey", "l_suppkey", "l_quantity"
+        _side(), F.col("l_shipdate").alias("date_time"), "l_orderkey", "l_suppkey", "l_quantity",
+        *keys,
     )
     orders = delivered_orders(spark, sf, F.col("o_orderkey").alias("l_orderkey")).drop("REGION")
     return (
         supplied(spark, sf, items)
         .drop("REGION")
         .join(orders, "l_orderkey")
-        .groupBy("side", "date_time", "from_node", "to_node")
+        .groupBy("side", "date_time", "from_node", "to_node", *keys)
         .agg(F.sum("l_quantity").alias("flow"))
     )
 

@@ -103,6 +103,14 @@ def model_flow(
     return joined.withColumn("flow", F.coalesce("flow", F.lit(0.0))).drop("position")
 
 
+def stamped_flow(
+    long: DataFrame, year: int, horizons: HorizonMap = HorizonMap()
+) -> DataFrame:
+    """Flows per hour from long rows with ``horizon, period, flow`` and other columns, such as the run
+    and the ends of the link. Missing flows are 0."""
+    return stamp_horizons(long, year, horizons).withColumn("flow", F.coalesce("flow", F.lit(0.0)))
+
+
 def exogenous_series(
     zonal: DataFrame,
     regions: DataFrame,

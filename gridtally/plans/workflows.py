@@ -143,10 +143,15 @@ def prepare_demand(
     market: MarketYear,
     out: str,
     regions: Sequence[str] = tuple(REGIONS),
-    reserves: DataFrame | None = None,
+    reserves: DataFrame | str | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """Write the zonal inputs of the regions; ``options`` are those of ``demand_tables``."""
+    """Write the zonal inputs of the regions; ``options`` are those of ``demand_tables``.
+
+    ``reserves`` are the hourly reserve requirements, or the path of their files.
+    """
+    if isinstance(reserves, str):
+        reserves = model_files.read_reserves(market.spark, reserves)
     wanted = F.col("REGION").isin(list(regions))
     tables = demand_tables(
         market.demand(regions).where(wanted),

@@ -14,6 +14,7 @@ from gridtally.operators.reshape import stack
 # File name patterns of model inputs.
 UNIT_FILES = "INPUT*GENERATION*"
 ZONAL_FILES = "INPUT*_ZONAL_*"
+FLOW_FILES = "*IC_Flows_Hourly*"
 
 
 def matching_files(spark: SparkSession, folder: str, pattern: str, *columns: str) -> DataFrame:

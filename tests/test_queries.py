@@ -4,11 +4,13 @@ import os
 
 import pytest
 from checks.compare import Oracle, differences
+from checks.file_queries import QUERIES as FILE_QUERIES
 from checks.oracle import ORACLE_SQL
-from checks.queries import QUERIES
+from checks.queries import QUERIES as TABLE_QUERIES
 
 import __spark_entry__ as driver
 
+QUERIES = {**TABLE_QUERIES, **FILE_QUERIES}
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not found")
 

@@ -447,3 +447,33 @@ def test_a_station_with_two_technologies_is_an_error(spark, at, rows):
     differing = spark.createDataFrame([("A1", "Coal"), ("A1", "Gas")], "station string, Tech string")
     with pytest.raises(Exception, match="more than one row for station A1"):
         technology_totals(hours, differing).collect()
+
+
+def test_flows_of_many_runs(spark, rows, tmp_path):
+    """Files with columns in different orders, known by two header rows each."""
+    index = [["r11", 45], ["r11", 46]]
+    write_csv(tmp_path / "a_IC_Flows_Hourly.csv", [["", "", 1, 2], ["", "", 2, 5], *[[*i, 3, 4] for i in index]])
+    write_csv(tmp_path / "b_IC_Flows_Hourly.csv", [["", "", 2, 1, "5.0"], ["", "", 5, 2, 4], *[[*i, 7, "", "NA"] for i in index]])
+    found = model_files.read_flow_runs(spark, str(tmp_path), run=r"^(.)_")
+    assert rows(found.where("period = 45").drop("period", "horizon"), "run", "from_node", "to_node", "flow") == sorted(
+        [("a", 1, 2, 3.0), ("a", 2, 5, 4.0), ("b", 2, 5, 7.0), ("b", 1, 2, None), ("b", 5, 4, None)], key=repr)
+    long = model.stamped_flow(found, 2021)
+    assert rows(long.groupBy("run").agg(F.sum("flow"), F.count("flow"))) == [("a", 14.0, 4), ("b", 14.0, 6)]
+
+
+@pytest.mark.parametrize("lines, problem", [
+    ([["", "", 1], ["r11", 45, 3]], "not two header rows"),
+    ([["", "", 1], ["", "", 2], ["r11", 45, 3, 4]], "a cell beyond"),
+    ([["", "", 1], ["", "", 2], ["r11", 45, "x"]], "flow is to be double"),
+])
+def test_flow_files_that_do_not_fit(spark, tmp_path, lines, problem):
+    write_csv(tmp_path / "a_IC_Flows_Hourly.csv", lines)
+    with pytest.raises(Exception, match=problem):
+        model_files.read_flow_runs(spark, str(tmp_path), run=r"^(.)_").collect()
+
+
+def test_reserves_from_files(spark, tmp_path):
+    path = write_csv(tmp_path / "reserves.csv", [
+        ["t", "OPERATING_RESERVE_DOWN", "OPERATING_RESERVE_UP", "REGION"], [1, 2, 3, "NSW"], [2, "NA", 4, "NSW"]])
+    found = model_files.read_reserves(spark, path).collect()
+    assert [tuple(r) for r in found] == [("NSW", 1, 3.0, 2.0), ("NSW", 2, 4.0, None)]
