@@ -6,6 +6,7 @@ Each derives its files from the driver's tables, in a new folder of the shared o
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,6 +215,21 @@ def result_files(spark: SparkSession, sf: str) -> DataFrame:
     return queries.rounded(flows.join(prices, ["side", "day"], "full"), queries.PRICE_DIGITS, REGIONS)
 
 
+def result_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and hours of the hourly result tables, counted while they are written in total order."""
+    live = queries.comparison(spark, sf)
+    live = replace(live, facts=queries.DriverFacts(spark, sf).staged())
+    tables = {"Price.DATA": live.prices, "IC_Flows.DATA": live.priced_flows, "IC_Flows.FlowInOut": live.balance}
+    counted = write_results(tables, new_folder(spark, "results"), total_order=True)
+    rows = [(name, c["rows"], c["first"], c["last"]) for name, c in counted.items()]
+    return spark.createDataFrame(rows, "table string, rows long, first timestamp_ntz, last timestamp_ntz")
+
+
+def links_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily flows with a column for each link that the data have."""
+    return replace(queries.comparison(spark, sf), links=None).link_flows("day")
+
+
 QUERIES = {
     "feed_files_demand": feed_files_demand,
     "feed_files_generation": feed_files_generation,
@@ -228,4 +244,6 @@ QUERIES = {
     "flow_files_of_runs": flow_files_of_runs,
     "zonal_files": zonal_files,
     "result_files": result_files,
+    "result_counts": result_counts,
+    "links_found": links_found,
 }

@@ -553,4 +553,10 @@ ORACLE_SQL |= {
     "zonal_files": ORACLE_SQL["exogenous_series"],
     "result_files": f"""SELECT * FROM ({ORACLE_SQL['link_flows_daily']})
         FULL JOIN ({ORACLE_SQL['mean_price_daily']}) USING (side, day)""",
+    "result_counts": " UNION ALL ".join(
+        f'SELECT \'{table}\' AS "table", count(*) AS rows, min(date_time) AS first, max(date_time) AS last '
+        f"FROM ({ORACLE_SQL[query]})" for table, query in {
+            "Price.DATA": "price_hourly_wide", "IC_Flows.DATA": "priced_flows",
+            "IC_Flows.FlowInOut": "region_balance_hourly"}.items()),
+    "links_found": ORACLE_SQL["link_flows_daily"],
 }

@@ -100,6 +100,18 @@ def to_wide(
     return grouped.select(*ids, *(F.coalesce("__unlisted", F.col(f"`{n}`")).alias(n) for n in names))
 
 
+def found_labels(df: DataFrame, name: str, at_most: int = 1000) -> list[str]:
+    """The distinct labels of a column, in order, as columns for :func:`to_wide`; runs a job.
+
+    More than ``at_most`` are an error, since a wide table then is the wrong shape. Null is no label.
+    """
+    labels = df.where(F.col(name).isNotNull()).select(F.col(name).cast("string").alias("label")).distinct()
+    found = [row.label for row in labels.orderBy("label").limit(at_most + 1).collect()]
+    if len(found) > at_most:
+        raise ValueError(f"{name} has more than {at_most} labels, among them {', '.join(found[:5])}")
+    return found
+
+
 def one_row_each(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """The same rows; a key that stands in several is an error, as it would multiply a join.
 

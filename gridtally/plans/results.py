@@ -11,12 +11,12 @@ from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridtally.operators import energy, network, price
 from gridtally.operators.network import REGIONS, Network
-from gridtally.operators.reshape import stack, to_long
+from gridtally.operators.reshape import found_labels, stack, to_long, to_wide
 from gridtally.sources.staging import stage
 
 SIDES = ("Model", "Actual")
@@ -58,12 +58,13 @@ class Comparison:
     ``strict`` keeps the null rules of a complete data set: a region with one direction of
     flow has no net flow, and a fuel both dispatched and exogenous is an error. ``skip_nulls`` lets mean prices ignore missing hours.
     ``hours`` lists each ``date_time`` that mean prices need; without it an hour for which no
-    region has a row is not seen.
+    region has a row is not seen. Without ``links`` each link of the data has a column; the totals
+    are then staged, and their labels looked up, when a table of links is asked for.
     """
 
     facts: Facts
     fuels: Sequence[str]
-    links: Sequence[str]
+    links: Sequence[str] | None
     regions: Sequence[str] = tuple(REGIONS)
     keys: Sequence[str] = ("side",)
     network: Network = field(default_factory=Network)
@@ -112,9 +113,14 @@ class Comparison:
         return network.attach_prices(self.flows, self.facts.prices, self.regions, self.keys)
 
     def link_flows(self, grain: str) -> DataFrame:
-        return network.link_flows_wide(
-            self.flows, grain, self.links, self.keys, self.network, self.by_year
-        )
+        if self.links is not None:
+            return network.link_flows_wide(
+                self.flows, grain, self.links, self.keys, self.network, self.by_year
+            )
+        totals = network.link_flows(self.flows, grain, self.keys, self.network, self.by_year)
+        totals = stage(totals.drop("from", "to"), f"link-flows-{grain}")
+        ids = [c for c in totals.columns if c not in ("from_to", "flow")]
+        return to_wide(totals, ids, "from_to", "flow", found_labels(totals, "from_to"))
 
     @cached_property
     def balance(self) -> DataFrame:
@@ -213,14 +219,39 @@ def ordered(frame: DataFrame) -> DataFrame:
     return frame.sortWithinPartitions(*present) if present else frame
 
 
-def write_results(tables: dict[str, DataFrame], path: str) -> None:
+def in_total_order(frame: DataFrame) -> DataFrame:
+    """Range-partitioned by what :func:`ordered` sorts by, so that the files' ranges follow each other.
+
+    A hash of the row comes last: rows of one hour may be split over files, and their order stays.
+    """
+    present = [c for c in ["side", *SORT_COLUMNS] if c in frame.columns]
+    if not present:
+        return frame
+    columns = [F.col(f"`{c}`") for c in frame.columns]
+    return frame.repartitionByRange(*present, F.xxhash64(*columns))
+
+
+def write_results(
+    tables: dict[str, DataFrame], path: str, total_order: bool = False
+) -> dict[str, dict[str, object]]:
     """Write each result table once, below ``path`` as ``<group>/<table>/side=<side>``.
 
-    Tables of one side, from :meth:`Comparison.tree`, go to ``<side>/<group>/<table>``.
+    Tables of one side, from :meth:`Comparison.tree`, go to ``<side>/<group>/<table>``. With
+    ``total_order`` the files of a table follow each other in time, for one shuffle a table; a reader
+    of some days then skips the other files. Returns for each table what was counted while writing:
+    ``rows``, and ``first`` and ``last`` hour where it has hours.
     """
+    counted = {}
     for name, frame in tables.items():
+        seen = Observation()
+        measures = [F.count(F.lit(1)).alias("rows")]
+        if "date_time" in frame.columns:
+            measures += [F.min("date_time").alias("first"), F.max("date_time").alias("last")]
+        rows = ordered(in_total_order(frame) if total_order else frame).observe(seen, *measures)
         # static: folders of sides that an earlier run left go, too
-        writer = ordered(frame).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if "side" in frame.columns:
             writer = writer.partitionBy("side")
         writer.parquet(f"{path.rstrip('/')}/{PurePosixPath(*name.split('.'))}")
+        counted[name] = seen.get
+    return counted

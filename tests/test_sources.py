@@ -477,3 +477,38 @@ def test_reserves_from_files(spark, tmp_path):
         ["t", "OPERATING_RESERVE_DOWN", "OPERATING_RESERVE_UP", "REGION"], [1, 2, 3, "NSW"], [2, "NA", 4, "NSW"]])
     found = model_files.read_reserves(spark, path).collect()
     assert [tuple(r) for r in found] == [("NSW", 1, 3.0, 2.0), ("NSW", 2, 4.0, None)]
+
+
+def test_results_in_total_order(spark, tmp_path):
+    """Ranges of time of the files do not overlap, though one hour holds most rows."""
+    hours = spark.range(4000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'Model' ELSE 'Actual' END AS side",
+        "timestamp_ntz'2021-01-01' + make_dt_interval(0, CAST(CASE WHEN id % 3 = 0 THEN 7 ELSE id % 50 END AS int)) AS date_time",
+        "concat('R', id % 5) AS REGION", "CAST(id AS double) AS value",
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        counted = write_results({"A.DATA": hours, "A.NONE": hours.where("value < 0")}, str(tmp_path), total_order=True)
+    finally:
+        spark.conf.set(setting, before)
+    assert counted["A.DATA"] == {"rows": 4000, "first": datetime(2021, 1, 1), "last": datetime(2021, 1, 3, 1)}
+    assert counted["A.NONE"].get("rows", 0) == 0
+    back = spark.read.parquet(str(tmp_path / "A/DATA"))
+    assert back.count() == 4000
+    ranges = back.groupBy("side", F.col("_metadata.file_path").alias("file")).agg(
+        F.min("date_time").alias("first"), F.max("date_time").alias("last")).orderBy("side", "first", "last").collect()
+    assert len(ranges) > 4
+    for one, other in zip(ranges, ranges[1:]):
+        assert one.side != other.side or one.last <= other.first
+
+
+def test_labels_found_in_the_data(spark):
+    from gridtally.operators.reshape import found_labels
+
+    df = spark.sql("SELECT * FROM VALUES ('b'), ('a'), ('b'), (null) AS t(link)")
+    assert found_labels(df, "link", at_most=2) == ["a", "b"]
+    assert found_labels(df.where("false"), "link") == []
+    with pytest.raises(ValueError, match="more than 1 labels"):
+        found_labels(df, "link", at_most=1)
