@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import ship
-from gridtally.llm.units import Units, row_slices
+from gridtally.llm.units import Units, row_slices, strings
 from gridtally.llm.words import flat
 
 SPACE = "▁"
@@ -65,7 +66,7 @@ class Pieces:
                 self.bytes[int(p.piece[3:5], 16)] = i
         if any(SPACE in p.lstrip(SPACE) for p in self.merges):
             raise ValueError("a piece holds a space after another character")
-        self.units = Units(self._checked)
+        self.units = Units(self._unit_ids)
 
     def parts(self, text: str) -> list[str]:
         return _PART.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -120,6 +121,12 @@ class Pieces:
             out.append(ids)
         return out
 
+    def _unit_ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, and how many each has."""
+        found = self._checked(strings(raw, offsets).to_pylist())
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, counts.sum()), counts
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with the end id, and the number of each text's
         ids with it. Null is empty."""

@@ -1,7 +1,8 @@
 """Ids of the units of texts (a word with the white space before it), each unit encoded once.
 
 A worker remembers the bytes and ids of units; those of a column are looked up by a hash, compared
-byte by byte and replaced by their ids in numpy arrays, without a Python object per word.
+byte by byte and replaced by their ids in numpy arrays, without a Python object per word. A full
+memory keeps the units that were met again since they came in, or since it was last full.
 """
 
 from __future__ import annotations
@@ -9,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from gridtally.llm.words import SLICE_BYTES, run_values
 
-#: Units, and bytes of them, that a worker remembers before it starts anew.
+#: Units, and bytes of them, that a worker remembers before it drops those it did not meet again.
 _MOST_UNITS, _MOST_BYTES = 1_000_000, 64 << 20
 
 
@@ -71,44 +73,72 @@ class _Places:
             at[todo] = (at[todo] + np.uint64(1)) & mask
 
 
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Index of each element of runs that start and go on as given, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Units:
-    """Encodes texts by their units. `encode` gives the ids of each of some new units."""
+    """Encodes texts by their units. `encode` takes the bytes of some new units one after the other,
+    with each unit's offset and the end, and gives their ids and how many each unit has."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]) -> None:
+    def __init__(self, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> None:
         self.encode = encode
         self._forget()
 
     def _forget(self) -> None:
         self.places = _Places()
-        self.bytes, self.ids = _Grown(np.uint8), _Grown(np.uint32)
+        self.bytes, self.ids, self.met = _Grown(np.uint8), _Grown(np.uint32), _Grown(bool)
         # first byte and first id of each unit, and one more
         self.from_byte, self.from_id = _Grown(np.int64), _Grown(np.int64)
         self.from_byte.extend(np.zeros(1, np.int64))
         self.from_id.extend(np.zeros(1, np.int64))
 
+    def _add(self, values: np.ndarray, raw: np.ndarray, n_bytes: np.ndarray, ids: np.ndarray, n_ids: np.ndarray) -> None:
+        first = self.met.size
+        self.from_byte.extend(self.bytes.size + np.cumsum(n_bytes))
+        self.from_id.extend(self.ids.size + np.cumsum(n_ids))
+        self.bytes.extend(raw)
+        self.ids.extend(ids)
+        self.met.extend(np.zeros(len(values), bool))
+        self.places.put(values, np.arange(first, first + len(values)))
+
     def _learn(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> None:
-        units = [raw[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        ids = self.encode([u.decode("utf-8") for u in units])
-        first = self.from_byte.size - 1
-        self.bytes.extend(np.frombuffer(b"".join(units), np.uint8))
-        self.from_byte.extend(self.from_byte.held[first] + np.cumsum([len(u) for u in units]))
-        self.ids.extend(np.array([i for part in ids for i in part], dtype=np.uint32))
-        self.from_id.extend(self.from_id.held[first] + np.cumsum([len(part) for part in ids]))
-        self.places.put(values, np.arange(first, first + len(units)))
+        lengths = ends - starts
+        units = raw[_runs(starts, lengths)]
+        ids, n_ids = self.encode(units, np.concatenate(([0], np.cumsum(lengths))))
+        self._add(values, units, lengths, ids, n_ids)
+
+    def _make_room(self) -> None:
+        """Keep the units that were met again, if they are few enough, else none."""
+        known = np.flatnonzero(self.places.keys)
+        known = known[self.met.held[self.places.places[known]]]
+        values, at = self.places.keys[known], self.places.places[known].astype(np.int64)
+        from_byte, n_bytes = self.from_byte.held[at], self.from_byte.held[at + 1] - self.from_byte.held[at]
+        from_id, n_ids = self.from_id.held[at], self.from_id.held[at + 1] - self.from_id.held[at]
+        few = 2 * len(at) <= _MOST_UNITS and 2 * n_bytes.sum() <= _MOST_BYTES
+        raw, ids = self.bytes.held, self.ids.held
+        self._forget()
+        if few and len(at):
+            self._add(values, raw[_runs(from_byte, n_bytes)], n_bytes, ids[_runs(from_id, n_ids)], n_ids)
 
     def _look_up(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
         """The place of each unit in the memory; None if units have the hash of others."""
         if self.places.count > _MOST_UNITS or self.bytes.size > _MOST_BYTES:
-            self._forget()
+            self._make_room()
         values = run_values(raw, starts, ends)
         values[values == 0] = 1
         at = self.places.find(values)
         new = np.flatnonzero(at < 0)
         if len(new):
+            self.met.held[at[at >= 0]] = True
             _, first = np.unique(values[new], return_index=True)
-            new = new[first]
-            self._learn(raw, starts[new], ends[new], values[new])
-            at = self.places.find(values)
+            first = new[first]
+            self._learn(raw, starts[first], ends[first], values[first])
+            at[new] = self.places.find(values[new])
+        else:
+            self.met.held[at] = True
         lengths, from_byte = ends - starts, self.from_byte.held
         if (from_byte[at + 1] - from_byte[at] != lengths).any():
             return None
@@ -124,10 +154,10 @@ class Units:
         if at is None:  # the units of each text by themselves
             rows = []
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                own = starts[(starts >= a) & (starts < b)].tolist()
-                units = [raw[s:e].tobytes().decode("utf-8") for s, e in zip(own, [*own[1:], b])] if own else []
-                rows.append([i for ids in self.encode(units) for i in ids] + [end_id])
-            return np.array([i for r in rows for i in r], np.uint32), np.array([len(r) for r in rows])
+                own = starts[(starts >= a) & (starts < b)]
+                ids = self.encode(raw[a:b], np.append(own, b) - a)[0] if len(own) else []
+                rows.append(np.append(ids, end_id).astype(np.uint32))
+            return np.concatenate(rows), np.array([len(r) for r in rows])
         # ids of the units of each row, with a place for the end id behind them
         rows = np.searchsorted(starts, offsets[1:])
         n_ids = self.from_id.held[at + 1] - self.from_id.held[at]
@@ -141,6 +171,12 @@ class Units:
         return ids, np.diff(stops, prepend=0)
 
 
+def strings(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A column of the texts between the offsets."""
+    held = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, held)
+
+
 def row_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     """Rows of about SLICE_BYTES each, one at least, which bounds the memory of the arrays."""
     row, n = 0, len(offsets) - 1

@@ -225,6 +225,65 @@ def test_byte_tokens(added, monkeypatch):
         assert counts.tolist() == [len(row) for row in expected]
 
 
+def test_byte_tokens_of_units_in_a_row():
+    draw = np.random.default_rng(1)
+    signs = [" ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "a", "Zz", "\u00e9", "'s", "'", "##", ".", "12", "\U0001f600", "<|endoftext|>"]
+    texts = ["".join(draw.choice(signs, draw.integers(0, 40), p=[0.3, *[0.7 / 16] * 16])) for _ in range(400)]
+    for added in (True, False):
+        tokens = byte_tokens.ByteTokens(BYTE_VOCABULARY, added)
+        given = []
+
+        class Library:
+            def __getattr__(self, name, library=tokens.library, given=given):
+                def call(texts, **options):
+                    given.extend(texts)
+                    return getattr(library, name)(texts, **options)
+
+                return call if name.startswith("encode_batch") else getattr(library, name)
+
+        tokens.library = Library()
+        expected = [[*tokens.whole(t).tolist(), 2] for t in texts]
+        ids, counts = tokens.encode(pa.array(texts), 2)
+        assert ids.tolist() == [i for row in expected for i in row]
+        assert counts.tolist() == [len(row) for row in expected]
+        given.clear()
+        words = pa.array([" ".join(f"w{i:05}" for i in range(k, k + 100)) for k in range(0, 5000, 100)])
+        assert (tokens.encode(words, 2)[1] > 100).all()
+        # 4,950 units of seven bytes that can follow another, and 50 that begin a text
+        assert len(given) < 250
+
+
+def test_full_memory_of_units_keeps_those_met_again(monkeypatch):
+    monkeypatch.setattr(units, "_MOST_UNITS", 8)
+    learned = []
+
+    def encode(raw, offsets):
+        learned.extend(raw[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:]))
+        return raw.astype(np.uint32), np.diff(offsets)
+
+    memory = units.Units(encode)
+
+    def ids_of(*words):
+        raw = np.frombuffer("".join(words).encode(), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        begins = np.zeros(len(raw), bool)
+        begins[ends - [len(w) for w in words]] = True
+        ids, counts = memory.ids_of(raw, np.array([0, len(raw)]), begins, 7)
+        assert ids.tolist() == [*raw.tolist(), 7] and counts.tolist() == [len(raw) + 1]
+
+    ids_of("one", "two", "three")
+    ids_of("two", "four", "three")
+    ids_of(*(f"x{i}" for i in range(9)))
+    learned.clear()
+    ids_of("three", "one", "two", "x1")
+    assert sorted(learned) == [b"one", b"x1"]
+    # all of them were met again, more than a full memory can keep half of
+    ids_of(*(f"x{i}" for i in range(9)))
+    ids_of(*(f"x{i}" for i in range(9)))
+    ids_of("three")
+    assert memory.places.count <= 9
+
+
 def test_units_of_equal_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(units, "run_values", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
     tokens = byte_tokens.ByteTokens(BYTE_VOCABULARY)
