@@ -29,6 +29,8 @@ from gridtally.llm.units import Units, row_slices, strings
 from gridtally.llm.words import flat
 
 SPACE = "▁"
+#: Ids that are decoded at once, as Python objects; a longer text's all at once.
+_DECODED = 1 << 16
 _PART = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -149,6 +151,14 @@ class Pieces:
             raise RuntimeError("ids of a whole text differ from the library's")
         return ids, counts
 
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of ids that lie between the `ends`, by the library, some rows at a time."""
+        parts = []
+        for row, end in row_slices(ends, _DECODED):
+            listed = [ids[a:b].tolist() for a, b in zip(ends[row:end], ends[row + 1 : end + 1], strict=True)]
+            parts.append(pa.array(self.library.decode(listed), pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -166,11 +176,10 @@ def _encode(path: str):
         for batch in batches:
             ids, counts = vocabulary.encode(batch.column("text"))
             ends = np.concatenate(([0], np.cumsum(counts)))
-            listed = ids.tolist()
-            decoded = vocabulary.library.decode([listed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+            decoded = vocabulary.decode(ids, ends)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), lists, pa.array(decoded, pa.string())], ["row", "ids", "decoded"]
+                [batch.column("row"), lists, decoded], ["row", "ids", "decoded"]
             )
 
     return run

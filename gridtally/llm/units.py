@@ -15,7 +15,7 @@ import pyarrow as pa
 from gridtally.llm.words import SLICE_BYTES, run_values
 
 #: Units, and bytes of them, that a worker remembers before it drops those it did not meet again.
-_MOST_UNITS, _MOST_BYTES = 1_000_000, 64 << 20
+_MOST_UNITS, _MOST_BYTES = 500_000, 32 << 20
 
 
 class _Grown:
@@ -177,10 +177,10 @@ def strings(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, held)
 
 
-def row_slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Rows of about SLICE_BYTES each, one at least, which bounds the memory of the arrays."""
+def row_slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Rows of about `size` each, one at least, which bounds the memory of the arrays."""
     row, n = 0, len(offsets) - 1
     while row < n:
-        end = min(max(int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1, row + 1), n)
+        end = min(max(int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1, row + 1), n)
         yield row, end
         row = end

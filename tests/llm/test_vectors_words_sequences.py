@@ -306,6 +306,30 @@ def test_pieces_of_odd_texts(monkeypatch):
     assert ids.tolist() == [i for row in expected for i in row] and counts.tolist() == [len(r) for r in expected]
 
 
+def test_pieces_are_decoded_some_rows_at_a_time(monkeypatch):
+    merges = pieces.Pieces(MERGE_VOCABULARY)
+    texts = [*TEXTS, "one more " * 40_000, "\u2581 x", None] + ["some words of a text " * 100] * 400
+    library, at_once = merges.library, []
+
+    class Library:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def decode(self, rows):
+            at_once.append(sum(map(len, rows)))
+            return library.decode(rows)
+
+    merges.library = Library()
+    monkeypatch.setattr(pieces, "pieces", lambda path: merges)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["row", "text"])
+    out = pa.Table.from_batches(pieces._encode("")([batch, batch.slice(0, 0)]))
+    expected = library.encode([t or "" for t in texts], add_eos=True)
+    assert out["ids"].to_pylist() == expected and out["decoded"].to_pylist() == library.decode(expected)
+    longest = max(map(len, expected))
+    assert longest > 1 << 16 and max(at_once) == longest
+    assert sum(n > 1 << 16 for n in at_once) == 1 and sum(at_once) > 4 << 16
+
+
 @pytest.mark.parametrize("capacity", [1, 7, 1024])
 def test_packing(spark, capacity):
     rows = [(i if i % 5 else None, t, 1, 2, 3) for i, t in enumerate(TEXTS * 3)]
