@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.llm.cluster import Workspace, ship, with_group
-from gridtally.llm.sketches import cell_counts
+from gridtally.llm.sketches import cell_levels
 from gridtally.llm.words import Words, mixed, slices
 
 #: Rounds of comparisons with pivots; what they leave open goes through the exact join.
@@ -127,14 +127,22 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def components(space: Workspace, links: DataFrame, name: str = "component") -> DataFrame:
+def components(
+    space: Workspace, links: DataFrame, name: str = "component", known: DataFrame | None = None
+) -> DataFrame:
     """(node, component) of every node of `links` (a, b); component is the smallest node reachable.
 
-    Each round hooks every node to its smallest neighbour, follows these pointers twice, and
+    `known` is the result for links found before, which is carried on: only what `links` joins of its
+    components is worked on. Each round hooks every node to its smallest neighbour, follows these pointers twice, and
     contracts the links; the links left shrink at least by half. Links and labels stay on the
     cluster, written after each round.
     """
-    edges = space.keep(links.select("a", "b").where("a <> b").distinct(), f"{name}-edges-0")
+    edges = links.select("a", "b")
+    if known is not None:
+        for end in ("a", "b"):
+            edges = edges.join(known.withColumnRenamed("node", end), end, "left")
+            edges = edges.withColumn(end, F.coalesce("component", end)).drop("component")
+    edges = space.keep(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges-0")
     labels: DataFrame | None = None
     step = 0
     while not edges.isEmpty():
@@ -152,14 +160,19 @@ def components(space: Workspace, links: DataFrame, name: str = "component") -> D
             labels = labels.join(moved, "component", "left").select(
                 "node", F.coalesce("to", "component").alias("component")
             )
-        labels = space.keep(labels, f"{name}-labels-{step}")
+            labels = space.keep(labels, f"{name}-labels-{step}")
         for end in ("a", "b"):
             edges = edges.join(hook.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("to", end)
         step += 1
         edges = space.keep(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges-{step}")
     if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return labels
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component")) if known is None else known
+    if known is None:
+        return labels
+    moved = labels.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    new = labels.join(known.select("node"), "node", "left_anti")
+    return space.keep(old.unionByName(new), f"{name}-all")
 
 
 def near_duplicates(
@@ -215,12 +228,11 @@ def near_duplicates(
         counted = held.mapInArrow(_common, f"a {id_type}, b {id_type}, common long, united long")
         return space.keep(counted.withColumn("linked", F.expr(f"100 * common >= {percent} * united")), name)
 
-    links, found, left = None, None, buckets.select("key", "node", "size", "pivot")
+    found, left = None, buckets.select("key", "node", "size", "pivot")
     pairs = left.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     for step in range(_PIVOTS):
         seen = checked(pairs.distinct(), f"pivot-{step}").where("linked").select("a", "b")
-        links = seen if links is None else links.unionByName(seen)
-        found = components(space, links, f"part-{step}")
+        found = components(space, seen, f"part-{step}", found)
         left = _still_open(left, found)
         left = space.keep(left, f"open-{step}")
         if left.isEmpty():
@@ -230,7 +242,7 @@ def near_duplicates(
         )
     else:
         others = checked(_unsettled(space, left, sets, id_type, percent), "others")
-        found = components(space, links.unionByName(others.where("linked").select("a", "b")), "final")
+        found = components(space, others.where("linked").select("a", "b"), "final", found)
 
     placed = same.join(found, "node", "left").select(*key, "copies", F.coalesce("component", "node").alias("component_id"))
     placed = space.keep(placed, "placed")
@@ -267,13 +279,13 @@ def _cells(bits: int):
     return values_of
 
 
-def _prefixes(counts, bits: int, percent: int):
-    """The first places of each set in the order of their cells' counts, as far as anything shares them."""
+def _prefixes(levels, bits: int, percent: int):
+    """The first places of each set in the order of their cells' levels, as far as anything shares them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, sizes = _flat_sets(batch)
-            often = counts.value[(values >> np.uint64(64 - bits)).astype(np.int64)]
+            often = levels.value[(values >> np.uint64(64 - bits)).astype(np.int64)]
             rows = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((values, often, rows))
             place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
@@ -302,13 +314,14 @@ def _unsettled(space: Workspace, left: DataFrame, sets: DataFrame, id_type: str,
     """
     nodes = space.keep(left.select("node", "size", "component").distinct(), "open-nodes")
     runs = space.keep(sets.join(nodes, "node").select("node", "size", "component", "shingles"), "open-sets")
-    # any order common to all is right; counts of hashed shingles are one, of bounded size
+    # any order common to all is right; rough counts of hashed shingles are one, of bounded size
     total = nodes.agg(F.sum("size")).first()[0] or 0
     bits = min(max(16, (2 * total).bit_length()), _MOST_BITS)
-    counts = cell_counts(runs, _cells(bits), 1 << bits).astype(np.int32)
-    ordered = _prefixes(space.spark.sparkContext.broadcast(counts), bits, percent)
+    levels = space.spark.sparkContext.broadcast(cell_levels(runs, _cells(bits), 1 << bits))
+    ordered = _prefixes(levels, bits, percent)
     prefix = runs.mapInArrow(ordered, f"node {id_type}, size long, component {id_type}, shingle long, place long")
     prefix = space.keep(prefix, "open-prefixes")
+    levels.unpersist()
     # a shingle's rows of the component with most of them need not meet each other
     parts = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
     ends = parts.groupBy("shingle").agg(
@@ -317,8 +330,9 @@ def _unsettled(space: Workspace, left: DataFrame, sets: DataFrame, id_type: str,
         F.max(F.struct("rows", "component"))["component"].alias("largest"),
     )
     ends = space.keep(ends.where("parts > 1"), "open-ends")
-    meeting = prefix.join(ends.select("shingle"), "shingle", "left_semi")
-    split = with_group(meeting, ends, ["shingle"], "rows")
+    # written, as both sides below read it: the driver plans and starts each of its joins once;
+    # shingles without a row in `ends` fall out of the join
+    split = space.keep(with_group(prefix, ends, ["shingle"], "rows"), "open-split")
     # frequent shingles are cut in pieces on one side, and meet each piece on the other
     pieces = F.expr(f"cast((rows - 1) div {_PIECE} as int)")
     one = split.where("component <> largest").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces)))

@@ -25,6 +25,7 @@ from gridtally.llm import (
     pieces,
     quality_model,
     quality_rules,
+    sketches,
     substring_dedup,
     token_counts,
     token_files,
@@ -127,6 +128,48 @@ def test_near_duplicates_of_repeated_and_nameless_rows(spark):
     assert sorted(r.doc_id or 0 for r in near_dup.keep_one(rows).collect()) == [0, 3, 7]
 
 
+def test_levels_of_cells_take_few_jobs(spark):
+    r = np.random.default_rng(4)
+    values = [(r.zipf(1.3, 400).astype(np.uint64) << np.uint64(44)) for _ in range(40)]
+    cluster.ship(spark)
+    rows = spark.createDataFrame([(bytearray(v.tobytes()),) for v in values], "shingles binary").repartition(5)
+    # as many partitions as a large input has; each job costs the driver time and memory
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("levels", "levels of cells")
+    try:
+        found = sketches.cell_levels(rows, near_dup._cells(20), 1 << 20)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("levels")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    times = np.bincount((np.concatenate(values) >> np.uint64(44)).astype(np.int64), minlength=1 << 20)
+    assert times.max() > 1000 and (found == sketches.level(times)).all()
+    assert found.nbytes == 1 << 20 and len(jobs) <= 4
+
+
+def test_levels_keep_the_order_of_counts():
+    counts = np.unique(np.concatenate((np.arange(5000), 2 ** np.arange(34), 2 ** np.arange(34) + 1)))
+    levels = sketches.level(counts).astype(int)
+    assert (np.diff(levels) >= 0).all() and (levels[:33] == np.arange(33)).all() and levels[-1] == 255
+
+
+def test_components_carry_known_ones_on(spark):
+    r = random.Random(8)
+    space, found, least = cluster.Workspace(spark, "links"), None, {}
+    for k, n in enumerate((90, 60, 0, 40)):
+        links = [(r.randrange(300), r.randrange(300)) for _ in range(n)]
+        found = near_dup.components(space, spark.createDataFrame(links, "a long, b long"), f"known-{k}", found)
+        for a, b in links:
+            if a != b:
+                ends = {least.setdefault(a, a), least.setdefault(b, b)}
+                least.update({x: min(ends) for x, c in least.items() if c in ends})
+        assert sorted(map(tuple, found.select("node", "component").collect())) == sorted(least.items())
+
+
 def without(texts, length=20):
     first, out = {}, {}
     for i, t in enumerate(texts):
