@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -75,6 +75,16 @@ class Workspace:
         frame.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
+    def keep_with(self, frame: DataFrame, name: str, total: Column) -> tuple[DataFrame, int]:
+        """`keep`, and an aggregate of the rows that is found while they are written (of no rows: 0).
+
+        It takes no job of its own. Rows of a task that runs again may count twice, so it is for
+        emptiness, sizes and the like, not for results.
+        """
+        seen = Observation()
+        kept = self.keep(frame.observe(seen, total.alias("total")), name)
+        return kept, seen.get["total"] or 0
+
     def drop(self, *names: str) -> None:
         """Remove tables that no frame in use reads."""
         jvm = self.spark.sparkContext._jvm
@@ -87,14 +97,25 @@ class Workspace:
 HOT_SHARE = 10_000
 
 
-def with_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str) -> DataFrame:
+#: Rows in a part of a small table; a table of fewer rows than parts times this gets fewer parts.
+PART_ROWS = 4096
+
+
+def in_parts(frame: DataFrame, rows: int) -> DataFrame:
+    """`frame`, which holds `rows` rows at most, in no more parts than they need: each part is a task
+    and a file, and the driver has to keep account of all of them."""
+    return frame.coalesce(max(1, -(-rows // PART_ROWS)))
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int | None = None) -> DataFrame:
     """`rows` with the columns of their group, without the rows of a large group in one task.
 
-    `groups` has one row for each `key` in `rows` and the number of its rows in `size`. The groups
-    that hold more than 1 / HOT_SHARE of all rows are fewer than HOT_SHARE, so they are broadcast;
-    the others are joined by a shuffle.
+    `groups` has one row for each `key` in `rows` and the number of its rows in `size`, in all
+    `total` if that is known. The groups that hold more than 1 / HOT_SHARE of all rows are fewer than
+    HOT_SHARE, so they are broadcast; the others are joined by a shuffle.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = groups.agg(F.sum(size)).first()[0] or 0
     large = F.col(size) * HOT_SHARE > total
     hot = F.broadcast(groups.where(large))
     in_hot = rows.join(hot, key)

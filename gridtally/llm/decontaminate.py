@@ -94,11 +94,12 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """Weight of each hashed word, from all documents; 2**BITS numbers whatever their number."""
+    """Weight of each hashed word, from all documents; 2**BITS numbers whatever their number, which
+    reach the driver in one job."""
     parts = texts.select("text").mapInArrow(_document_frequencies, "part int, counts binary")
     added = parts.repartition("part").mapInArrow(_add_counts, "part int, counts binary")
     total = np.zeros((1 << BITS) + 1, dtype=np.int64)
-    for row in added.toLocalIterator():
+    for row in added.collect():
         counts = np.frombuffer(row["counts"], np.int64)
         total[row["part"] << 12 : (row["part"] << 12) + len(counts)] = counts
     return np.log((1 + total[-1]) / (1 + total[:-1])) + 1e-3

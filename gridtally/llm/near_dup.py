@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.llm.cluster import Workspace, ship, with_group
+from gridtally.llm.cluster import Workspace, in_parts, ship, with_group
 from gridtally.llm.sketches import cell_levels
 from gridtally.llm.words import Words, mixed, slices
 
@@ -135,24 +135,27 @@ def components(
     `known` is the result for links found before, which is carried on: only what `links` joins of its
     components is worked on. Each round hooks every node to its smallest neighbour, follows these pointers twice, and
     contracts the links; the links left shrink at least by half. Links and labels stay on the
-    cluster, written after each round.
+    cluster, written after each round in as few parts as their rows need.
     """
+    count = F.count(F.lit(1))
     edges = links.select("a", "b")
     if known is not None:
         for end in ("a", "b"):
             edges = edges.join(known.withColumnRenamed("node", end), end, "left")
             edges = edges.withColumn(end, F.coalesce("component", end)).drop("component")
-    edges = space.keep(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges-0")
+    edges, n = space.keep_with(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges-0", count)
     labels: DataFrame | None = None
-    step = 0
-    while not edges.isEmpty():
+    step = nodes = 0
+    while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
-        hook = space.keep(hook.select("node", F.least("node", "to").alias("to")), f"{name}-hook-{step}")
+        hook = in_parts(hook.select("node", F.least("node", "to").alias("to")), 2 * n)
+        hook, hooks = space.keep_with(hook, f"{name}-hook-{step}", count)
+        nodes = nodes or hooks
         for again in range(2):
             after = hook.select(F.col("node").alias("to"), F.col("to").alias("further"))
             hook = hook.join(after, "to").select("node", F.col("further").alias("to"))
-        hook = space.keep(hook, f"{name}-jump-{step}")
+        hook = space.keep(in_parts(hook, hooks), f"{name}-jump-{step}")
         if labels is None:
             labels = hook.select("node", F.col("to").alias("component"))
         else:
@@ -160,11 +163,12 @@ def components(
             labels = labels.join(moved, "component", "left").select(
                 "node", F.coalesce("to", "component").alias("component")
             )
-            labels = space.keep(labels, f"{name}-labels-{step}")
+            labels = space.keep(in_parts(labels, nodes), f"{name}-labels-{step}")
         for end in ("a", "b"):
             edges = edges.join(hook.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("to", end)
         step += 1
-        edges = space.keep(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges-{step}")
+        edges = in_parts(edges.select("a", "b").where("a <> b").distinct(), n)
+        edges, n = space.keep_with(edges, f"{name}-edges-{step}", count)
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component")) if known is None else known
     if known is None:
@@ -233,9 +237,8 @@ def near_duplicates(
     for step in range(_PIVOTS):
         seen = checked(pairs.distinct(), f"pivot-{step}").where("linked").select("a", "b")
         found = components(space, seen, f"part-{step}", found)
-        left = _still_open(left, found)
-        left = space.keep(left, f"open-{step}")
-        if left.isEmpty():
+        left, still = space.keep_with(_still_open(left, found), f"open-{step}", F.count(F.lit(1)))
+        if not still:
             break
         pairs = left.where("component <> pivot_component").select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
@@ -245,10 +248,10 @@ def near_duplicates(
         found = components(space, others.where("linked").select("a", "b"), "final", found)
 
     placed = same.join(found, "node", "left").select(*key, "copies", F.coalesce("component", "node").alias("component_id"))
-    placed = space.keep(placed, "placed")
+    placed, total = space.keep_with(placed, "placed", F.sum("copies"))
     light = signed.select("doc_id", *key)
     alone = light.where(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = with_group(light.where(linkable), placed, key, "copies").select("doc_id", "n_shingles", "component_id")
+    out = with_group(light.where(linkable), placed, key, "copies", total).select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
@@ -312,10 +315,10 @@ def _unsettled(space: Workspace, left: DataFrame, sets: DataFrame, id_type: str,
     to all, here from rare to frequent by a table of hashed counts; a shared shingle at places i and j
     bounds what can follow. So variants of one text meet only if their own, rare shingles are few.
     """
-    nodes = space.keep(left.select("node", "size", "component").distinct(), "open-nodes")
+    nodes = left.select("node", "size", "component").distinct()
+    nodes, total = space.keep_with(nodes, "open-nodes", F.sum("size"))
     runs = space.keep(sets.join(nodes, "node").select("node", "size", "component", "shingles"), "open-sets")
     # any order common to all is right; rough counts of hashed shingles are one, of bounded size
-    total = nodes.agg(F.sum("size")).first()[0] or 0
     bits = min(max(16, (2 * total).bit_length()), _MOST_BITS)
     levels = space.spark.sparkContext.broadcast(cell_levels(runs, _cells(bits), 1 << bits))
     ordered = _prefixes(levels, bits, percent)
@@ -329,10 +332,10 @@ def _unsettled(space: Workspace, left: DataFrame, sets: DataFrame, id_type: str,
         F.count(F.lit(1)).alias("parts"),
         F.max(F.struct("rows", "component"))["component"].alias("largest"),
     )
-    ends = space.keep(ends.where("parts > 1"), "open-ends")
+    ends, total = space.keep_with(ends.where("parts > 1"), "open-ends", F.sum("rows"))
     # written, as both sides below read it: the driver plans and starts each of its joins once;
     # shingles without a row in `ends` fall out of the join
-    split = space.keep(with_group(prefix, ends, ["shingle"], "rows"), "open-split")
+    split = space.keep(with_group(prefix, ends, ["shingle"], "rows", total), "open-split")
     # frequent shingles are cut in pieces on one side, and meet each piece on the other
     pieces = F.expr(f"cast((rows - 1) div {_PIECE} as int)")
     one = split.where("component <> largest").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces)))

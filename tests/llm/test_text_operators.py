@@ -170,6 +170,67 @@ def test_components_carry_known_ones_on(spark):
         assert sorted(map(tuple, found.select("node", "component").collect())) == sorted(least.items())
 
 
+def test_components_take_few_tasks(spark):
+    space, r = cluster.Workspace(spark, "links"), random.Random(9)
+    links = [(k, k + 1) for k in range(0, 400, 2)] + [(r.randrange(40), r.randrange(40, 80)) for _ in range(60)]
+    known = near_dup.components(space, spark.createDataFrame(links[:150], "a long, b long"), "first")
+    # as many partitions as a large input has; each job and each task costs the driver time and memory
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("components", "components")
+    try:
+        found = near_dup.components(space, spark.createDataFrame(links[150:], "a long, b long"), "second", known)
+        tracker = spark.sparkContext.statusTracker()
+        jobs = tracker.getJobIdsForGroup("components")
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    least = {}
+    for a, b in links:
+        ends = {least.setdefault(a, a), least.setdefault(b, b)}
+        least.update({x: min(ends) for x, c in least.items() if c in ends})
+    assert sorted(map(tuple, found.select("node", "component").collect())) == sorted(least.items())
+    assert len(jobs) <= 45 and tasks <= 300
+    for step in ("hook-0", "jump-0", "edges-1"):
+        assert spark.read.parquet(space.path(f"second-{step}")).rdd.getNumPartitions() == 1, step
+
+
+def test_word_weights_take_few_jobs(spark):
+    cluster.ship(spark)
+    texts = [f"word{k % 7} word{k % 11} always" for k in range(50)] + [None, ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("weights", "weights of words")
+    try:
+        found = decontaminate.inverse_frequencies(rows)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("weights")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    held = collections.Counter(w for t in texts for w in set((t or "").split()))
+    expected = sorted(np.log(53 / (1 + n)) + 1e-3 for n in held.values())
+    assert found.shape == (1 << decontaminate.BITS,) and len(jobs) <= 4
+    assert np.sort(found)[: len(held)] == pytest.approx(expected)
+
+
+def test_small_tables_are_counted_and_cut_in_few_parts(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "PART_ROWS", 10)
+    space = cluster.Workspace(spark, "parts")
+    rows = spark.range(25, numPartitions=8)
+    assert [cluster.in_parts(rows, n).rdd.getNumPartitions() for n in (0, 10, 11, 25, 1000)] == [1, 1, 2, 3, 8]
+    kept, n = space.keep_with(cluster.in_parts(rows, 25), "some", F.sum("id"))
+    assert n == 300 and kept.count() == 25 and kept.columns == ["id"]
+    assert [space.keep_with(rows.where("id < 0"), "none", x)[1] for x in (F.sum("id"), F.count("id"))] == [0, 0]
+
+
 def without(texts, length=20):
     first, out = {}, {}
     for i, t in enumerate(texts):
